@@ -11,7 +11,7 @@ from cohortflow.functions.aggregates import distinct_count, distinct_text, lates
 from cohortflow.functions.dates import as_of_column, days_since, iso_text
 from cohortflow.functions.text import surrogate_key
 from cohortflow.operators.reshape import pivot_measures
-from cohortflow.operators.selection import first_per_key, nulls_last
+from cohortflow.operators.selection import first_per_key
 from cohortflow.operators.text_lists import join_ordered_text
 from cohortflow.plans.staging import PATIENT_ATTRIBUTES, PATIENT_MONEY
 from cohortflow.schemas import MEASURE_TYPE, VITALS
@@ -82,7 +82,8 @@ def first_condition(conditions: DataFrame) -> DataFrame:
     Takes raw rows: repeats cannot change which row sorts first, so the distinct
     and its seven-column shuffle are not needed here.
     """
-    return first_per_key(condition_rows(conditions), ["encounter_id"], nulls_last(*CONDITION_ORDER)).select(
+    rows = condition_rows(conditions).drop("patient_id")
+    return first_per_key(rows, ["encounter_id"], CONDITION_ORDER).select(
         "encounter_id", "condition_code", "condition_description", "is_active"
     )
 
@@ -96,7 +97,7 @@ def observations_wide(observations: DataFrame) -> DataFrame:
 def encounter_vitals(observations: DataFrame) -> DataFrame:
     """Vitals keyed by encounter alone: where two patients share one, the lower patient id's."""
     wide = observations_wide(observations)
-    return first_per_key(wide, ["encounter_id"], nulls_last("patient_id")).drop("patient_id")
+    return first_per_key(wide, ["encounter_id"], ["patient_id"]).drop("patient_id")
 
 
 def fct_clinical_events(

@@ -17,7 +17,7 @@ from cohortflow.operators.selection import hash_sample
 from cohortflow.plans import marts, staging, triage
 from cohortflow.plans.quality import RUN_CHECKS, Check, check_tables
 from cohortflow.samples import rule_scorer as scorers
-from cohortflow.samples.star_tables import AS_OF, raw_table
+from cohortflow.samples.star_tables import AS_OF, raw_table, star_tables
 from cohortflow.schemas import RAW_SCHEMAS, VITALS
 from cohortflow.session import shared_folder
 from cohortflow.sources.csv_files import read_csv, typed_by_name
@@ -38,10 +38,11 @@ class Star:
     """The sample tables and models of one data folder, as lazy DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark = spark
+        self.star = star_tables(spark, sf_dir)
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, f"raw_{name}")
+        return raw_table(self.spark, self.star, f"raw_{name}")
 
     def patients(self) -> DataFrame:
         return staging.stg_patients(self.raw("patients"), AS_OF)

@@ -19,6 +19,8 @@ def local_session(cores: int | str = "*", app: str = "cohortflow", **conf: str)
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
+        # Plans here are built from many small expressions; recording a call site for each is slow.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
