@@ -1,9 +1,13 @@
+import os
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+TESTS = Path(__file__).resolve().parent
+sys.path.insert(0, str(TESTS.parent))
+# Python workers import the package and the scorers defined in tests.
+os.environ["PYTHONPATH"] = os.pathsep.join([str(TESTS.parent), str(TESTS), os.environ.get("PYTHONPATH", "")])
 
 from cohortflow.session import local_session  # noqa: E402
 

@@ -1,0 +1,112 @@
+"""The physical shape of the heavy plans."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortflow.operators.reshape import pivot_measures
+from cohortflow.operators.selection import first_per_key, hash_sample, top_rows
+from cohortflow.plans import marts, triage
+from cohortflow.samples.queries import PLANS, Star
+from cohortflow.schemas import VITALS
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = df._jdf.queryExecution().explainString(mode)
+    return text[: text.index("\n\n\n")], text
+
+
+def count(tree, operator):
+    return len(re.findall(rf"[-+: ] ?\*? ?{operator} \(|\b{operator} \(", tree))
+
+
+@pytest.fixture()
+def star(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # plan as for large tables
+    yield Star(spark, SF_DIR)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+@pytest.fixture()
+def stored(spark, star, tmp_path):
+    """Raw and mart tables as files, as a real run has them."""
+
+    def put(name, df):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    return {
+        **{n: put(n, star.raw(n)) for n in ("patients", "encounters", "conditions", "observations", "medications")},
+        "dim": put("dim", star.dim()),
+        "fct": put("fct", star.events()),
+    }
+
+
+@pytest.mark.parametrize("name", [n for n in PLANS if not n.startswith("csv")])
+def test_no_plan_pairs_all_rows_or_gathers_them_in_one_task(star, name):
+    tree, text = plan(PLANS[name](star))
+    assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
+    single = text.count("SinglePartition")
+    assert single <= (len(re.findall(r"\bUnion\b", tree)) and 13 or 1), text
+
+
+def test_fact_table_shuffles(stored):
+    from cohortflow.plans.staging import stg_encounters
+
+    fct = marts.fct_clinical_events(stg_encounters(stored["encounters"]), stored["conditions"], stored["observations"])
+    tree, text = plan(fct)
+    # encounters, conditions, and measures twice: by (encounter, patient), then by encounter.
+    assert count(tree, "Exchange") == 4
+    assert tree.count("Scan parquet") == 3
+    assert count(tree, "Window") == 0
+
+
+def test_high_risk_reads_each_table_once_with_one_shuffle_each(stored):
+    listed = marts.high_risk_flag(stored["dim"], stored["fct"], stored["medications"], "2001-09-01")
+    tree, text = plan(listed)
+    assert tree.count("Scan parquet") == 3
+    assert count(tree, "Exchange") == 4  # dimension 1, facts 1, medications 2
+    assert "EqualTo(is_deceased,false)" in text or "is_deceased" in re.search(r"PushedFilters: \[([^\]]*)", text)[1]
+    schemas = re.findall(r"ReadSchema: (.*)", text)
+    assert not any("heart_rate" in s or "first_name" in s for s in schemas)
+
+
+def test_combining_happens_before_the_shuffle(stored):
+    for df, operator in (
+        (first_per_key(stored["conditions"], ["encounter"], ["code"]), "SortAggregate"),
+        (pivot_measures(stored["observations"], ["encounter"], VITALS, "decimal(18,4)"), "HashAggregate"),
+        (marts.patient_events(stored["fct"]), "ObjectHashAggregate"),
+    ):
+        tree, text = plan(df)
+        assert count(tree, operator) == 2 and "partial_" in text
+        assert count(tree, "Exchange") == 1
+
+
+def test_unused_sides_of_the_fact_table_are_dropped(star):
+    fct = star.events()
+    tree, _ = plan(fct.groupBy("event_id").agg(F.count("*")))
+    assert "lineitem" not in plan(fct.groupBy("event_id").agg(F.count("*")))[1]
+
+
+def test_row_filters_need_no_shuffle(stored):
+    tree, _ = plan(hash_sample(stored["encounters"], "id", 0.5))
+    assert count(tree, "Exchange") == 0
+
+
+def test_top_rows_is_a_bounded_heap(stored):
+    tree, _ = plan(top_rows(stored["dim"], [F.col("age").desc_nulls_first()], 50))
+    assert "TakeOrderedAndProject" in tree and count(tree, "Exchange") == 0
+
+
+def test_done_check_reads_one_day(spark, databases):
+    from datetime import date
+
+    log = spark.table("analytics.triage_summaries")
+    chosen = spark.createDataFrame([("p",)], "patient_id string")
+    _, text = plan(triage.pending(chosen, log, date(2024, 6, 30)))
+    assert re.search(r"PartitionFilters: \[.*run_date.*2024-06-30", text)
