@@ -103,9 +103,9 @@ def run_triage(
     factory: ScorerFactory,
     run_date: dt.date,
     n: int = BATCH_SIZE,
-    partitions: int | None = None,
+    partitions: int = 8,
 ) -> TriageReport:
-    """Choose, score, read and log. One scorer call per pending patient.
+    """Choose, score, read and log. One scorer call per pending patient, `partitions` at a time.
 
     The chosen rows and the scorer's answers are each written once before they
     are used, so later steps, retries and the append never score again. A failing

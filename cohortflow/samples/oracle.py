@@ -267,6 +267,17 @@ where k = 1""",
     "new_patients_only": f"""select id, birthdate, first, last from raw_patients
 where id not in (select patient_id from stg_encounters where encounter_start < DATE '{LOADED_BEFORE}')""",
     "csv_roundtrip": _as_doubles("raw_patients", *_PATIENT_MONEY),
+    "load_twice": " union all ".join(
+        f"select '{name}' as name, count(*) as inserted, {again} as inserted_again, {skipped} as skipped, "
+        f"{stored} as stored from raw_{name}"
+        for name, again, skipped, stored in [
+            ("patients", "0::bigint", "count(*)", "count(*)"),
+            ("encounters", "0::bigint", "count(*)", "count(*)"),
+            ("conditions", "count(*)", "0::bigint", "2 * count(*)"),
+            ("observations", "count(*)", "0::bigint", "2 * count(*)"),
+            ("medications", "count(*)", "0::bigint", "2 * count(*)"),
+        ]
+    ),
     "triage_candidates": _as_doubles("candidates", *_LATEST),
     "triage_pending": _as_doubles("candidates", *_LATEST)
     + " where patient_id not in (select patient_id from done)",
@@ -280,6 +291,12 @@ where id not in (select patient_id from stg_encounters where encounter_start < D
   'processed' as status, cast(null as varchar) as problem
 from scored where patient_id in (select patient_id from candidates)
   and patient_id not in (select patient_id from done)""",
+    "triage_log": f"""select patient_id, cast(n + 1 as int) as risk_score,
+  ['LOW', 'MODERATE', 'HIGH', 'VERY HIGH', 'CRITICAL'][n + 1] as risk_label,
+  n || ' of 4 rules met.' as summary, model_used, prompt_tokens, completion_tokens, {TODAY} as run_date,
+  'Triage complete. Processed=' || count(*) over () || ', Skipped=0, Errors=0' as first_run,
+  'Triage complete. Processed=0, Skipped=' || count(*) over () || ', Errors=0' as second_run
+from scored where patient_id in (select patient_id from candidates)""",
     "triage_report": """select count(*) filter (where status = 'processed') as processed,
   count(*) filter (where status = 'skipped') as skipped, count(*) filter (where status = 'error') as errors
 from (select case when d.patient_id is not null then 'skipped' else q.status end as status

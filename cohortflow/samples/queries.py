@@ -17,11 +17,12 @@ from cohortflow.operators.selection import hash_sample
 from cohortflow.plans import marts, staging, triage
 from cohortflow.plans.quality import RUN_CHECKS, Check, check_tables
 from cohortflow.samples import rule_scorer as scorers
-from cohortflow.samples.star_tables import AS_OF, raw_table, star_tables
-from cohortflow.schemas import RAW_SCHEMAS, VITALS
-from cohortflow.session import shared_folder
+from cohortflow.samples.star_tables import AS_OF, raw_table
+from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA, VITALS
+from cohortflow.session import remove_path, scratch_database, scratch_path, shared_folder, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
-from cohortflow.sources.tables import summary_preview
+from cohortflow.sources.loader import load_folder
+from cohortflow.sources.tables import SUMMARY_TABLE, create_all, create_table, summary_preview
 
 # The scorer travels with the job, whether or not the workers have this package.
 cloudpickle.register_pickle_by_value(scorers)
@@ -38,11 +39,13 @@ class Star:
     """The sample tables and models of one data folder, as lazy DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.star = star_tables(spark, sf_dir)
+        self.spark, self.sf_dir = spark, sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return raw_table(self.spark, self.star, f"raw_{name}")
+        if name not in self._raw:
+            self._raw[name] = raw_table(self.spark, self.sf_dir, f"raw_{name}")
+        return self._raw[name]
 
     def patients(self) -> DataFrame:
         return staging.stg_patients(self.raw("patients"), AS_OF)
@@ -121,15 +124,58 @@ def _triage_report(s: Star) -> DataFrame:
     return triage.report(triage.all_statuses(answered, triage.skipped(flagged, done, RUN_DATE)))
 
 
+def _shouted(df: DataFrame) -> DataFrame:
+    """Header names as files from elsewhere bring them."""
+    return df.toDF(*[f" {name.upper()} " for name in df.columns])
+
+
+def _csv_writer(df: DataFrame):
+    return _shouted(df).write.mode("overwrite").option("header", True).option("escape", '"')
+
+
 def _csv_roundtrip(s: Star) -> DataFrame:
     # One folder per application, rewritten by each call: the result is read from it later.
     path = f"{shared_folder(s.spark).rstrip('/')}/cohortflow/csv-{s.spark.sparkContext.applicationId}"
     patients = s.raw("patients")
-    shouted = patients.toDF(*[f" {name.upper()} " for name in patients.columns])
-    shouted.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    _csv_writer(patients).csv(path)
     return typed_by_name(read_csv(s.spark, path), RAW_SCHEMAS["patients"]).select(*patients.columns)
 
 
+def _load_twice(s: Star) -> DataFrame:
+    """Load CSV files of all raw tables twice: per table, rows inserted each time and rows stored."""
+    spark, folder = s.spark, scratch_path(s.spark, "csv")
+    with scratch_database(spark, "load") as raw, scratch_database(spark, "marts") as marts_db:
+        try:
+            for name in RAW_SCHEMAS:
+                _csv_writer(s.raw(name)).csv(f"{folder}/{name}.csv")
+            create_all(spark, raw, marts_db)
+            once, twice = load_folder(spark, folder, raw), load_folder(spark, folder, raw)
+            counts = [
+                (name, a.inserted, b.inserted, b.skipped, spark.table(f"{raw}.{name}").count())
+                for name, a, b in zip(RAW_SCHEMAS, once.tables, twice.tables)
+            ]
+        finally:
+            remove_path(spark, folder)
+    columns = "name string, inserted bigint, inserted_again bigint, skipped bigint, stored bigint"
+    return spark.createDataFrame(counts, columns)
+
+
+def _triage_log(s: Star) -> DataFrame:
+    """The log after two triage runs on one day: the second finds all of its batch done."""
+    with scratch_database(s.spark, "triage") as database:
+        table = f"{database}.{SUMMARY_TABLE}"
+        create_table(s.spark, table, SUMMARY_SCHEMA, partition_by="run_date")
+        with staged(s.high_risk(), "high-risk") as high_risk:
+            reports = [triage.run_triage(high_risk, table, scorers.rule_scorer, RUN_DATE) for _ in range(2)]
+        # At most one batch: the log is no longer than the batch size.
+        log = s.spark.table(table).drop("created_at")
+        lines = [(*row, str(reports[0]), str(reports[1])) for row in log.collect()]
+    schema = T.StructType(
+        [*log.schema.fields, T.StructField("first_run", T.StringType()), T.StructField("second_run", T.StringType())]
+    )
+    return s.spark.createDataFrame(lines, schema)
+
+
 def _k_of_n(s: Star) -> DataFrame:
     encounters = s.raw("encounters").select(F.col("id").alias("encounter"), "patient")
     return k_of_n_explode(encounters, "encounter", list(VITALS), hashed_count(F.col("encounter"), 2, len(VITALS)))
@@ -156,6 +202,7 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "high_risk_flag": Star.high_risk,
     "new_patients_only": _new_patients,
     "csv_roundtrip": _csv_roundtrip,
+    "load_twice": _load_twice,
     "triage_candidates": lambda s: triage.candidates(s.high_risk()),
     "triage_pending": _triage_pending,
     "triage_skipped": _triage_skipped,
@@ -163,6 +210,7 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "triage_parsed": Star.parsed,
     "triage_scored": lambda s: score_rows(triage.prompts(s.high_risk()), scorers.rule_scorer),
     "triage_day": _triage_day,
+    "triage_log": _triage_log,
     "triage_report": _triage_report,
     "triage_preview": lambda s: summary_preview(s.parsed().where("status = 'processed'")),
     "quality_unique": _only(

@@ -112,18 +112,13 @@ def _filled(name: str, ntz: str, tables: dict[str, str]) -> str:
     return text
 
 
-def star_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The star-schema tables the raw tables are derived from."""
-    return {table: spark.read.parquet(f"{sf_dir}/{table}.parquet") for table in STAR_TABLES}
-
-
-def raw_table(spark: SparkSession, star: dict[str, DataFrame], name: str) -> DataFrame:
-    """One raw table as a DataFrame over the star tables."""
+def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One raw table as a DataFrame over the parquet files in sf_dir."""
     text = _filled(name, "timestamp_ntz", {})
-    used = {table: df for table, df in star.items() if "{" + table + "}" in text}
-    for table, df in used.items():
-        df.createOrReplaceTempView(f"_star_{table}")
-    return spark.sql(_filled(name, "timestamp_ntz", {t: f"_star_{t}" for t in used}))
+    views = {table: f"_star_{table}" for table in STAR_TABLES if "{" + table + "}" in text}
+    for table, view in views.items():
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(view)
+    return spark.sql(_filled(name, "timestamp_ntz", views))
 
 
 def raw_cte(name: str) -> str:

@@ -59,6 +59,25 @@ def hadoop_path(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder this application made."""
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+@contextmanager
+def scratch_database(spark: SparkSession, label: str) -> Iterator[str]:
+    """A database in the shared folder that is dropped, tables and all, when the block ends."""
+    name = f"{label}_{uuid.uuid4().hex[:12]}"
+    path = scratch_path(spark, label)
+    spark.sql(f"create database {name} location '{path}'")
+    try:
+        yield name
+    finally:
+        spark.sql(f"drop database {name} cascade")
+        remove_path(spark, path)
+
+
 @contextmanager
 def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Write df once and hand back the written copy, dropped when the block ends.
@@ -72,5 +91,4 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        fs, target = hadoop_path(spark, path)
-        fs.delete(target, True)
+        remove_path(spark, path)

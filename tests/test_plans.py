@@ -47,12 +47,18 @@ def stored(spark, star, tmp_path):
     }
 
 
-@pytest.mark.parametrize("name", [n for n in PLANS if not n.startswith("csv")])
+# These run jobs of their own and return what those left.
+EAGER = {"csv_roundtrip", "load_twice", "triage_log"}
+
+
+@pytest.mark.parametrize("name", [n for n in PLANS if n not in EAGER])
 def test_no_plan_pairs_all_rows_or_gathers_them_in_one_task(star, name):
     tree, text = plan(PLANS[name](star))
     assert "CartesianProduct" not in tree and "BroadcastNestedLoopJoin" not in tree
-    single = text.count("SinglePartition")
-    assert single <= (len(re.findall(r"\bUnion\b", tree)) and 13 or 1), text
+    # One task at the end only for totals: a check's counts, the report's counters.
+    totals = {"quality": 13, "triage_report": 1}
+    allowed = next((n for prefix, n in totals.items() if name.startswith(prefix)), 0)
+    assert text.count("SinglePartition") <= allowed
 
 
 def test_fact_table_shuffles(stored):
@@ -88,9 +94,8 @@ def test_combining_happens_before_the_shuffle(stored):
 
 
 def test_unused_sides_of_the_fact_table_are_dropped(star):
-    fct = star.events()
-    tree, _ = plan(fct.groupBy("event_id").agg(F.count("*")))
-    assert "lineitem" not in plan(fct.groupBy("event_id").agg(F.count("*")))[1]
+    _, text = plan(star.events().groupBy("event_id").agg(F.count("*")))
+    assert "orders" in text and "lineitem" not in text
 
 
 def test_row_filters_need_no_shuffle(stored):
