@@ -18,11 +18,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     """
     rest = [name for name in df.columns if name not in keys and name not in order]
     rank = [
-        part
-        for name in [*order, *rest]
-        for part in (F.col(name).isNull().alias(f"{name}_is_null"), F.col(name))
+        part for name in order for part in (F.col(name).isNull().alias(f"_{name}_is_null"), F.col(name))
     ]
-    first = df.groupBy(*keys).agg(F.min(F.struct(*rank)).alias("_first"))
+    first = df.groupBy(*keys).agg(F.min(F.struct(*rank, *rest)).alias("_first"))
     return first.select(*[name if name in keys else f"_first.{name}" for name in df.columns])
 
 

@@ -65,9 +65,10 @@ def _append_all(rows: DataFrame, table: str) -> TableLoad:
 def _append_new(batch: DataFrame, table: str, key: str) -> TableLoad:
     existing = batch.sparkSession.table(table)
     read = batch.count()
-    # Keys only: the other columns of the staged batch are not read for the checks.
-    per_key = new_rows_only(batch.select(key), existing, [key]).groupBy(key).agg(F.count("*").alias("n"))
-    found = per_key.agg(
+    # Keys only, counted before the join: the batch's other columns are not read for
+    # the checks, and a key that fills much of the file is one row by then.
+    per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
+    found = new_rows_only(per_key, existing, [key]).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("new"),
         F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
         F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated"),

@@ -13,10 +13,10 @@ from cohortflow.operators.text_lists import join_ordered_text
 
 def test_first_per_key_orders_nulls_last_and_breaks_ties_by_the_rest(spark):
     df = spark.createDataFrame(
-        [("a", None, 1), ("a", "x", 9), ("a", "x", 3), ("b", None, None), ("b", None, 5), (None, "n", 0)],
+        [("a", None, 1), ("a", "x", 9), ("a", "x", 3), ("b", None, None), ("b", "y", 5), (None, "n", 0)],
         "k string, o string, v int",
     )
-    assert rows(first_per_key(df, ["k"], ["o"])) == [("a", "x", 3), ("b", None, 5), (None, "n", 0)]
+    assert rows(first_per_key(df, ["k"], ["o"])) == [("a", "x", 3), ("b", "y", 5), (None, "n", 0)]
 
 
 def test_latest_puts_null_order_first_and_keeps_null_fields(spark):
