@@ -16,11 +16,13 @@ def join_ordered_text(
     where: Column,
     name: str,
     sep: str = "; ",
+    every_key: bool = True,
 ) -> DataFrame:
     """Per key, the texts of the rows passing `where`, repeats kept, newest first.
 
     Rows without a date come first, equal dates go by text, NULL texts are left
-    out; a key with nothing left keeps its row with NULL.
+    out. A key with nothing left keeps its row with NULL, or, without `every_key`,
+    has none: other rows are then dropped at the scan.
 
     Equal (key, date, text) rows are counted first. That step has fixed-size
     buffers and spreads a hot key over all tasks, so the step that builds a key's
@@ -28,7 +30,7 @@ def join_ordered_text(
     """
     keep = F.coalesce(where, F.lit(False)) & text.isNotNull()
     runs = (
-        df.select(
+        (df if every_key else df.where(where & text.isNotNull())).select(
             *keys,
             F.when(keep, newest_first).alias("_when"),
             F.when(keep, text).alias("_text"),

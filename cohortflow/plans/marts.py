@@ -188,7 +188,7 @@ def patient_events(events: DataFrame) -> DataFrame:
     )
 
 
-def current_medications(medications: DataFrame, as_of=None) -> DataFrame:
+def current_medications(medications: DataFrame, as_of=None, every_patient: bool = True) -> DataFrame:
     """Per patient with any medication: those not stopped, newest start first.
 
     Start and stop are text and compared as text. A stop later than the as-of
@@ -203,6 +203,7 @@ def current_medications(medications: DataFrame, as_of=None) -> DataFrame:
         newest_first=F.col("start"),
         where=current,
         name="current_medications",
+        every_key=every_patient,
     )
 
 
@@ -241,9 +242,11 @@ def risk_flags(
 ) -> DataFrame:
     """Every living patient with conditions, vitals, medications and the risk flag."""
     living = patients.where(~F.col("is_deceased"))
+    # The left join supplies the NULL of patients without current medication.
+    lists = current_medications(medications, as_of, every_patient=False)
     return (
         living.join(patient_events(events), "patient_id", "left")
-        .join(current_medications(medications, as_of), "patient_id", "left")
+        .join(lists, "patient_id", "left")
         .select(
             "patient_id", "full_name", "age", "gender", "is_deceased", "days_since_last_encounter",
             "active_condition_count", "active_conditions",

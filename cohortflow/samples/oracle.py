@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 
 from cohortflow.functions.assessments import WHITESPACE
+from cohortflow.plans.marts import RiskRules
 from cohortflow.plans.quality import RUN_CHECKS, Check
 from cohortflow.plans.triage import CANDIDATE_COLUMNS
 from cohortflow.samples.queries import LOADED_BEFORE, SAMPLE_SEED, TRIAGED_CLASS
@@ -28,6 +29,15 @@ def _plain(number: str) -> str:
     return f"coalesce(rtrim(rtrim(cast({number} as varchar), '0'), '.'), 'None')"
 
 
+RULES = RiskRules()
+RISK_TESTS = [
+    f"active_condition_count >= {RULES.conditions_at_least}",
+    f"latest_systolic_bp > {RULES.systolic_above}",
+    f"latest_glucose > {RULES.glucose_above}",
+    f"latest_bmi > {RULES.bmi_above}",
+    f"(days_since_last_encounter > {RULES.days_above} and active_condition_count >= {RULES.conditions_when_overdue})",
+]
+
 _SPACE = "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE)
 
 CTES = {
@@ -107,16 +117,11 @@ select patient as patient_id,
   string_agg(description, '; ' order by start desc nulls first, description)
     filter (where stop is null or stop > cast({TODAY} as varchar)) as current_medications
 from raw_medications group by patient""",
-    "risk_flags": """
+    "risk_flags": f"""
 select p.patient_id, full_name, age, gender, is_deceased, days_since_last_encounter,
   active_condition_count, active_conditions, latest_systolic_bp, latest_diastolic_bp, latest_bmi,
   latest_glucose, recent_encounter_type, current_medications,
-  case when active_condition_count >= 3 then true
-       when latest_systolic_bp > 160 then true
-       when latest_glucose > 300 then true
-       when latest_bmi > 40 then true
-       when days_since_last_encounter > 365 and active_condition_count >= 1 then true
-       else false end as is_high_risk
+  coalesce(list_bool_or([{", ".join(RISK_TESTS)}]), false) as is_high_risk
 from dim_patients p
 left join active_conditions a on a.patient_id = p.patient_id
 left join latest_vitals v on v.patient_id = p.patient_id

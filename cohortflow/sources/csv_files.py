@@ -44,6 +44,8 @@ def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFra
     """
     header = _reader(spark, multiline).csv(path).columns
     names = [clean_header(name) for name in header]
+    if not names:
+        raise ValueError(f"{path}: no header")
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"{path}: column given twice: {', '.join(repeated)}")

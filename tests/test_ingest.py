@@ -54,6 +54,8 @@ def test_a_folder_of_files_is_one_source_and_headers_must_agree(spark, tmp_path)
 def test_repeated_and_unknown_columns_are_errors(spark, tmp_path):
     with pytest.raises(ValueError, match="twice"):
         read_csv(spark, put(tmp_path, "t.csv", "code, CODE \n1,2\n"))
+    with pytest.raises(ValueError, match="no header"):
+        read_csv(spark, put(tmp_path, "e.csv", ""))
     df = read_csv(spark, put(tmp_path, "u.csv", "CODE,COLOUR\n1,2\n"))
     with pytest.raises(ValueError, match="colour"):
         typed_by_name(df, RAW_SCHEMAS["conditions"])

@@ -71,6 +71,8 @@ def test_ordered_text(spark):
     assert rows(got) == [
         ("a", "undated; alpha; new; new; old"), ("b", None), ("c", None), ("d", None),
     ]
+    short = join_ordered_text(df, ["k"], F.col("t"), F.col("d"), F.col("f"), "list", every_key=False)
+    assert rows(short) == [("a", "undated; alpha; new; new; old")]
 
 
 def test_new_rows_only_keeps_null_keys(spark):
