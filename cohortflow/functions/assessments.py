@@ -18,19 +18,15 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def _whole_document(raw: Column) -> tuple[Column, Column]:
-    """(parsed array, whether its first item is all of raw).
+def framed_json(raw: Column) -> Column:
+    """The text parsed as the first item of an array whose second item is the text's own hash.
 
     Spark's JSON readers stop after the first value and so accept trailing text.
-    The text is therefore parsed as the first item of an array whose second item
-    is the text's own hash: the hash is found there only if the parser consumed
+    In the frame the hash is found in second place only if the parser consumed
     exactly one value up to the end of the text.
     """
     text = strip(raw)
-    mark = F.md5(text)
-    parsed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    whole = F.coalesce(F.try_variant_get(parsed, "$[1]", "string") == mark, F.lit(False))
-    return parsed, whole
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
 
 
 def _as_integer(value: Column, kind: Column) -> Column:
@@ -42,14 +38,17 @@ def _as_integer(value: Column, kind: Column) -> Column:
     ).when((kind == "STRING") & digits.rlike("^[+-]?[0-9]+$"), digits.try_cast("int"))
 
 
-def parse_assessment(raw: Column) -> Column:
+def parse_assessment(raw: Column, framed: Column | None = None) -> Column:
     """struct<risk_score int, risk_label string, summary string, problem string>.
 
     `problem` is NULL for a usable response: one JSON object and nothing else,
     with all required keys, a score that is NULL or fits an integer column, and
-    texts that are scalars. Values are not range-checked.
+    texts that are scalars. Values are not range-checked. With a problem, the
+    other fields hold what could be read and are not to be used. Give `framed`, a column
+    holding framed_json(raw), to have each text parsed just once.
     """
-    parsed, whole = _whole_document(raw)
+    parsed = framed_json(raw) if framed is None else framed
+    whole = F.coalesce(F.try_variant_get(parsed, "$[1]", "string") == F.md5(strip(raw)), F.lit(False))
     item = {key: F.try_variant_get(parsed, f"$[0].{key}", "variant") for key in RESPONSE_KEYS}
     kind = {key: F.schema_of_variant(value) for key, value in item.items()}
     is_object = F.schema_of_variant(F.try_variant_get(parsed, "$[0]", "variant")).startswith("OBJECT")
@@ -65,11 +64,5 @@ def parse_assessment(raw: Column) -> Column:
         .when(score.isNull() & (kind["risk_score"] != "VOID"), "risk_score is not an integer")
         .when(nested, "risk_label or summary is not a scalar")
     )
-    return F.struct(
-        F.when(problem.isNull(), score).alias("risk_score"),
-        *[
-            F.when(problem.isNull(), F.try_variant_get(item[key], "$", "string")).alias(key)
-            for key in ("risk_label", "summary")
-        ],
-        problem.alias("problem"),
-    )
+    texts = [F.try_variant_get(item[key], "$", "string").alias(key) for key in ("risk_label", "summary")]
+    return F.struct(score.alias("risk_score"), *texts, problem.alias("problem"))

@@ -60,8 +60,8 @@ def each_prompt(call_factory: Callable[[], Callable[[str], tuple]]) -> ScorerFac
 
         def one(prompt: str) -> tuple:
             try:
-                raw, model, prompt_tokens, completion_tokens = call(prompt)
-                return (str(raw), str(model), int(prompt_tokens), int(completion_tokens), None)
+                values = zip((str, str, int, int), call(prompt), strict=True)
+                return (*[None if v is None else kind(v) for kind, v in values], None)
             except Exception as exc:
                 return (None, None, None, None, f"{type(exc).__name__}: {exc}")
 

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortflow.functions.assessments import parse_assessment
+from cohortflow.functions.assessments import RESPONSE_KEYS, framed_json, parse_assessment
 from cohortflow.functions.profiles import PROFILE_FIELDS, render_profile
 from cohortflow.operators.difference import already_stored, new_rows_only
 from cohortflow.operators.scoring import ScorerFactory, score_rows
@@ -57,13 +57,14 @@ def prompts(profiles: DataFrame) -> DataFrame:
 
 def parse_responses(scored: DataFrame) -> DataFrame:
     """Read each raw response; rows that cannot be used carry status 'error' and the reason."""
-    parsed = scored.withColumn("_a", parse_assessment(F.col("raw_response")))
+    raw = F.col("raw_response")
+    framed = scored.withColumn("_json", framed_json(raw))
+    parsed = framed.withColumn("_a", parse_assessment(raw, F.col("_json")))
+    usable = F.col("_a.problem").isNull()
     problem = F.coalesce("scorer_error", "_a.problem")
     return parsed.select(
         "patient_id",
-        "_a.risk_score",
-        "_a.risk_label",
-        "_a.summary",
+        *[F.when(usable, F.col(f"_a.{key}")).alias(key) for key in RESPONSE_KEYS],
         "model_used",
         "prompt_tokens",
         "completion_tokens",

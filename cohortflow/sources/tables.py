@@ -49,9 +49,18 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def rebuild(df: DataFrame, table: str) -> DataFrame:
-    """Replace a table's contents and read it back."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Replace a table's contents and read it back.
+
+    The table itself stays unless its columns changed, so a write that fails
+    half-way leaves a table the next run can fill.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        if spark.table(table).schema.simpleString() != df.schema.simpleString():
+            spark.sql(f"drop table {table}")
+    create_table(spark, table, df.schema)
+    df.write.insertInto(table, overwrite=True)
+    return spark.table(table)
 
 
 def publish_views(views: Mapping[str, DataFrame]) -> None:

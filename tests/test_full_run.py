@@ -9,6 +9,7 @@ from cohortflow.plans.quality import QualityError
 from cohortflow.samples.queries import Star
 from cohortflow.samples.rule_scorer import rule_scorer
 from cohortflow.samples.star_tables import AS_OF
+from cohortflow.sources.tables import rebuild
 
 SF_DIR = "/root/testdata/sf0.001"
 DAY = dt.date.fromisoformat(AS_OF)
@@ -46,6 +47,12 @@ def test_run_twice(spark, folder):
     assert spark.table("analytics.fct_clinical_events").count() == tables["fct_clinical_events"]
 
 
+def test_rebuild_replaces_rows_and_follows_changed_columns(spark, databases):
+    for df in (spark.range(3), spark.range(5), spark.range(2).selectExpr("id", "cast(id as string) as name")):
+        back = rebuild(df, "analytics.some_model")
+        assert back.columns == df.columns and sorted(back.collect()) == sorted(df.collect())
+
+
 def test_a_failed_check_stops_before_triage(spark, databases, tmp_path):
     (tmp_path / "patients.csv").write_text("Id,BIRTHDATE\np1,2030-01-01\n")
 
