@@ -27,7 +27,7 @@ def full_name(first: Column, last: Column) -> Column:
 def surrogate_key(*cols: Column, null_token: str = "") -> Column:
     """MD5 over the columns' text, joined by a dash."""
     parts = [F.coalesce(c.cast("string"), F.lit(null_token)) for c in cols]
-    return F.md5(F.concat_ws("-", *parts))
+    return F.md5(parts[0] if len(parts) == 1 else F.concat_ws("-", *parts))
 
 
 def plain_number(value: Column) -> Column:
