@@ -49,6 +49,21 @@ def test_title_words(spark):
     assert df.where(~title_words(F.col("s")).eqNullSafe(F.col("want"))).count() == 0
 
 
+def test_title_words_against_brute_force(spark):
+    random.seed(6)
+    texts = ["".join(random.choices("abcXYZéÑ019 '-_.,\t\x01", k=random.randrange(1, 25))) for _ in range(400)]
+
+    def title(text):
+        out, start = "", True
+        for ch in text.lower():
+            out += ch.upper() if start else ch
+            start = not ch.isalnum()
+        return out
+
+    df = spark.createDataFrame([(t, title(t)) for t in texts], "s string, want string")
+    assert df.where(title_words(F.col("s")) != F.col("want")).collect() == []
+
+
 def test_full_name_is_null_when_a_part_is(spark):
     df = spark.createDataFrame([("ann", "LEE"), ("ann", None), (None, "lee")], "a string, b string")
     assert [r[0] for r in df.select(full_name(F.col("a"), F.col("b"))).collect()] == ["Ann Lee", None, None]

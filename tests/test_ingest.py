@@ -62,7 +62,8 @@ def test_repeated_and_unknown_columns_are_errors(spark, tmp_path):
 
 
 def test_typed_by_name(spark, tmp_path):
-    path = put(tmp_path, "p.csv", "Id,BIRTHDATE,ZIP,LAT,HEALTHCARE_EXPENSES,FIRST\na,2000-02-29,01234,42.3527,10.5,NA\nb,,,,,\"\"\n")
+    lines = ["Id,BIRTHDATE,ZIP,LAT,HEALTHCARE_EXPENSES,FIRST", "a,2000-02-29,01234,42.3527,10.5,NA", 'b,,,,,""', ""]
+    path = put(tmp_path, "p.csv", "\n".join(lines))
     df = typed_by_name(read_csv(spark, path), RAW_SCHEMAS["patients"])
     assert df.schema.simpleString() == RAW_SCHEMAS["patients"].simpleString()
     got = rows(df, "id", "birthdate", "zip", "lat", "healthcare_expenses", "first", "ssn")
