@@ -6,19 +6,51 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortflow.llm.language_id import identify
 from cohortflow.llm.minhash_dedup import near_duplicates
+from cohortflow.llm.token_counts import count_tokens
+from cohortflow.llm.token_ids import read_token_ids, write_token_ids
+from cohortflow.llm.warc import page_records, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(write_warc(table(spark, sf_dir, "pages")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return read_token_ids(write_token_ids(docs, tokenizer_path("word_bpe_49k.json")))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_warc": op2_warc,
+    "op6_language_id": op6_language_id,
+    "op7_token_ids": op7_token_ids,
+    "op9_token_counts": op9_token_counts,
 }
 
 SQL: dict[str, str] = {}
