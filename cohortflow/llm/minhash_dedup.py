@@ -222,7 +222,8 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, size: int, percent: in
     clusters = clusters.join(members, "component").select(
         F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "members"
     )
-    sets = docs.join(clusters, "doc_id").mapInArrow(_set_maker(size), SET_SCHEMA)
+    # A merge join at every size: clusters grow with the input, so no plan may count on broadcasting them.
+    sets = docs.join(clusters.hint("merge"), "doc_id").mapInArrow(_set_maker(size), SET_SCHEMA)
     blocks = sets.select(
         "cluster", "doc_id", "hashes",
         F.explode(groups.block_pairs(F.col("members"), F.col("doc_id"), block_rows)).alias("pair"),
@@ -236,7 +237,8 @@ def near_duplicates(
     percent: int = 85,
     coordinates: int = 32,
     matches: int = 16,
-    block_rows: int = 256,
+    list_rows: int = 1024,
+    cluster_rows: int = 256,
     seed: int = 11,
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
@@ -250,8 +252,8 @@ def near_duplicates(
 
     With 32 coordinates, a pair at exactly 85 % has fewer than 16 equal ones, and is lost, with
     probability 5e-7; pairs more alike, far less. Two texts with different sets that agree on a 128-bit
-    digest would be taken as copies. Links inside a cluster of n candidates cost (n / block_rows)^2
-    block comparisons, each a task-sized group.
+    digest would be taken as copies. Lists longer than `list_rows` and clusters larger than `cluster_rows` are
+    compared as pairs of blocks of that size: (n / size)^2 groups of bounded size, spread over tasks.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(docs.mapInArrow(_signer(shingle_words, coordinates, seed), SIGNATURE_SCHEMA), "signatures")
@@ -260,8 +262,8 @@ def near_duplicates(
     classes = written(classes, "classes")
     own = usable.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id = rep")
     reps = written(own.dropDuplicates(["rep", "set_a", "set_b"]).select("rep", "tokens"), "reps")
-    clusters = components(candidate_edges(reps, coordinates, matches, block_rows))
-    links = confirmed_edges(docs, clusters, shingle_words, percent, block_rows)
+    clusters = components(candidate_edges(reps, coordinates, matches, list_rows))
+    links = confirmed_edges(docs, clusters, shingle_words, percent, cluster_rows)
     # Texts under one doc_id belong together whatever they hold.
     same = usable.join(classes, ["set_a", "set_b", "n_shingles"]).where("doc_id != rep")
     many = usable.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
