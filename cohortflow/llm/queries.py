@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm.language_id import identify
 from cohortflow.llm.minhash_dedup import near_duplicates
+from cohortflow.llm.quality_rules import apply_quality_rules
+from cohortflow.llm.source_mixing import mix_sources, words_taken
 from cohortflow.llm.token_counts import count_tokens
 from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 from cohortflow.llm.warc import page_records, write_warc
@@ -32,6 +34,14 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(write_warc(table(spark, sf_dir, "pages")))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return words_taken(*mix_sources(table(spark, sf_dir, "documents")))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -48,6 +58,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc": op2_warc,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_source_mixing": op5_source_mixing,
     "op6_language_id": op6_language_id,
     "op7_token_ids": op7_token_ids,
     "op9_token_counts": op9_token_counts,
