@@ -41,7 +41,7 @@ def frequent_pretokens(docs: DataFrame, encoder: PretokenEncoder, sample_rows: i
         seen: Counter = Counter()
         for batch in batches:
             for text in _texts(batch.column("text")):
-                seen.update(encoder.pieces(text) or ())
+                seen.update(encoder.chunks(text) or ())
             if len(seen) > 8 * entries:
                 seen = Counter(dict(seen.most_common(4 * entries)))
         top = [x for x in seen.most_common(entries) if x[1] > 1]
@@ -55,7 +55,7 @@ def frequent_pretokens(docs: DataFrame, encoder: PretokenEncoder, sample_rows: i
         if len(seen) > 8 * entries:
             seen = Counter(dict(seen.most_common(4 * entries)))
     pieces = [x for x, _ in seen.most_common(entries)]
-    return {p: len(e.ids) for p, e in zip(pieces, encoder.encode(pieces))}
+    return {piece: encoder.value_of(piece) for piece in pieces}
 
 
 def count_tokens(
@@ -64,7 +64,7 @@ def count_tokens(
     limit: int = 512,
     sample_rows: int = 1024,
     table_entries: int = 16_384,
-    cache_entries: int = 250_000,
+    cache_entries: int = 400_000,
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text): doc_id, n_bytes (UTF-8), n_tokens, over_limit.
 
@@ -76,15 +76,15 @@ def count_tokens(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with open(tokenizer_path, encoding="utf-8") as file:
         spec = file.read()
-    known = frequent_pretokens(docs, PretokenEncoder(spec, 0), sample_rows, table_entries)
-    held = shared(docs.sparkSession, PretokenEncoder(spec, cache_entries, known))
+    known = frequent_pretokens(docs, PretokenEncoder(spec, cache_entries, len, sum), sample_rows, table_entries)
+    held = shared(docs.sparkSession, PretokenEncoder(spec, cache_entries, len, sum, known))
 
     def lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = held()
         for batch in batches:
             for first, last in words.slices(batch.column("text")):
                 text = batch.column("text").slice(first, last - first)
-                counts = encoder.values(_texts(text), lambda e: len(e.ids), sum)
+                counts = encoder.values(_texts(text))
                 size = pc.fill_null(pc.binary_length(text), 0).cast(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(first, last - first), size, pa.array(counts, pa.int64())],

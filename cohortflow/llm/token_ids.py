@@ -13,6 +13,7 @@ tells whether the key is there: a fixed number of small reads, whatever the shar
 
 from __future__ import annotations
 
+import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
@@ -104,15 +105,12 @@ def _write_shards(held, folder: str, end_id: int, width: int):
         documents, total, last, copies = [], 0, write, 0  # no id equals the function
         low = high = None
 
-        def value(encoding) -> bytes:
-            return np.array(encoding.ids, dtype=kind).tobytes()
-
         for batch in batches:
             out = out or blobs.Writer(folder, f"shard-{shard:06d}")
             for first, stop in words.slices(batch.column("text")):
                 ids = batch.column("doc_id").slice(first, stop - first).to_pylist()
                 texts = pc.fill_null(batch.column("text").slice(first, stop - first), "").to_pylist()
-                payloads = encoder.values(texts, value, b"".join)
+                payloads = encoder.values(texts)
                 table = np.zeros(len(ids), dtype=DOCUMENT)
                 for i, (doc_id, payload) in enumerate(zip(ids, payloads)):
                     copies = copies + 1 if doc_id == last else 0
@@ -144,12 +142,20 @@ def _write_shards(held, folder: str, end_id: int, width: int):
     return write
 
 
+def id_width(spec: str, end_id: int) -> int:
+    """Bytes for any id of a vocabulary: 2 or 4."""
+    from tokenizers import Tokenizer
+
+    top = max(Tokenizer.from_str(spec).get_vocab_size(with_added_tokens=True) - 1, end_id)
+    return 2 if top < 1 << 16 else 4
+
+
 def write_token_ids(
     docs: DataFrame,
     tokenizer_path: str,
     end_id: int = 1,
     shards: int | None = None,
-    cache_entries: int = 300_000,
+    cache_entries: int = 400_000,
     folder: str | None = None,
 ) -> DataFrame:
     """Encode every text, append `end_id`, write shards in ascending doc_id order; returns the manifest.
@@ -162,12 +168,13 @@ def write_token_ids(
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     with open(tokenizer_path, encoding="utf-8") as file:
-        encoder = PretokenEncoder(file.read(), cache_entries)
-    top = max(encoder.tokenizer().get_vocab_size(with_added_tokens=True) - 1, end_id)
-    held = shared(spark, encoder)
+        spec = file.read()
+    width = id_width(spec, end_id)
+    code = "H" if width == 2 else "I"
+    held = shared(spark, PretokenEncoder(spec, cache_entries, lambda ids: struct.pack(f"<{len(ids)}{code}", *ids), b"".join))
     dealt = docs.repartitionByRange(shards, "doc_id") if shards else docs.repartitionByRange("doc_id")
     dealt = dealt.sortWithinPartitions("doc_id")
-    write = _write_shards(held, folder or new_folder(spark, "token-ids"), end_id, 2 if top < 1 << 16 else 4)
+    write = _write_shards(held, folder or new_folder(spark, "token-ids"), end_id, width)
     return written(dealt.mapInArrow(write, MANIFEST_SCHEMA), "manifest")
 
 
