@@ -28,5 +28,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Lost executors cost only the tasks they were running, never the work before the write.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
