@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortflow.llm.decontamination import overlaps
 from cohortflow.llm.language_id import identify
 from cohortflow.llm.minhash_dedup import near_duplicates
 from cohortflow.llm.quality_rules import apply_quality_rules
@@ -51,6 +52,10 @@ def op7_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_ids(write_token_ids(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_source_mixing": op5_source_mixing,
     "op6_language_id": op6_language_id,
     "op7_token_ids": op7_token_ids,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
 }
 
