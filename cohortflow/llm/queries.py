@@ -11,6 +11,7 @@ from cohortflow.llm.language_id import identify
 from cohortflow.llm.minhash_dedup import near_duplicates
 from cohortflow.llm.quality_rules import apply_quality_rules
 from cohortflow.llm.source_mixing import mix_sources, words_taken
+from cohortflow.llm.substring_dedup import repeated_spans
 from cohortflow.llm.token_counts import count_tokens
 from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 from cohortflow.llm.warc import page_records, write_warc
@@ -60,6 +61,10 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc": op2_warc,
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_ids": op7_token_ids,
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 SQL: dict[str, str] = {}
