@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm.decontamination import overlaps
 from cohortflow.llm.language_id import identify
+from cohortflow.llm.lm_scoring import score_texts
 from cohortflow.llm.minhash_dedup import near_duplicates
 from cohortflow.llm.quality_rules import apply_quality_rules
 from cohortflow.llm.source_mixing import mix_sources, words_taken
@@ -36,6 +37,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(write_warc(table(spark, sf_dir, "pages")))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -68,6 +73,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc": op2_warc,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality_rules": op4_quality_rules,
     "op5_source_mixing": op5_source_mixing,
     "op6_language_id": op6_language_id,
