@@ -179,7 +179,7 @@ def fit(docs: DataFrame, learn: Column, rows_per_lang: int) -> ContextTrees | No
 
 
 def identify(
-    docs: DataFrame, rows_per_lang: int = 400, buckets: int = 4, held_out_bucket: int = 2
+    docs: DataFrame, rows_per_lang: int = 400, buckets: int = 4, held_out_bucket: int = 2, carry: bool = False
 ) -> DataFrame:
     """One row per row of `docs` (doc_id, text, lang): doc_id, held_out, lang_pred, score, bits_per_byte.
 
@@ -188,13 +188,18 @@ def identify(
     shortest code for the whole text, ties going to the first name; score is that language's posterior under
     equal priors. A null text, one without any letter, and every text if nothing could be learned, is "und"
     with score 0 and no bits_per_byte. A null doc_id counts as empty text in the split. Other columns are
-    ignored, and lang, source and doc_id never enter a prediction.
+    ignored, and lang, source and doc_id never enter a prediction. With `carry`, a last column `row` has the
+    whole input row, so that filters need no join.
     """
+    whole = F.struct(*docs.columns).alias("row") if carry else None
+    carried = ["row"] if carry else []
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang"),
+        *([whole] if carry else []),
     )
+    schema = SCORE_SCHEMA + (f", row {docs.schema['row'].dataType.simpleString()}" if carry else "")
     held_out = bucket(F.col("doc_id"), buckets) == held_out_bucket
     trees = shared(docs.sparkSession, fit(docs, ~held_out, rows_per_lang))
 
@@ -218,11 +223,12 @@ def identify(
                     per_byte = np.where(lettered, bits[np.arange(rows), low] / size, np.nan)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("held_out"), pa.array(names[best], pa.string()),
-                     pa.array(posterior), pa.array(per_byte, mask=np.isnan(per_byte))],
-                    names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte"],
+                     pa.array(posterior), pa.array(per_byte, mask=np.isnan(per_byte)),
+                     *(part.column(c) for c in carried)],
+                    names=["doc_id", "held_out", "lang_pred", "score", "bits_per_byte", *carried],
                 )
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
-    return docs.select("doc_id", held_out.alias("held_out"), "text", lettered.alias("lettered")).mapInArrow(
-        score, SCORE_SCHEMA
+    return docs.select("doc_id", held_out.alias("held_out"), "text", lettered.alias("lettered"), *carried).mapInArrow(
+        score, schema
     )

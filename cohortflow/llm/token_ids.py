@@ -48,7 +48,7 @@ def key_hashes(documents: np.ndarray) -> np.ndarray:
 
 
 def _slot(keys: np.ndarray, seed: np.ndarray | int, slots: int) -> np.ndarray:
-    return words.mix(keys ^ words.mix(np.asarray(seed, dtype=np.uint64))) % np.uint64(slots)
+    return words.mix(keys ^ words.mix(np.atleast_1d(np.asarray(seed, dtype=np.uint64)))) % np.uint64(slots)
 
 
 def build_index(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
