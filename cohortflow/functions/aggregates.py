@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cohortflow.functions.numbers import exact_decimal
 
 
 def latest(value: Column, order: Sequence[Column], where: Column | None = None) -> Column:
@@ -39,7 +42,8 @@ def measure_columns(
     code: Column, value: Column, mapping: Mapping[str, str], dtype: str
 ) -> list[Column]:
     """One MAX(CASE …) per code. The cast sits inside the CASE: text under other codes is never cast."""
+    kind = T.DataType.fromDDL(dtype)
     return [
-        F.max(F.when(code == wanted, value.cast(dtype))).alias(name)
+        F.max(F.when(code == wanted, exact_decimal(value, kind))).alias(name)
         for wanted, name in mapping.items()
     ]

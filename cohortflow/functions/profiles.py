@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortflow.functions.text import plain_number
-
 # The profile layout, and per field the text for an absent column.
 PROFILE_LAYOUT = """\
 Patient profile:
@@ -49,8 +47,9 @@ def _field(df: DataFrame, name: str, fallback: str) -> Column:
     if name in FALLBACK_WHEN_EMPTY:
         return F.when(F.col(name) != "", F.col(name)).otherwise(fallback)
     dtype = df.schema[name].dataType
-    padded = isinstance(dtype, T.DecimalType) and dtype.scale > 0
-    text = plain_number(F.col(name)) if padded else F.col(name).cast("string")
+    measured = isinstance(dtype, T.DecimalType) and dtype.scale > 0
+    # Measures read as floating-point numbers do: 32.1, 165.0.
+    text = (F.col(name).cast("double") if measured else F.col(name)).cast("string")
     return F.coalesce(text, F.lit(NULL_TEXT))
 
 

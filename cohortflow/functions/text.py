@@ -24,12 +24,7 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(title_words(first), F.lit(" "), title_words(last))
 
 
-def surrogate_key(*cols: Column, null_token: str = "") -> Column:
-    """MD5 over the columns' text, joined by a dash."""
+def surrogate_key(*cols: Column, null_token: str = "\x00null") -> Column:
+    """MD5 over the columns' text, joined by a dash; NULL and empty text give different keys."""
     parts = [F.coalesce(c.cast("string"), F.lit(null_token)) for c in cols]
     return F.md5(parts[0] if len(parts) == 1 else F.concat_ws("-", *parts))
-
-
-def plain_number(value: Column) -> Column:
-    """A decimal's text without padding zeros: 165.0000 -> 165, 32.1000 -> 32.1."""
-    return F.rtrim(F.rtrim(value.cast("string"), F.lit("0")), F.lit("."))

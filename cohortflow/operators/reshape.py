@@ -29,9 +29,13 @@ def pivot_measures(
 def k_of_n_explode(
     df: DataFrame, key: str, catalogue: Sequence[str], k: Column, name: str = "code"
 ) -> DataFrame:
-    """Each row becomes k rows, one per catalogue entry picked by a hash of entry and key."""
+    """Each row becomes k rows, one per catalogue entry picked by a hash of entry and key.
+
+    A missing key counts as the empty text.
+    """
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
     entries = [
-        F.struct(F.md5(F.concat(F.lit(entry), F.col(key))).alias("h"), F.lit(entry).alias("entry"))
+        F.struct(F.md5(F.concat(F.lit(entry), text)).alias("h"), F.lit(entry).alias("entry"))
         for entry in catalogue
     ]
     picked = F.slice(F.sort_array(F.array(*entries)), 1, k)
@@ -39,6 +43,7 @@ def k_of_n_explode(
 
 
 def hashed_count(key: Column, low: int, high: int) -> Column:
-    """A whole number in [low, high], fixed by a hash of key."""
-    word = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
+    """A whole number in [low, high], fixed by a hash of key; a missing key counts as the empty text."""
+    text = F.coalesce(key.cast("string"), F.lit(""))
+    word = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return (F.lit(low) + F.pmod(word, F.lit(high - low + 1))).cast("int")

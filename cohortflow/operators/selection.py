@@ -32,12 +32,13 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: str | int = 0) -> DataFrame:
     """Keep about `fraction` of the rows, chosen by a hash of seed and key.
 
-    A plain row filter: no shuffle, and the same rows on every run and retry.
+    A plain row filter: no shuffle, and the same rows on every run and retry. Rows
+    without key share the hash of the empty text.
     """
     if fraction >= 1:
         return df
     if fraction <= 0:
         return df.where(F.lit(False))
     bound = format(int(fraction * 2**32), "08x")
-    digest = F.md5(F.concat(F.lit(str(seed)), F.col(key).cast("string")))
+    digest = F.md5(F.concat(F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit(""))))
     return df.where(F.substring(digest, 1, 8) < bound)

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.operators.scoring import ScorerFactory
 from cohortflow.plans import marts, staging
-from cohortflow.plans.quality import check_tables, gate
-from cohortflow.plans.triage import TriageReport, run_triage
+from cohortflow.plans.quality import LOG_CHECKS, check_tables, gate
+from cohortflow.plans.triage import BATCH_SIZE, TriageReport, run_triage
 from cohortflow.sources.loader import LoadReport, load_folder
 from cohortflow.sources.tables import (
     MART_DATABASE,
@@ -72,12 +72,21 @@ def run_all(
     raw: str = RAW_DATABASE,
     marts_db: str = MART_DATABASE,
     na_tokens: Sequence[str] = ("",),
+    multiline: bool | None = None,
+    n: int = BATCH_SIZE,
+    partitions: int = 8,
 ) -> RunReport:
-    """Each step needs the one before; a failed check stops the run before triage."""
+    """Each step needs the one before; a failed check stops the run before triage.
+
+    `multiline` is read_csv's; `n` patients are scored, `partitions` at a time. The
+    log's own checks run last.
+    """
     as_of = as_of or dt.date.today()
     create_all(spark, raw, marts_db)
-    loaded = load_folder(spark, folder, raw, na_tokens)
+    loaded = load_folder(spark, folder, raw, na_tokens, multiline)
     tables = build_models(spark, as_of, raw, marts_db)
     gate(check_tables(tables))
-    triage = run_triage(tables["high_risk_flag"], f"{marts_db}.{SUMMARY_TABLE}", factory, as_of)
+    log_table = f"{marts_db}.{SUMMARY_TABLE}"
+    triage = run_triage(tables["high_risk_flag"], log_table, factory, as_of, n, partitions)
+    gate(check_tables({SUMMARY_TABLE: spark.table(log_table)}, LOG_CHECKS))
     return RunReport(loaded, triage)

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Check:
-    """One rule on one column: 'unique', 'not_null', or a condition such as '>= 0'."""
+    """One rule on one column: 'unique', 'not_null', or a condition such as '>= 0'.
+
+    'unique' takes several columns too, as "a, b".
+    """
 
     table: str
     column: str
@@ -51,6 +54,14 @@ RUN_CHECKS = [
 ]
 
 
+# The checks of the triage log.
+LOG_CHECKS = [
+    Check("triage_summaries", "patient_id", "not_null"),
+    Check("triage_summaries", "run_date", "not_null"),
+    Check("triage_summaries", "patient_id, run_date", "unique"),
+]
+
+
 class QualityError(RuntimeError):
     """Raised by the gate; lists the checks that failed."""
 
@@ -67,9 +78,11 @@ def _pass_over(df: DataFrame, unique: Check | None, others: Sequence[Check]) ->
         totals = df.agg(*tests) if tests else None
         checks = list(others)
     else:
-        value = F.col(unique.column)
-        per_value = df.groupBy(value.alias("_value")).agg(F.count("*").alias("_n"), *tests)
-        repeated = F.count_if(F.col("_value").isNotNull() & (F.col("_n") > 1))
+        names = [name.strip() for name in unique.column.split(",")]
+        values = [F.col(name).alias(f"_v{i}") for i, name in enumerate(names)]
+        per_value = df.groupBy(*values).agg(F.count("*").alias("_n"), *tests)
+        given = reduce(lambda a, b: a & b, [F.col(f"_v{i}").isNotNull() for i in range(len(names))])
+        repeated = F.count_if(given & (F.col("_n") > 1))
         totals = per_value.agg(
             *[F.coalesce(F.sum(f"_f{i}"), F.lit(0)).alias(f"_f{i}") for i in range(len(others))],
             repeated.alias(f"_f{len(others)}"),

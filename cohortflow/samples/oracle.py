@@ -9,15 +9,49 @@ from __future__ import annotations
 
 import re
 
-from cohortflow.functions.assessments import WHITESPACE
-from cohortflow.plans.marts import RiskRules
-from cohortflow.plans.quality import RUN_CHECKS, Check
-from cohortflow.plans.triage import CANDIDATE_COLUMNS
-from cohortflow.samples.queries import LOADED_BEFORE, SAMPLE_SEED, TRIAGED_CLASS
-from cohortflow.samples.star_tables import AS_OF, RAW_SQL, raw_cte
-from cohortflow.schemas import VITALS
+from cohortflow.samples.star_tables import RAW_SQL, raw_cte
 
-TODAY = f"DATE '{AS_OF}'"
+# Fixed values, written out here and not taken from the engine: a change there must show.
+TODAY = "DATE '2001-09-01'"
+LOADED_BEFORE = "1996-01-01"
+TRIAGED_CLASS = "1-URGENT"
+SAMPLE_SEED = "7"
+VITALS = {
+    "55284-4": "systolic_bp",
+    "8462-4": "diastolic_bp",
+    "39156-5": "bmi",
+    "2339-0": "glucose_mgdl",
+    "8867-4": "heart_rate",
+    "8310-5": "body_temp_c",
+}
+CANDIDATE_COLUMNS = [
+    "patient_id", "full_name", "age", "gender", "active_conditions", "current_medications",
+    "recent_encounter_type", "days_since_last_encounter", "latest_systolic_bp", "latest_diastolic_bp",
+    "latest_bmi", "latest_glucose",
+]
+# Table, column, rule.
+RUN_CHECKS = [
+    ("raw_patients", "id", "unique"),
+    ("raw_patients", "id", "not_null"),
+    ("raw_encounters", "id", "unique"),
+    ("raw_encounters", "id", "not_null"),
+    ("raw_encounters", "patient", "not_null"),
+    ("stg_patients", "patient_id", "unique"),
+    ("stg_patients", "patient_id", "not_null"),
+    ("stg_patients", "age", "not_null"),
+    ("stg_patients", "age", ">= 0"),
+    ("stg_encounters", "encounter_id", "unique"),
+    ("stg_encounters", "encounter_id", "not_null"),
+    ("stg_encounters", "patient_id", "not_null"),
+    ("dim_patients", "patient_id", "unique"),
+    ("dim_patients", "patient_id", "not_null"),
+    ("dim_patients", "total_encounters", ">= 0"),
+    ("fct_clinical_events", "event_id", "unique"),
+    ("fct_clinical_events", "event_id", "not_null"),
+    ("fct_clinical_events", "encounter_id", "not_null"),
+    ("high_risk_flag", "patient_id", "unique"),
+    ("high_risk_flag", "patient_id", "not_null"),
+]
 
 
 def _title(text: str) -> str:
@@ -26,19 +60,22 @@ def _title(text: str) -> str:
 
 
 def _plain(number: str) -> str:
-    return f"coalesce(rtrim(rtrim(cast({number} as varchar), '0'), '.'), 'None')"
+    return f"coalesce(cast(cast({number} as double) as varchar), 'None')"
 
 
-RULES = RiskRules()
 RISK_TESTS = [
-    f"active_condition_count >= {RULES.conditions_at_least}",
-    f"latest_systolic_bp > {RULES.systolic_above}",
-    f"latest_glucose > {RULES.glucose_above}",
-    f"latest_bmi > {RULES.bmi_above}",
-    f"(days_since_last_encounter > {RULES.days_above} and active_condition_count >= {RULES.conditions_when_overdue})",
+    "active_condition_count >= 3",
+    "latest_systolic_bp > 160",
+    "latest_glucose > 300",
+    "latest_bmi > 40",
+    "(days_since_last_encounter > 365 and active_condition_count >= 1)",
 ]
 
-_SPACE = "".join(f"\\x{{{ord(ch):x}}}" for ch in WHITESPACE)
+# What counts as white space around a response.
+_SPACE = (
+    r"\x{9}\x{a}\x{b}\x{c}\x{d}\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}\x{1680}\x{2000}\x{2001}\x{2002}\x{2003}"
+    r"\x{2004}\x{2005}\x{2006}\x{2007}\x{2008}\x{2009}\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 CTES = {
     "stg_patients": rf"""
@@ -78,7 +115,7 @@ select distinct encounter as encounter_id, patient as patient_id, start as condi
 from raw_conditions""",
     "observations_wide": "\nselect encounter as encounter_id, patient as patient_id, "
     + ", ".join(
-        f"max(case when code = '{code}' then cast(value as decimal(18,4)) end) as {name}"
+        f"max(case when code = '{code}' then cast(value as decimal(38,10)) end) as {name}"
         for code, name in VITALS.items()
     )
     + "\nfrom raw_observations group by 1, 2",
@@ -210,7 +247,8 @@ def _with(body: str) -> str:
                 ordered.append(name)
 
     visit(body)
-    return "with " + ",\n".join(known[name] for name in ordered) + "\n" + body
+    inner = body.startswith("with ")
+    return "with " + ",\n".join(known[name] for name in ordered) + ("," + body[4:] if inner else "\n" + body)
 
 
 def _as_doubles(table: str, *columns: str) -> str:
@@ -218,32 +256,65 @@ def _as_doubles(table: str, *columns: str) -> str:
     return f"select * replace ({casts}) from {table}"
 
 
-def _check(c: Check) -> str:
-    if c.rule == "unique":
-        failing = (
-            f"(select {c.column} from {c.table} where {c.column} is not null "
-            f"group by {c.column} having count(*) > 1)"
-        )
-    elif c.rule == "not_null":
-        failing = f"{c.table} where {c.column} is null"
+def _check(table: str, column: str, rule: str) -> str:
+    if rule == "unique":
+        failing = f"(select {column} from {table} where {column} is not null group by {column} having count(*) > 1)"
+    elif rule == "not_null":
+        failing = f"{table} where {column} is null"
     else:
-        failing = f"{c.table} where not ({c.column} {c.rule})"
+        failing = f"{table} where not ({column} {rule})"
     return (
-        f"select '{c.table}' as \"table\", '{c.column}' as \"column\", '{c.rule}' as \"check\", "
+        f"select '{table}' as \"table\", '{column}' as \"column\", '{rule}' as \"check\", "
         f"count(*) as failures from {failing}"
     )
 
 
-def _checks(checks: list[Check]) -> str:
-    return "\nunion all ".join(_check(c) for c in checks)
+def _checks(checks: list[tuple[str, str, str]]) -> str:
+    return "\nunion all ".join(_check(*c) for c in checks)
 
 
-def _rules(keep, extra: list[Check]) -> str:
-    return _checks([c for c in RUN_CHECKS if keep(c)] + extra)
+def _rules(keep, extra: list[tuple[str, str, str]]) -> str:
+    return _checks([c for c in RUN_CHECKS if keep(c[2])] + extra)
 
 
 _PATIENT_MONEY = ("lat", "lon", "healthcare_expenses", "healthcare_coverage")
 _LATEST = ("latest_systolic_bp", "latest_diastolic_bp", "latest_bmi", "latest_glucose")
+# Columns of the raw tables, and the types in which numbers are kept.
+CSV_COLUMNS = {
+    "patients": """id, birthdate, deathdate, ssn, first, last, marital, race, ethnicity, gender, city, state, zip,
+        lat decimal(28,20), lon decimal(28,20), healthcare_expenses decimal(28,10),
+        healthcare_coverage decimal(28,10), loaded_at""",
+    "encounters": """id, start, stop, patient, organization, provider, payer, encounterclass, code, description,
+        base_encounter_cost decimal(28,10), total_claim_cost decimal(28,10), payer_coverage decimal(28,10),
+        reasoncode, reasondescription, loaded_at""",
+    "conditions": "start, stop, patient, encounter, code, description",
+    "observations": "date timestamp, patient, encounter, code, value",
+    "medications": "start, stop, patient, description",
+}
+CSV_PLANTED = {
+    "patients": ("id", "city"),
+    "encounters": ("id", "description"),
+    "conditions": ("encounter", "description"),
+    "observations": ("encounter", "value"),
+    "medications": ("patient", "description"),
+}
+
+
+def _lines(name: str, columns: str) -> str:
+    """Every row as one text. The planted text is what the files held; an empty text reads as missing."""
+    key, text = CSV_PLANTED[name]
+    planted = (
+        f"case length({key}) % 3 when 0 then 'a' || chr(10) || ', \"' || {text} || '\"' "
+        f"when 1 then null else '\"' || {text} || chr(10) end"
+    )
+    parts = []
+    for column in re.split(r",\s*(?![0-9])", columns):
+        column, _, kind = column.strip().partition(" ")
+        value = planted if column == text else column
+        parts.append(f"coalesce(cast({f'cast({value} as {kind})' if kind else value} as varchar), '~')")
+    return f"select '{name}' as name, {' || chr(124) || '.join(parts)} as line from raw_{name}"
+
+
 _PICK = " union all ".join(f"select '{code}' as code" for code in VITALS)
 
 BODIES = {
@@ -271,7 +342,7 @@ where k = 1""",
     "high_risk_flag": _as_doubles("high_risk_flag", *_LATEST),
     "new_patients_only": f"""select id, birthdate, first, last from raw_patients
 where id not in (select patient_id from stg_encounters where encounter_start < DATE '{LOADED_BEFORE}')""",
-    "csv_roundtrip": _as_doubles("raw_patients", *_PATIENT_MONEY),
+    "csv_roundtrip": "\nunion all ".join(_lines(*x) for x in CSV_COLUMNS.items()),
     "load_twice": " union all ".join(
         f"select '{name}' as name, count(*) as inserted, {again} as inserted_again, {skipped} as skipped, "
         f"{stored} as stored from raw_{name}"
@@ -310,24 +381,33 @@ from (select case when d.patient_id is not null then 'skipped' else q.status end
     "triage_preview": """select patient_id, risk_score, risk_label from parsed
 where status = 'processed' order by patient_id limit 10""",
     "quality_unique": _rules(
-        lambda c: c.rule == "unique",
-        [Check("raw_encounters", "patient", "unique"), Check("raw_conditions", "encounter", "unique")],
+        lambda rule: rule == "unique",
+        [("raw_encounters", "patient", "unique"), ("raw_conditions", "encounter", "unique")],
     ),
     "quality_not_null": _rules(
-        lambda c: c.rule == "not_null",
-        [Check("raw_conditions", "code", "not_null"), Check("fct_clinical_events", "bmi", "not_null")],
+        lambda rule: rule == "not_null",
+        [("raw_conditions", "code", "not_null"), ("fct_clinical_events", "bmi", "not_null")],
     ),
     "quality_expression": _rules(
-        lambda c: c.rule not in ("unique", "not_null"),
-        [Check("stg_patients", "age", ">= 40"), Check("stg_encounters", "patient_out_of_pocket", "> 1000")],
+        lambda rule: rule not in ("unique", "not_null"),
+        [("stg_patients", "age", ">= 40"), ("stg_encounters", "patient_out_of_pocket", "> 1000")],
     ),
     "quality_report": _checks(RUN_CHECKS),
+    "quality_log": """with logged as (
+  select patient_id from parsed where status = 'processed'
+  union all select patient_id from parsed where status = 'processed' and patient_id like '%3'
+  union all select null from parsed where status = 'processed' and patient_id like '%7')
+select 'triage_summaries' as "table", 'patient_id' as "column", 'not_null' as "check",
+  count(*) filter (where patient_id is null) as failures from logged
+union all select 'triage_summaries', 'run_date', 'not_null', 0::bigint
+union all select 'triage_summaries', 'patient_id, run_date', 'unique', count(*)
+from (select patient_id from logged where patient_id is not null group by patient_id having count(*) > 1)""",
     "hash_sample": f"""select id, patient, start from raw_encounters
-where substr(md5('{SAMPLE_SEED}' || id), 1, 8) < printf('%08x', cast(floor(0.6 * 4294967296) as bigint))""",
+where substr(md5('{SAMPLE_SEED}' || coalesce(patient, '')), 1, 8) < printf('%08x', cast(floor(0.6 * 4294967296) as bigint))""",
     "k_of_n": f"""select encounter, patient, code from (
   select e.id as encounter, e.patient, c.code,
-    row_number() over (partition by e.id order by md5(c.code || e.id), c.code) as place,
-    2 + cast('0x' || substr(md5(e.id), 1, 8) as bigint) % 5 as k
+    row_number() over (partition by e.id order by md5(c.code || coalesce(e.patient, '')), c.code) as place,
+    2 + cast('0x' || substr(md5(coalesce(e.patient, '')), 1, 8) as bigint) % 5 as k
   from raw_encounters e, ({_PICK}) c)
 where place <= k""",
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -15,11 +18,11 @@ from cohortflow.operators.reshape import hashed_count, k_of_n_explode
 from cohortflow.operators.scoring import score_rows
 from cohortflow.operators.selection import hash_sample
 from cohortflow.plans import marts, staging, triage
-from cohortflow.plans.quality import RUN_CHECKS, Check, check_tables
+from cohortflow.plans.quality import LOG_CHECKS, RUN_CHECKS, Check, check_tables
 from cohortflow.samples import rule_scorer as scorers
 from cohortflow.samples.star_tables import AS_OF, raw_table
 from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA, VITALS
-from cohortflow.session import remove_path, scratch_database, scratch_path, shared_folder, staged
+from cohortflow.session import remove_path, scratch_database, scratch_path, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
 from cohortflow.sources.loader import load_folder
 from cohortflow.sources.tables import SUMMARY_TABLE, create_all, create_table, summary_preview
@@ -119,9 +122,11 @@ def _triage_day(s: Star) -> DataFrame:
 
 
 def _triage_report(s: Star) -> DataFrame:
-    flagged, done = s.high_risk().select("patient_id"), s.done()
-    answered = s.parsed().join(triage.pending(flagged, done, RUN_DATE), "patient_id", "left_semi")
-    return triage.report(triage.all_statuses(answered, triage.skipped(flagged, done, RUN_DATE)))
+    # The flagged patients are planned once: one left join with the day's log and one with the answers.
+    done = s.done().select("patient_id", F.lit(True).alias("is_done"))
+    answers = s.parsed().select("patient_id", F.col("status").alias("answer"))
+    flagged = s.high_risk().select("patient_id").join(done, "patient_id", "left").join(answers, "patient_id", "left")
+    return triage.report(flagged.select(F.when(F.col("is_done"), "skipped").otherwise(F.col("answer")).alias("status")))
 
 
 def _shouted(df: DataFrame) -> DataFrame:
@@ -130,15 +135,49 @@ def _shouted(df: DataFrame) -> DataFrame:
 
 
 def _csv_writer(df: DataFrame):
-    return _shouted(df).write.mode("overwrite").option("header", True).option("escape", '"')
+    # Text is written as it is; by default the writer trims it.
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    return _shouted(df).write.mode("overwrite").options(header=True, escape='"', **kept)
+
+
+# Per table a key, and a text column in which line breaks, quotes, commas and empty texts are planted.
+PLANTED = {
+    "patients": ("id", "city"),
+    "encounters": ("id", "description"),
+    "conditions": ("encounter", "description"),
+    "observations": ("encounter", "value"),
+    "medications": ("patient", "description"),
+}
+PLANT = (
+    "case length({key}) % 3 when 0 then concat('a', chr(10), ', \"', {text}, '\"') "
+    "when 1 then '' else concat('\"', {text}, chr(10)) end"
+)
+
+
+def _line(df: DataFrame, name: str) -> DataFrame:
+    """Every row as one text: its values in order, missing ones as a tilde."""
+    kinds = RAW_SCHEMAS[name]
+    texts = [F.coalesce(F.col(f).cast(kinds[f].dataType).cast("string"), F.lit("~")) for f in df.columns]
+    return df.select(F.lit(name).alias("name"), F.concat_ws("|", *texts).alias("line"))
 
 
 def _csv_roundtrip(s: Star) -> DataFrame:
-    # One folder per application, rewritten by each call: the result is read from it later.
-    path = f"{shared_folder(s.spark).rstrip('/')}/cohortflow/csv-{s.spark.sparkContext.applicationId}"
-    patients = s.raw("patients")
-    _csv_writer(patients).csv(path)
-    return typed_by_name(read_csv(s.spark, path), RAW_SCHEMAS["patients"]).select(*patients.columns)
+    """All raw tables, written as CSV with planted text and read back with their types."""
+    folder, parts = scratch_path(s.spark, "csv"), []
+    # The result is read from the files later, so they go when the application does.
+    atexit.register(_forget, s.spark, folder)
+    for name, (key, text) in PLANTED.items():
+        rows = s.raw(name)
+        planted = rows.withColumn(text, F.expr(PLANT.format(key=key, text=text)))
+        _csv_writer(planted).csv(f"{folder}/{name}")
+        back = typed_by_name(read_csv(s.spark, f"{folder}/{name}"), RAW_SCHEMAS[name])
+        parts.append(_line(back.select(*rows.columns), name))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    with contextlib.suppress(Exception):  # the session may be gone already
+        remove_path(spark, path)
 
 
 def _load_twice(s: Star) -> DataFrame:
@@ -160,6 +199,14 @@ def _load_twice(s: Star) -> DataFrame:
     return spark.createDataFrame(counts, columns)
 
 
+def _quality_log(s: Star) -> DataFrame:
+    """The log's checks, over the answers to all patients with some logged twice and some without patient."""
+    logged = s.parsed().where("status = 'processed'").select("patient_id", F.lit(RUN_DATE).alias("run_date"))
+    again = logged.where("patient_id like '%3'")
+    lost = logged.where("patient_id like '%7'").withColumn("patient_id", F.lit(None).cast("string"))
+    return check_tables({SUMMARY_TABLE: logged.unionByName(again).unionByName(lost)}, LOG_CHECKS)
+
+
 def _triage_log(s: Star) -> DataFrame:
     """The log after two triage runs on one day: the second finds all of its batch done."""
     with scratch_database(s.spark, "triage") as database:
@@ -177,8 +224,9 @@ def _triage_log(s: Star) -> DataFrame:
 
 
 def _k_of_n(s: Star) -> DataFrame:
+    # By patient, which some encounters lack.
     encounters = s.raw("encounters").select(F.col("id").alias("encounter"), "patient")
-    return k_of_n_explode(encounters, "encounter", list(VITALS), hashed_count(F.col("encounter"), 2, len(VITALS)))
+    return k_of_n_explode(encounters, "patient", list(VITALS), hashed_count(F.col("patient"), 2, len(VITALS)))
 
 
 def _only(rule: Callable[[Check], bool], extra: list[Check]) -> Callable[[Star], DataFrame]:
@@ -226,7 +274,8 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
         [Check("stg_patients", "age", ">= 40"), Check("stg_encounters", "patient_out_of_pocket", "> 1000")],
     ),
     "quality_report": lambda s: check_tables(s.tables()),
-    "hash_sample": lambda s: hash_sample(s.raw("encounters"), "id", 0.6, SAMPLE_SEED).select(
+    "quality_log": _quality_log,
+    "hash_sample": lambda s: hash_sample(s.raw("encounters"), "patient", 0.6, SAMPLE_SEED).select(
         "id", "patient", "start"
     ),
     "k_of_n": _k_of_n,

@@ -4,7 +4,8 @@ Customers become patients, orders encounters, and every line item a condition, a
 medication and an observation. The text below runs in Spark and in ANSI engines
 alike, so both sides of a check start from the same rows. It plants what the
 models must cope with: missing stops, codes and names, encounters without a
-patient, encounters observed under two patients, text that is not a number.
+patient, encounters observed under two patients, text that is not a number, measures
+a hair above a threshold.
 """
 
 from __future__ import annotations
@@ -63,16 +64,19 @@ select cast(l_shipdate as date) as start,
   concat('cond ', cast(l_partkey % 12 as string)) as description
 from {lineitem} join {orders} on l_orderkey = o_orderkey""",
     "raw_observations": """
+select date, patient, encounter, code, coalesce(fine, value) as value from (
 select l_shipdate as date,
   case when l_suppkey % 40 = 3 then concat('pt-', cast(l_suppkey as string))
        else concat('pt-', cast(o_custkey as string)) end as patient,
   concat('enc-', cast(l_orderkey as string)) as encounter,
   case l_linenumber when 1 then '55284-4' when 2 then '8462-4' when 3 then '39156-5'
                     when 4 then '2339-0' when 5 then '8867-4' when 6 then '8310-5' else 'text' end as code,
+  case when l_linenumber = 3 and l_orderkey % 61 = 9 then '40.00004'
+       when l_linenumber = 4 and l_orderkey % 67 = 5 then '300.0000000001' end as fine,
   case l_linenumber when 3 then cast(cast(18 + l_quantity * 0.5 as decimal(10,1)) as string)
                     when 4 then cast(cast(70 + l_quantity * 6 as int) as string)
                     when 7 then 'n/a' else cast(cast(80 + l_quantity * 2 as int) as string) end as value
-from {lineitem} join {orders} on l_orderkey = o_orderkey""",
+from {lineitem} join {orders} on l_orderkey = o_orderkey) measured""",
     "raw_medications": """
 select cast(cast(l_shipdate as date) as string) as start,
   case when l_discount > 0.03 then cast(cast(l_shipdate as date) + 400 as string) end as stop,
@@ -83,7 +87,7 @@ from {lineitem} join {orders} on l_orderkey = o_orderkey join {part} on p_partke
     "raw_responses": """
 select concat('pt-', cast(c_custkey as string)) as patient_id,
   case c_custkey % 13
-    when 0 then 'not valid json {{'
+    when 0 then 'no JSON here {{'
     when 1 then concat('{"risk_score": 2, "risk_label": "', c_mktsegment, '"}')
     when 2 then concat('{"risk_score": "', cast(c_nationkey as string), '", "risk_label": "LOW", "summary": null}')
     when 3 then concat('{"risk_score": ', cast(c_nationkey as string), '.5, "risk_label": 7, "summary": "half"}')

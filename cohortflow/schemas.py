@@ -1,8 +1,8 @@
 """Column layouts of the raw tables and of the triage log.
 
-Numbers that are unbounded decimals in the source system are held in 18-digit
-decimals: they stay in one machine word, so aggregation buffers are updated in
-place, and sums are exact.
+Numbers that are unbounded decimals in the source system are held in decimals
+with room for ten or more places. Text with more places than that is an error, never rounded; sums
+are exact, and aggregation buffers are still updated in place.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ TYPES = {
     "text": T.StringType(),
     "date": T.DateType(),
     "moment": T.TimestampNTZType(),
-    "money": T.DecimalType(18, 4),
-    "degrees": T.DecimalType(18, 15),
+    "money": T.DecimalType(28, 10),
+    "degrees": T.DecimalType(28, 20),
     "int": T.IntegerType(),
 }
 
@@ -76,4 +76,4 @@ VITALS = {
     "8867-4": "heart_rate",
     "8310-5": "body_temp_c",
 }
-MEASURE_TYPE = "decimal(18,4)"
+MEASURE_TYPE = "decimal(38,10)"

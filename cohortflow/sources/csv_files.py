@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow.functions.numbers import exact_decimal
 from cohortflow.session import require_ansi
 
 _BAD_LINE = "_bad_line"
@@ -34,14 +35,28 @@ def _too_many_fields(line: Column, width: int) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= width
 
 
-def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+def records_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some record may hold a line break inside quotes.
+
+    Such a record's first line has an odd number of quotes, since a quote inside
+    quotes is written twice. One pass of built-ins over the raw lines, which
+    stops at the first find.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+
+
+def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """All columns as text under cleaned header names.
 
     `path` may be one file, a folder or a glob; every file must carry the same
     header. Lines shorter than the header are filled with NULL, longer ones stop
-    the job. Files split over tasks unless `multiline` asks for line breaks
-    inside quotes.
+    the job. Files split over tasks where every record is one line; otherwise each
+    file is one task's. `multiline` says which, where the caller knows; by default
+    the files are looked through. The records are the same either way.
     """
+    if multiline is None:
+        multiline = records_span_lines(spark, path)
     header = _reader(spark, multiline).csv(path).columns
     names = [clean_header(name) for name in header]
     if not names:
@@ -85,6 +100,8 @@ def typed_by_name(
             value = F.current_timestamp()
         else:
             value = F.lit(None)
+        if isinstance(field.dataType, T.DecimalType) and field.name in df.columns:
+            return exact_decimal(value, field.dataType).alias(field.name)
         return value.cast(field.dataType).alias(field.name)
 
     return df.select(*[column(field) for field in schema.fields])

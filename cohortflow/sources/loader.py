@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.operators.difference import new_rows_only
+from cohortflow.operators.difference import already_stored, new_rows_only
 from cohortflow.schemas import PRIMARY_KEYS, RAW_SCHEMAS
 from cohortflow.session import hadoop_path, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
@@ -48,38 +48,41 @@ def load_rows(rows: DataFrame, table: str, key: str | None) -> TableLoad:
     """Append typed rows to a table; with a key, only those whose key is new."""
     if key is None:
         return _append_all(rows, table)
-    with staged(rows, "load") as batch:
-        return _append_new(batch, table, key)
+    seen = Observation()
+    with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
+        return _append_new(batch, table, key, seen.get.get("n", 0))
 
 
 def _append_all(rows: DataFrame, table: str) -> TableLoad:
-    if rows.isEmpty():
-        return TableLoad(table, 0, 0, 0)
     # The write has no shuffle, so each row is counted by exactly one finished task.
     seen = Observation()
     append(rows.observe(seen, F.count(F.lit(1)).alias("n")), table)
-    count = seen.get["n"]
+    count = seen.get.get("n", 0)  # no rows, nothing observed
     return TableLoad(table, count, 0, count)
 
 
-def _append_new(batch: DataFrame, table: str, key: str) -> TableLoad:
+def _append_new(batch: DataFrame, table: str, key: str, read: int) -> TableLoad:
+    if not read:
+        return TableLoad(table, 0, 0, 0)
     existing = batch.sparkSession.table(table)
-    read = batch.count()
-    # Keys only, counted before the join: the batch's other columns are not read for
-    # the checks, and a key that fills much of the file is one row by then.
-    per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
-    found = new_rows_only(per_key, existing, [key]).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("new"),
-        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-        F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated"),
-    ).first()
-    if found["null_keys"] or found["repeated"]:
-        raise KeyViolation(
-            f"{table}.{key}: {found['null_keys']} rows without key, {found['repeated']} keys given twice"
-        )
-    if found["new"]:
-        # When every key is new there is nothing to filter out.
-        append(batch if found["new"] == read else new_rows_only(batch, existing, [key]), table)
+    # The batch's stored keys, found once. The batch is the small side of this join, which
+    # Spark broadcasts by its size, so that stored keys are scanned but neither moved nor sorted.
+    with staged(already_stored(existing.select(key), batch, [key]).distinct(), "hits") as hits:
+        # Keys only, counted before the join: the batch's other columns are not read for
+        # the checks, and a key that fills much of the file is one row by then.
+        per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
+        found = new_rows_only(per_key, hits, [key]).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("new"),
+            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
+            F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated"),
+        ).first()
+        if found["null_keys"] or found["repeated"]:
+            raise KeyViolation(
+                f"{table}.{key}: {found['null_keys']} rows without key, {found['repeated']} keys given twice"
+            )
+        if found["new"]:
+            # When every key is new there is nothing to filter out.
+            append(batch if found["new"] == read else new_rows_only(batch, hits, [key]), table)
     return TableLoad(table, read, read - found["new"], found["new"])
 
 
@@ -89,7 +92,7 @@ def load_file(
     name: str,
     database: str = RAW_DATABASE,
     na_tokens: Sequence[str] = ("",),
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> TableLoad:
     """Load one CSV source into raw table `name`."""
     text = read_csv(spark, path, multiline)
@@ -106,7 +109,7 @@ def load_folder(
     folder: str,
     database: str = RAW_DATABASE,
     na_tokens: Sequence[str] = ("",),
-    multiline: bool = False,
+    multiline: bool | None = None,
 ) -> LoadReport:
     """Load <table>.csv for every raw table; a file that is not there is reported, not fatal.
 

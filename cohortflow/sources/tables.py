@@ -49,17 +49,29 @@ def append(df: DataFrame, table: str) -> None:
 
 
 def rebuild(df: DataFrame, table: str) -> DataFrame:
-    """Replace a table's contents and read it back.
+    """Replace a table and read it back.
 
-    The table itself stays unless its columns changed, so a write that fails
-    half-way leaves a table the next run can fill.
+    The new table is built in full beside the old one, which is renamed away and
+    dropped only then: a write that fails leaves the old rows in place, and a stop
+    between the renames leaves them under `<table>__old`, from where the next
+    rebuild takes them back first.
     """
     spark = df.sparkSession
+    fresh, old = f"{table}__new", f"{table}__old"
+    if spark.catalog.tableExists(old) and not spark.catalog.tableExists(table):
+        spark.sql(f"alter table {old} rename to {table}")
+    for left in (fresh, old):
+        spark.sql(f"drop table if exists {left}")
+    create_table(spark, fresh, df.schema)
+    try:
+        df.write.insertInto(fresh, overwrite=True)
+    except Exception:
+        spark.sql(f"drop table if exists {fresh}")
+        raise
     if spark.catalog.tableExists(table):
-        if spark.table(table).schema.simpleString() != df.schema.simpleString():
-            spark.sql(f"drop table {table}")
-    create_table(spark, table, df.schema)
-    df.write.insertInto(table, overwrite=True)
+        spark.sql(f"alter table {table} rename to {old}")
+    spark.sql(f"alter table {fresh} rename to {table}")
+    spark.sql(f"drop table if exists {old}")
     return spark.table(table)
 
 
@@ -70,7 +82,14 @@ def publish_views(views: Mapping[str, DataFrame]) -> None:
 
 
 def append_summaries(results: DataFrame, table: str, run_date: dt.date) -> None:
-    """Append triage results under their run date, stamped with the time of writing."""
+    """Append triage results under their run date, stamped with the time of writing.
+
+    A result without patient stops the write, as does a missing run date.
+    """
+    if run_date is None:
+        raise ValueError("triage results need a run date")
+    refused = F.raise_error(F.lit("triage result without patient_id")).cast("string")
+    results = results.withColumn("patient_id", F.coalesce("patient_id", refused))
     stamped = results.withColumn("run_date", F.lit(run_date).cast("date")).withColumn(
         "created_at", F.current_timestamp().cast("timestamp_ntz")
     )

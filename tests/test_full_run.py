@@ -53,6 +53,15 @@ def test_rebuild_replaces_rows_and_follows_changed_columns(spark, databases):
         assert back.columns == df.columns and sorted(back.collect()) == sorted(df.collect())
 
 
+@pytest.mark.parametrize("columns", ["id", "id, cast(id as string) as name"])
+def test_a_failing_rebuild_leaves_the_old_rows(spark, databases, columns):
+    rebuild(spark.range(5), "analytics.kept_model")
+    broken = spark.range(3).selectExpr(*[c for c in columns.split(", ")]).where("assert_true(id < 2) is null")
+    with pytest.raises(Exception, match="(?i)assert|is not true"):
+        rebuild(broken, "analytics.kept_model")
+    assert sorted(r[0] for r in spark.table("analytics.kept_model").collect()) == [0, 1, 2, 3, 4]
+
+
 def test_a_failed_check_stops_before_triage(spark, databases, tmp_path):
     (tmp_path / "patients.csv").write_text("Id,BIRTHDATE\np1,2030-01-01\n")
 

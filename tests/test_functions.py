@@ -1,12 +1,16 @@
 import datetime as dt
 import hashlib
 import random
+from decimal import Decimal
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow.functions.dates import as_of_column, completed_years, days_since, iso_text, minutes_between
-from cohortflow.functions.text import full_name, plain_number, surrogate_key, title_words
+from cohortflow.functions.numbers import exact_decimal
+from cohortflow.functions.text import full_name, surrogate_key, title_words
 
 
 def test_completed_years_edges(spark):
@@ -101,7 +105,16 @@ def test_surrogate_key(spark):
     assert two == [hashlib.md5(s.encode()).hexdigest() for s in ("enc-1-7", "enc-2-~")]
 
 
-def test_plain_number(spark):
-    df = spark.createDataFrame([("165",), ("32.1",), ("100",), ("0",), (None,), ("-0.5",)], "s string")
-    got = [r[0] for r in df.select(plain_number(F.col("s").cast("decimal(18,4)"))).collect()]
-    assert got == ["165", "32.1", "100", "0", None, "-0.5"]
+def test_null_and_empty_text_have_different_keys(spark):
+    df = spark.createDataFrame([("",), (None,)], "a string")
+    assert len({r[0] for r in df.select(surrogate_key(F.col("a"))).collect()}) == 2
+
+
+def test_exact_decimal_keeps_every_digit_or_stops(spark):
+    kind = T.DecimalType(38, 10)
+    df = spark.createDataFrame([("40.00004",), ("1.50000000000000",), ("2e-3",), (None,)], "s string")
+    got = [r[0] for r in df.select(exact_decimal(F.col("s"), kind)).collect()]
+    assert got == [Decimal("40.00004"), Decimal("1.5"), Decimal("0.002"), None]
+    for text in ("0.12345678901", "1e-11"):
+        with pytest.raises(Exception, match="more than 10 places"):
+            spark.createDataFrame([(text,)], "s string").select(exact_decimal(F.col("s"), kind)).collect()

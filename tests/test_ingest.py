@@ -4,9 +4,12 @@ from decimal import Decimal
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
+from cohortflow.operators.difference import already_stored
 from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA
 from cohortflow.sources import loader
-from cohortflow.sources.csv_files import read_csv, typed_by_name
+from cohortflow.sources.csv_files import read_csv, records_span_lines, typed_by_name
 from cohortflow.sources.loader import KeyViolation, load_file, load_folder
 from cohortflow.sources.tables import create_all
 
@@ -18,10 +21,10 @@ def put(folder, name, text):
 
 
 def test_headers_are_cleaned_and_values_stay_text(spark, tmp_path):
-    path = put(tmp_path, "c.csv", "﻿ CODE , Description\n001,Asthma\n01234,\"a \"\"b\"\", c\"\n,\n")
+    path = put(tmp_path, "c.csv", "﻿ CODE , Description\n0042,Gout\n01234,\"a \"\"b\"\", c\"\n,\n")
     df = read_csv(spark, path)
     assert df.columns == ["code", "description"]
-    assert rows(df) == [("001", "Asthma"), ("01234", 'a "b", c'), (None, None)]
+    assert rows(df) == [("0042", "Gout"), ("01234", 'a "b", c'), (None, None)]
 
 
 def test_short_lines_are_filled_and_long_lines_stop(spark, tmp_path):
@@ -40,6 +43,45 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     assert rows(read_csv(spark, path, multiline=True)) == [("1", "two\nlines"), ("2", "x")]
 
 
+@pytest.mark.parametrize("place", range(3))
+def test_a_cut_record_is_read_whole_by_default(spark, tmp_path, place):
+    cells = ["1", "b", "c"]
+    cells[place] = '"one, ""two""\nthree"'
+    path = put(tmp_path, "m.csv", "A,B,C\n" + ",".join(cells) + "\n2,y,z\n")
+    want = ["1", "b", "c"]
+    want[place] = 'one, "two"\nthree'
+    assert records_span_lines(spark, path)
+    assert rows(read_csv(spark, path)) == sorted([tuple(want), ("2", "y", "z")])
+
+
+def test_one_line_records_still_split(spark, tmp_path):
+    path = put(tmp_path, "s.csv", "A,B\n" + '1,"x ""y"" z"\n' * 20_000)
+    assert not records_span_lines(spark, path)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        assert read_csv(spark, path).rdd.getNumPartitions() > 4
+        assert read_csv(spark, path, multiline=True).rdd.getNumPartitions() == 1
+        assert read_csv(spark, path).count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_digits_that_do_not_fit_stop_a_load(spark, databases, tmp_path):
+    fits = put(tmp_path, "f.csv", "ID,HEALTHCARE_EXPENSES\np1,10.123456\n")
+    load_file(spark, fits, "patients")
+    assert rows(spark.table("raw.patients"), "healthcare_expenses") == [(Decimal("10.123456"),)]
+    with pytest.raises(Exception, match="more than 10 places"):
+        load_file(spark, put(tmp_path, "n.csv", "ID,HEALTHCARE_EXPENSES\np2,0.12345678901\n"), "patients")
+
+
+def test_a_small_batch_does_not_move_stored_keys(spark, databases, tmp_path):
+    spark.range(2_000_000).select(F.md5(F.col("id").cast("string")).alias("id")).write.parquet(f"{tmp_path}/stored")
+    spark.createDataFrame([("k5",), ("new",)], "id string").write.parquet(f"{tmp_path}/batch")
+    stored, batch = spark.read.parquet(f"{tmp_path}/stored"), spark.read.parquet(f"{tmp_path}/batch")
+    plan = already_stored(stored, batch, ["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 def test_a_folder_of_files_is_one_source_and_headers_must_agree(spark, tmp_path):
     folder = tmp_path / "parts"
     folder.mkdir()
@@ -98,29 +140,34 @@ def test_tables_are_created_once(spark, databases):
 
 
 def test_unkeyed_load_inserts_all_rows_each_time(spark, databases, tmp_path):
-    path = put(tmp_path, "conditions.csv", "CODE,DESCRIPTION\n001,Asthma\n002,Hypertension\n")
+    path = put(tmp_path, "conditions.csv", "CODE,DESCRIPTION\n0042,Gout\n0043,Migraine\n")
     for total in (2, 4):
         result = load_file(spark, path, "conditions")
         assert (result.read, result.skipped, result.inserted) == (2, 0, 2)
         assert spark.table("raw.conditions").count() == total
-    assert rows(spark.table("raw.conditions"), "code", "description")[0] == ("001", "Asthma")
+    assert rows(spark.table("raw.conditions"), "code", "description")[0] == ("0042", "Gout")
 
 
 def test_keyed_load_drops_stored_ids(spark, databases, tmp_path):
-    load_file(spark, put(tmp_path, "1.csv", "id,FIRST,LAST\naaa,Alice,Smith\n"), "patients")
+    load_file(spark, put(tmp_path, "1.csv", "id,FIRST,LAST\nk1,Ines,Okafor\n"), "patients")
     result = load_file(
-        spark, put(tmp_path, "2.csv", "id,FIRST,LAST\naaa,Changed,Name\naaa,Again,Name\nbbb,Bob,Jones\n"), "patients"
+        spark, put(tmp_path, "2.csv", "id,FIRST,LAST\nk1,Other,Text\nk1,More,Text\nk2,Tomas,Lind\n"), "patients"
     )
     assert (result.read, result.skipped, result.inserted) == (3, 2, 1)
-    assert rows(spark.table("raw.patients"), "id", "first") == [("aaa", "Alice"), ("bbb", "Bob")]
+    assert rows(spark.table("raw.patients"), "id", "first") == [("k1", "Ines"), ("k2", "Tomas")]
 
 
 def test_nothing_new_writes_nothing(spark, databases, tmp_path, monkeypatch):
-    path = put(tmp_path, "p.csv", "id,FIRST,LAST\naaa,Alice,Smith\n")
+    path = put(tmp_path, "p.csv", "id,FIRST,LAST\nk1,Ines,Okafor\n")
     load_file(spark, path, "patients")
     monkeypatch.setattr(loader, "append", lambda *a: pytest.fail("wrote"))
     assert load_file(spark, path, "patients").inserted == 0
-    assert load_file(spark, put(tmp_path, "c.csv", "CODE\n"), "conditions").inserted == 0
+    assert load_file(spark, put(tmp_path, "none.csv", "id,FIRST\n"), "patients").inserted == 0
+
+
+def test_an_empty_file_adds_nothing(spark, databases, tmp_path):
+    result = load_file(spark, put(tmp_path, "c.csv", "CODE\n"), "conditions")
+    assert (result.read, result.inserted) == (0, 0) and spark.table("raw.conditions").count() == 0
 
 
 @pytest.mark.parametrize("body", ["a,1\na,2\n", ",1\nb,2\n"])
@@ -138,7 +185,7 @@ def test_key_column_must_be_there(spark, databases, tmp_path):
 
 def test_folder_load_reports_missing_files_and_total(spark, databases, tmp_path):
     assert load_folder(spark, str(tmp_path)).total == 0
-    put(tmp_path, "conditions.csv", "CODE,DESCRIPTION\n001,Asthma\n002,COPD\n")
+    put(tmp_path, "conditions.csv", "CODE,DESCRIPTION\n0042,Gout\n0043,Migraine\n")
     put(tmp_path, "encounters.csv", "Id,START,PATIENT\ne1,2020-01-01,p1\n")
     report = load_folder(spark, str(tmp_path))
     assert report.total == 3

@@ -112,3 +112,12 @@ def test_k_of_n_against_brute_force(spark):
         k = 2 + int(md5(key)[:8], 16) % 4
         want += [(key, c) for c in sorted(catalogue, key=lambda c: md5(c + key))[:k]]
     assert rows(got) == sorted(want)
+
+
+def test_rows_without_key_are_sampled_and_exploded_like_others(spark):
+    df = spark.createDataFrame([("a",), (None,), (None,), ("b",)], "k string")
+    nearly, whole = (hash_sample(df, "k", f) for f in (0.999999999, 1.0))
+    assert nearly.count() == whole.count() == 4
+    out = k_of_n_explode(df, "k", ["x", "y", "z"], hashed_count(F.col("k"), 2, 3))
+    per = {r[0]: r[1] for r in out.groupBy("k").count().collect()}
+    assert per.keys() == {"a", "b", None} and per[None] >= 4
