@@ -143,7 +143,8 @@ def mix_sources(
 def words_taken(mix: DataFrame, blocks: DataFrame) -> DataFrame:
     """Per document row: doc_id, size, source_size, target, taken (words in the mix, repeats counted)."""
     times = mix.groupBy("number", "block").agg(F.count(F.lit(1)).alias("times"))
-    found = blocks.join(times, ["number", "block"], "left")
+    # Both sides grow with the input: never broadcast.
+    found = blocks.join(times.hint("merge"), ["number", "block"], "left")
     taken = F.sum(F.col("words") * F.coalesce("times", F.lit(0))).alias("taken")
     keys = ["doc_id", "number", "bucket", "row", "size", "source_size", "target"]
     return found.groupBy(*keys).agg(taken).select("doc_id", "size", "source_size", "target", "taken")
