@@ -33,7 +33,7 @@ DOCUMENT = np.dtype([("doc_id", "<i8"), ("copy", "<u4"), ("is_null", "<u4"), ("f
 SLOT = np.dtype([("fingerprint", "<u4"), ("document", "<u4")])
 FOOTER = np.dtype([("magic", "S8"), ("width", "<u4"), ("spare", "<u4"), ("ids", "<u8"), ("documents", "<u8"), ("buckets", "<u8")])
 MAGIC = b"tokids01"
-KEYS_PER_BUCKET = 4
+KEYS_PER_BUCKET = 2
 MANIFEST_SCHEMA = "shard int, uri string, documents long, ids long, low long, high long"
 READ_SCHEMA = "doc_id long, copy int, shard int, first long, n_tokens long, ids_crc32 long"
 
@@ -68,12 +68,16 @@ def build_index(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     several = np.argsort(-sizes, kind="stable")
     for b in several[: int((sizes > 1).sum())]:
         members = order[starts[b] : starts[b + 1]]
-        mine, seed = keys[members], 0
+        mine, tried, width = keys[members], 0, 16
         while True:
-            places = _slot(mine, seed, n).astype(np.int64)
-            if not used[places].any() and len(set(places.tolist())) == len(places):
+            seed_block = np.arange(tried, tried + width, dtype=np.uint64)
+            options = (words.mix(mine ^ words.mix(seed_block)[:, None]) % np.uint64(n)).astype(np.int64)
+            apart = (np.diff(np.sort(options, axis=1), axis=1) > 0).all(axis=1)
+            fits = np.flatnonzero(apart & ~used[options].any(axis=1))
+            if len(fits):
+                seed, places = tried + int(fits[0]), options[fits[0]]
                 break
-            seed += 1
+            tried, width = tried + width, min(2 * width, 1024)
         used[places] = True
         seeds[b], slot_of[members] = seed, places
     alone = np.flatnonzero(sizes == 1)
