@@ -1,0 +1,63 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from cohortflow.llm import groups, words
+
+TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="ab Z\t\n\x0b\f\r\x1c\x85é日", max_size=30)), max_size=8)
+
+
+def brute_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+@settings(max_examples=200, deadline=None)
+@given(TEXTS, st.integers(0, 3))
+def test_words_are_found_in_every_text(texts, skip):
+    column = pa.array([None] * skip + texts, pa.string()).slice(skip)
+    hashed, before = words.word_hashes(column, lower=False)
+    assert np.diff(before).tolist() == [len(brute_words(t)) for t in texts]
+    flat = [w for t in texts for w in brute_words(t)]
+    seen = {}
+    for word, key in zip(flat, hashed.tolist()):
+        assert seen.setdefault(word, key) == key
+    assert len(set(seen.values())) == len(seen)
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS)
+def test_shingles_of_short_and_long_texts(texts):
+    hashed, before = words.word_hashes(pa.array(texts, pa.string()), lower=True)
+    runs, runs_before = words.shingle_hashes(hashed, before, 3)
+    for t, a, b in zip(texts, runs_before[:-1], runs_before[1:]):
+        found = brute_words(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        want = [tuple(found[i : i + 3]) for i in range(len(found) - 2)] or ([tuple(found)] if found else [])
+        assert b - a == len(want) and len(set(runs[a:b].tolist())) == len(set(want))
+
+
+def test_long_words_differ_at_any_place():
+    text = "x" * 50
+    variants = [text[:i] + "y" + text[i + 1 :] for i in range(50)] + [text, text + "x"]
+    hashed, _ = words.word_hashes(pa.array([" ".join(variants)]), lower=False)
+    assert len(set(hashed.tolist())) == len(variants)
+
+
+def test_slices_cover_all_rows():
+    column = pa.array(["a" * n for n in (5, 0, 30, 2, 2, 100, 1)] + [None])
+    ranges = list(words.slices(column, 10))
+    assert ranges[0][0] == 0 and ranges[-1][1] == len(column)
+    assert all(a[1] == b[0] for a, b in zip(ranges, ranges[1:]))
+    assert list(words.slices(pa.array([], pa.string()))) == []
+
+
+def test_runs_cross_batches_and_forests_connect():
+    batches = [pa.RecordBatch.from_pydict({"k": k}) for k in ([1, 1], [1, 2], [], [2], [3])]
+    batches[2] = batches[0].slice(0, 0)
+    assert [r.column("k").to_pylist() for r in groups.runs(batches, ["k"])] == [[1, 1, 1], [2, 2], [3]]
+    links = np.zeros((6, 6), dtype=bool)
+    for a, b in ((4, 1), (5, 4), (0, 3), (3, 2)):
+        links[a, b] = links[b, a] = True
+    assert groups.forest(links).tolist() == [0, 1, 0, 0, 1, 1]
