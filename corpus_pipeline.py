@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cohortflow.llm.columns import word_count
 from cohortflow.llm.decontamination import overlaps
 from cohortflow.llm.language_id import UNDETERMINED, identify
 from cohortflow.llm.minhash_dedup import near_duplicates
@@ -62,7 +63,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     taken = words_taken(*mix_sources(docs)).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     times = F.greatest(F.round(F.col("taken") / F.col("size")), F.lit(1)).cast("int")
     times = taken.where("taken > 0").select(F.col("doc_id").alias(KEY), times.alias("_times"))
-    kept = docs.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)))
+    worded = docs.where(word_count(F.col("text").cast("string")) > 0)
+    kept = worded.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)))
     return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
 
 
