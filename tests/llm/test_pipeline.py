@@ -1,0 +1,86 @@
+import importlib
+import re
+
+import pytest
+from conftest import DOCS, SF_DIR
+from pyspark.sql import functions as F
+from test_decontamination import brute as contaminated
+from test_minhash_dedup import brute as components
+
+import corpus_pipeline
+from cohortflow.llm import queries
+from cohortflow.llm.language_id import UNDETERMINED, identify
+from cohortflow.llm.queries import table
+
+
+def stage(name):
+    return dict(corpus_pipeline.STAGES)[name]
+
+
+def rows_of(df):
+    return sorted((tuple(r) for r in df.select("doc_id", "text", "lang", "source", "n_chars").collect()), key=str)
+
+
+def test_registered_queries():
+    entry = importlib.import_module("__spark_entry__")
+    names = set(entry.queries())
+    assert set(queries.QUERIES) < names and "pipeline" in names
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES] == list(range(1, 11))
+    assert set(entry.oracle_sql()) <= names
+
+
+def test_stages_one_by_one_against_brute_force(spark, sample):
+    docs, before = sample, [tuple(r) for r in sample.collect()]
+    benchmark = [tuple(r) for r in table(spark, SF_DIR, "benchmark").collect()]
+    # Language: what the operator rejects goes.
+    kept = stage("language_id")(spark, docs, SF_DIR)
+    verdicts = {r.doc_id: r for r in identify(sample).collect()}
+    lost = {i for i, r in verdicts.items() if r.lang_pred == UNDETERMINED or r.bits_per_byte > 6}
+    assert rows_of(kept) == sorted((r for r in before if r[0] not in lost), key=str)
+    before = rows_of(kept)
+    # Near duplicates: one of each group.
+    kept = stage("minhash_dedup")(spark, kept, SF_DIR)
+    firsts = {i for i, _, _, is_first in components([(r[0], r[1]) for r in before]) if is_first}
+    assert rows_of(kept) == [r for r in before if r[0] in firsts] and len(firsts) < len(before)
+    before = rows_of(kept)
+    # Decontamination.
+    kept = stage("decontamination")(spark, kept, SF_DIR)
+    short = [(r[0], r[1]) for r in before if len(r[1]) < 4000]
+    bad = {d for d, _ in contaminated(short, benchmark)}
+    after = rows_of(kept)
+    assert {r[0] for r in after} & {d for d, _ in short} == {d for d, _ in short} - bad
+    assert set(after) <= set(before) and len(before) - len(after) <= len(bad) + 15
+    # Mixing: whole documents, at most twice.
+    mixed = rows_of(stage("source_mixing")(spark, kept, SF_DIR))
+    assert set(mixed) <= set(after) and max(mixed.count(r) for r in set(mixed)) <= 2
+    # Tokens: one row per document and copy.
+    out = stage("token_ids")(spark, spark.createDataFrame(mixed, DOCS), SF_DIR)
+    assert sorted(r.doc_id for r in out.collect()) == sorted(r[0] for r in mixed)
+
+
+def test_the_whole_run(spark):
+    out = corpus_pipeline.run(spark, SF_DIR).collect()
+    starts = sorted((r.start, r.n_tokens) for r in out)
+    assert out and all(a[0] + a[1] == b[0] for a, b in zip(starts, starts[1:]))
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_awkward_and_empty_tables(spark, awkward, awkward_rows, nothing, name):
+    out = stage(name)(spark, awkward, SF_DIR)
+    assert stage(name)(spark, nothing, SF_DIR).count() == 0
+    if name == "token_ids":
+        assert out.count() == len(awkward_rows)
+        return
+    assert out.columns == awkward.columns
+    got = rows_of(out)
+    assert set(got) <= {tuple(r) for r in awkward_rows}
+    ids = [r[0] for r in got]
+    if name == "language_id":
+        assert len(got) == sum(any(ch.isalpha() for ch in r[1] or "") for r in awkward_rows)
+    if name == "minhash_dedup":
+        assert sorted(map(str, ids)) == sorted(map(str, [-3, 4, 5, 6, 7, 9, 10, 11, 12, 13, 14, 15, None, None, None]))
+    if name == "decontamination":
+        assert len(got) == len(awkward_rows)
+    if name == "source_mixing":
+        assert all(r[1] and r[1].split() for r in got)
+        assert F.lit(1) is not None

@@ -1,0 +1,94 @@
+import math
+import re
+from collections import Counter
+
+import pytest
+from conftest import CLASHING, DOCS
+from pyspark.sql import functions as F
+
+from cohortflow.llm import quality_rules
+from cohortflow.llm.quality_rules import RULES, apply_quality_rules, log_binomial_cdf, measured
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(row):
+    text = row[1] or ""
+    words = WORD.findall(text)
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    seen, covered = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if seen[w] > 1:
+            covered.update(range(i, i + 8))
+    counts = (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered))
+    return (row[0], *counts, counts[0] < 20 or 100 * counts[4] > 30 * counts[0])
+
+
+COLUMNS = ["doc_id", *quality_rules.BASE, "base_failed"]
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def counts_of(df):
+    return sorted((tuple(r) for r in df.select(*COLUMNS).collect()), key=str)
+
+
+def test_awkward_rows(spark, awkward, awkward_rows):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (None, 1, 0), (2, None, None)], LABELS)
+    got = apply_quality_rules(awkward.drop("stratum"), labels)
+    assert counts_of(got) == sorted(map(brute, awkward_rows), key=str)
+    # Too few labels: only the base rejects.
+    assert all(r.kept == (not r.base_failed) for r in got.collect())
+
+
+def test_repeats_of_every_shape(spark):
+    block = " ".join(f"x{i}" for i in range(9))
+    texts = [f"{block} {block}", f"{block} y {block} z {block}", "a " * 40, f"{block}\n{block}\n\n{block}", "a b c d e f g h",
+             "a b c d e f g h a b c d e f g", "\n\n x \n x \n x", "é " * 20 + "\r\n" * 3]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, DOCS).withColumn("stratum", F.col("lang"))
+    assert counts_of(measured(docs)) == sorted(map(brute, rows), key=str)
+
+
+def test_nothing(spark, nothing):
+    assert apply_quality_rules(nothing, spark.createDataFrame([], LABELS)).collect() == []
+
+
+@pytest.mark.parametrize(("n", "p"), [(5, 0.3), (400, 0.01), (20_000, 0.004)])
+def test_the_binomial_bound_is_exact(spark, n, p):
+    ks = sorted({0, 1, 2, int(n * p / 2), int(n * p)})
+    df = spark.createDataFrame([(k, n) for k in ks], "k long, n long")
+    got = [r[0] for r in df.select(log_binomial_cdf(F.col("k"), F.col("n"), p)).collect()]
+
+    def term(i):
+        return math.exp(math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p))
+
+    assert all(math.isclose(math.exp(g), sum(term(i) for i in range(k + 1)), rel_tol=1e-8) for k, g in zip(ks, got))
+
+
+def corpus(spark, good, bad):
+    """Good documents without symbols, bad ones with a symbol after every word; one stratum is too small."""
+    words = " ".join(f"word{i}" for i in range(30))
+    noisy = words.replace(" ", "# ")
+    rows = [(i, words, "en", "s", 0) for i in range(good)] + [(good + i, noisy, "en", "s", 0) for i in range(bad)]
+    rows += [(10**6 + i, noisy if i % 2 else words, "fr", "s", 0) for i in range(20)]
+    labels = [(r[0], int("#" not in r[1]), 0) for r in rows]
+    return spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, LABELS)
+
+
+def test_cutoffs_reject_the_bad_and_hold_their_limit(spark):
+    docs, labels = corpus(spark, 2500, 300)
+    got = {r.doc_id: r.kept for r in apply_quality_rules(docs, labels).collect()}
+    assert all(got[i] for i in range(2500)) and not any(got[2500 + i] for i in range(300))
+    assert all(got[10**6 + i] for i in range(20))
+
+
+def test_a_cutoff_that_good_documents_break_is_not_used(spark):
+    docs, labels = corpus(spark, 2500, 300)
+    everything_good = labels.withColumn("quality", F.lit(1))
+    assert all(r.kept for r in apply_quality_rules(docs, everything_good).collect())
+
+
+def test_the_plan_is_native(spark, sample):
+    plan = measured(sample.withColumn("stratum", F.col("lang")))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan) and len(RULES) == 5 and CLASHING
