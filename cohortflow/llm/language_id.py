@@ -158,11 +158,12 @@ def build_trees(counts: list[tuple[str, int, int]], cells: int = 1 << 24) -> Con
     return ContextTrees(langs, symbol, width, state.astype(np.int32), bits)
 
 
-def fit(docs: DataFrame, learn: Column, rows_per_lang: int) -> ContextTrees | None:
+def fit(docs: DataFrame, learn: Column, rows_per_lang: int, cells: int = 1 << 24) -> ContextTrees | None:
     """Trees from about `rows_per_lang` texts of each language among the rows where `learn` holds.
 
     The rows are those whose hashed id is below a rate set by the language's count, so the sample is bounded
-    and the same on every run. What reaches the driver is bounded by the sample's distinct sequences.
+    and the same on every run. What reaches the driver is bounded by the sample's distinct sequences, the
+    tables by `cells`.
     """
     usable = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = usable.groupBy("lang").count().collect()  # one row per language
@@ -172,7 +173,7 @@ def fit(docs: DataFrame, learn: Column, rows_per_lang: int) -> ContextTrees | No
     rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], int(min(1.0, rows_per_lang / r["count"]) * scale))])
     drawn = usable.where(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("language")), F.lit(scale)) < rates[F.col("lang")])
     counts = drawn.select("lang", "text").mapInArrow(_count, COUNT_SCHEMA).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    return build_trees([(r.lang, r.gram, r.n) for r in counts.toLocalIterator()])
+    return build_trees([(r.lang, r.gram, r.n) for r in counts.toLocalIterator()], cells)
 
 
 # -- prediction -----------------------------------------------------------------------------------
