@@ -1,4 +1,4 @@
-"""The registered queries of this subpackage and their SQL for an independent engine."""
+"""The registered queries of this subpackage; their SQL is in sql.py."""
 
 from __future__ import annotations
 
@@ -82,5 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
 }
-
-SQL: dict[str, str] = {}
