@@ -74,28 +74,23 @@ def chunk_table(docs: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, least_bytes: int = 100) -> DataFrame:
     """Spans that documents share: one row per span of a document, none for documents without.
 
-    Columns: doc_id, start and end (bytes of the UTF-8 text), chunks, removed_bytes (bytes whose chunk occurs
-    first elsewhere: what a deduplicated text loses), first_doc_id (smallest doc_id with a chunk of the span).
+    Columns: doc_id, start and end (bytes of the UTF-8 text), chunks, removed_bytes (bytes of chunks that a
+    document with a smaller doc_id has too: what a deduplicated text loses), first_doc_id (smallest doc_id with a chunk of the span).
     A span is a run of neighbouring chunks that each occur in at least two documents, `least_bytes` long or
     longer; chunks at the ends of a shared passage that reach beyond it are not in it, about 60 bytes together.
-    A chunk's first occurrence is the one with the smallest doc_id, then place. Repeats inside one document
-    alone are not reported. Null and empty texts and null ids have no spans. Rows that share an id are one
+    Repeats inside one document alone are not reported; text that repeats a word for hundreds of bytes may
+    have no content-defined cuts, and its chunks then agree only if they start alike. Null and empty texts and null ids have no spans. Rows that share an id are one
     document. Other columns are ignored. A 64-bit digest stands for a chunk.
     """
-    chunks = chunk_table(docs).repartition("digest")
-    shared = (
-        chunks.groupBy("digest")
-        .agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"),
-             F.min(F.struct("doc_id", "place")).alias("first"))
-        .where("first_doc_id < last_doc_id")
-        .select("digest", "first_doc_id", F.col("first.place").alias("first_place"))
-    )
+    chunks = chunk_table(docs)
+    # Combined before the shuffle, so that a chunk found everywhere is one row per task.
+    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
+    shared = shared.where("first_doc_id < last_doc_id").select("digest", "first_doc_id")
     found = chunks.join(shared, "digest").select(
         "doc_id",
         F.shiftright("place", LENGTH_BITS).alias("start"),
         F.expr(f"place & {(1 << LENGTH_BITS) - 1}").alias("length"),
         "first_doc_id",
-        ((F.col("doc_id") != F.col("first_doc_id")) | (F.col("place") != F.col("first_place"))).alias("repeat"),
     )
     order = Window.partitionBy("doc_id").orderBy("start")
     reached = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -105,7 +100,7 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100) -> DataFrame:
         F.min("start").alias("start"),
         F.max(F.col("start") + F.col("length")).alias("end"),
         F.count(F.lit(1)).alias("chunks"),
-        F.sum(F.when(F.col("repeat"), F.col("length")).otherwise(0)).alias("removed_bytes"),
+        F.sum(F.when(F.col("doc_id") != F.col("first_doc_id"), F.col("length")).otherwise(0)).alias("removed_bytes"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
     return spans.where(F.col("end") - F.col("start") >= least_bytes).drop("run")

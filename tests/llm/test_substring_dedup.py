@@ -31,7 +31,7 @@ def brute(rows, least=100):
     for body, found in places.items():
         if len({d for d, _ in found}) > 1:
             for doc_id, a in found:
-                shared[doc_id].add((a, a + len(body), min(found), (doc_id, a) != min(found)))
+                shared[doc_id].add((a, a + len(body), min(found), doc_id != min(found)[0]))
     for doc_id, found in shared.items():
         run = []
         for chunk in [*sorted(found), None]:
