@@ -12,12 +12,13 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is hung below the node's smallest neighbour."""
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("low")).select("u", F.least("u", "low").alias("low"))
+    low = written(low, "lows")  # read back, both sides of the join are dealt by Spark, which splits a hub's rows
     return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node itself, is hung below the smallest of them."""
-    low = edges.groupBy("u").agg(F.min("v").alias("low"))
+    low = written(edges.groupBy("u").agg(F.min("v").alias("low")), "lows")
     rest = edges.join(low, "u").where("v != low").select(F.col("v").alias("u"), F.col("low").alias("v"))
     return rest.union(low.select("u", F.col("low").alias("v"))).distinct()
 
