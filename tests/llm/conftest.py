@@ -6,16 +6,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
-SF_DIR = "/root/testdata/sf0.001"
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-# Names that operators use inside, or give to results: inputs may have them too.
-CLASHING = ["kept", "component_id", "size", "number", "row", "score", "h", "token", "taken", "shard", "hash", "words",
-            "rep", "stratum", "start", "digest", "bits", "places", "near", "bucket", "held_out", "first_doc_id", "u"]
-
-
-def prose(rnd, words, vocabulary=400):
-    return " ".join(f"w{int(vocabulary * rnd.random() ** 2)}" for _ in range(words))
-
+from llm.cases import CLASHING, DOCS, SF_DIR, prose  # noqa: E402
 
 @pytest.fixture(scope="session")
 def awkward_rows():
@@ -59,7 +50,3 @@ def sample(spark):
 @pytest.fixture(scope="session")
 def sample_rows(sample):
     return sample.collect()
-
-
-def sorted_rows(df, *columns):
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=lambda r: [(v is None, str(v)) for v in r])

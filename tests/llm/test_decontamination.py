@@ -1,7 +1,7 @@
 import random
 import re
 
-from conftest import SF_DIR
+from llm.cases import SF_DIR
 from pyspark.sql import functions as F
 
 from cohortflow.llm.decontamination import MASKS, REACH, overlaps

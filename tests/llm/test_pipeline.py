@@ -2,10 +2,9 @@ import importlib
 import re
 
 import pytest
-from conftest import DOCS, SF_DIR
-from pyspark.sql import functions as F
-from test_decontamination import brute as contaminated
-from test_minhash_dedup import brute as components
+from llm.cases import DOCS, SF_DIR
+from llm.test_decontamination import brute as contaminated
+from llm.test_minhash_dedup import brute as components
 
 import corpus_pipeline
 from cohortflow.llm import queries
@@ -83,4 +82,3 @@ def test_awkward_and_empty_tables(spark, awkward, awkward_rows, nothing, name):
         assert len(got) == len(awkward_rows)
     if name == "source_mixing":
         assert all(r[1] and r[1].split() for r in got)
-        assert F.lit(1) is not None

@@ -2,7 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import DOCS
+from llm.cases import DOCS
 from pyspark.sql import functions as F
 
 from cohortflow.llm.columns import permuted

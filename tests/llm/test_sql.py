@@ -3,7 +3,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import SF_DIR
+from llm.cases import SF_DIR
 
 from cohortflow.llm.queries import QUERIES
 from cohortflow.llm.sql import SQL

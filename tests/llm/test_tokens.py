@@ -10,7 +10,7 @@ from cohortflow.llm import token_ids
 from cohortflow.llm.pretokens import PretokenEncoder
 from cohortflow.llm.queries import tokenizer_path
 from cohortflow.llm.token_counts import count_tokens
-from cohortflow.llm.token_ids import Shard, find, read_token_ids, write_token_ids
+from cohortflow.llm.token_ids import find, read_token_ids, write_token_ids
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
 BYTES, WORDS = (tokenizer_path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -107,4 +107,3 @@ def test_a_wide_vocabulary_gets_wide_ids():
     with open(WORDS, encoding="utf-8") as file:
         spec = file.read()
     assert token_ids.id_width(spec, 1) == 2 and token_ids.id_width(spec, 70_000) == 4
-    assert Shard  # opened by find()
