@@ -192,7 +192,7 @@ def identify(
     ignored, and lang, source and doc_id never enter a prediction. With `carry`, a last column `row` has the
     whole input row, so that filters need no join.
     """
-    whole = F.struct(*docs.columns).alias("row") if carry else None
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if carry else None
     carried = ["row"] if carry else []
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -65,7 +65,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     times = taken.where("taken > 0").select(F.col("doc_id").alias(KEY), times.alias("_times"))
     worded = docs.where(word_count(F.col("text").cast("string")) > 0)
     kept = worded.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)))
-    return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+    return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
