@@ -1,7 +1,13 @@
+import datetime as dt
+
 import pytest
 from conftest import rows
 
-from cohortflow.plans.quality import RUN_CHECKS, Check, QualityError, check_tables, gate
+from cohortflow.plans.quality import LOG_CHECKS, RUN_CHECKS, Check, QualityError, check_tables, gate
+from cohortflow.schemas import SUMMARY_SCHEMA
+from cohortflow.sources.tables import append_summaries
+
+DAY = dt.date(2024, 6, 30)
 
 
 @pytest.fixture()
@@ -43,3 +49,22 @@ def test_gate(tables):
 def test_run_checks_cover_all_rules():
     kinds = [c.rule for c in RUN_CHECKS]
     assert (kinds.count("unique"), kinds.count("not_null"), kinds.count(">= 0")) == (7, 11, 2)
+
+
+def test_the_log_takes_one_result_per_patient_and_day(spark):
+    rows = [("p1", DAY), ("p1", DAY), ("p2", DAY), (None, DAY), (None, DAY), ("p2", None)]
+    log = spark.createDataFrame(rows, "patient_id string, run_date date")
+    got = {(r["column"], r["check"]): r["failures"] for r in check_tables({"triage_summaries": log}, LOG_CHECKS).collect()}
+    assert got == {
+        ("patient_id", "not_null"): 2, ("run_date", "not_null"): 1, ("patient_id, run_date", "unique"): 1,
+    }
+
+
+def test_a_result_without_patient_is_refused(spark, databases):
+    names = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in SUMMARY_SCHEMA if f.name not in ("created_at", "run_date"))
+    good, bad = ("p1", 1, "LOW", "s", "m", 1, 1), (None, 1, "LOW", "s", "m", 1, 1)
+    with pytest.raises(Exception, match="without patient_id"):
+        append_summaries(spark.createDataFrame([good, bad], names), "analytics.triage_summaries", DAY)
+    with pytest.raises(ValueError, match="run date"):
+        append_summaries(spark.createDataFrame([good], names), "analytics.triage_summaries", None)
+    assert spark.table("analytics.triage_summaries").count() == 0
