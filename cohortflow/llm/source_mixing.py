@@ -64,8 +64,10 @@ def slot_table(targets: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     pieces = targets.where("slots > 0").select(
         "*", F.expr(f"explode(sequence(0L, slots - 1, {PIECE}L))").alias("low")
     )
-    # A large source's slots start from one row: deal its pieces out before writing them in full.
-    pieces = pieces.repartition("number", "low")
+    # A large source's slots start from one row: deal its pieces out before writing them in full. The number of
+    # partitions is given, as the pieces are too small for adaptive execution to leave them apart.
+    partitions = int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pieces = pieces.repartition(partitions, "number", "low")
     rows = pieces.select(
         "*", F.expr(f"explode(sequence(low, least(low + {PIECE - 1}, slots - 1)))").alias("j")
     )
