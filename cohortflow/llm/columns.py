@@ -30,20 +30,21 @@ def permuted(index: str, size: str, key: str, rounds: int = 4, walks: int = 64)
     half of its values are, so 64 repeats fail with probability below 2^-64, which is an error.
     """
     bits = f"greatest(length(bin({size} - 1)), 2)"
-    low = f"({bits} div 2)"
+    low, high = f"cast({bits} div 2 as int)", f"cast({bits} - {bits} div 2 as int)"
+
+    def ones(n: str) -> str:
+        return f"(shiftleft(1L, {n}) - 1)"
 
     def once(x: str) -> str:
         for r in range(rounds):
-            high_part, low_part = f"shiftright({{x}}, cast({low} as int))", f"({{x}} & (shiftleft(1L, cast({low} as int)) - 1))"
-            if r % 2 == 0:
-                step = f"(x ^ shiftleft(xxhash64({low_part}, {key}, {r}) & (shiftleft(1L, cast({bits} - {low} as int)) - 1), cast({low} as int)))"
+            if r % 2 == 0:  # the low half changes the high one
+                change = f"shiftleft(xxhash64(x & {ones(low)}, {key}, {r}) & {ones(high)}, {low})"
             else:
-                step = f"(x ^ (xxhash64({high_part}, {key}, {r}) & (shiftleft(1L, cast({low} as int)) - 1)))"
-            x = f"element_at(transform(array({x}), x -> {step.format(x='x')}), 1)"
+                change = f"xxhash64(shiftright(x, {low}), {key}, {r}) & {ones(low)}"
+            x = f"element_at(transform(array({x}), x -> x ^ ({change})), 1)"
         return x
 
     first = once(f"cast({index} as bigint)")
     walked = f"aggregate(sequence(1, {walks}), {first}, (v, i) -> if(v < {size}, v, {once('v')}))"
-    return F.expr(
-        f"element_at(transform(array({walked}), v -> if(v < {size}, v, cast(raise_error('no place found') as bigint))), 1)"
-    )
+    stop = "cast(raise_error('no place found') as bigint)"
+    return F.expr(f"element_at(transform(array({walked}), v -> if(v < {size}, v, {stop})), 1)")

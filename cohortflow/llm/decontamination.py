@@ -35,8 +35,8 @@ def seed_hash(mask: str, at: str) -> str:
 def _around(at: str) -> list[Column]:
     """The words around a place of h and the place's position among them."""
     low = f"greatest({at} - {REACH}, 0)"
-    span = len(MASKS[0])
-    return [F.expr(f"slice(h, {low} + 1, {at} - {low} + {REACH + span})").alias("near"), F.expr(f"{at} - {low}").alias("at")]
+    size = f"{at} - {low} + {REACH + len(MASKS[0])}"
+    return [F.expr(f"slice(h, {low} + 1, {size})").alias("near"), F.expr(f"{at} - {low}").alias("at")]
 
 
 def item_seeds(benchmark: DataFrame) -> DataFrame:
@@ -106,10 +106,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_score: int = 10, filte
     def is_set(p: str) -> str:
         return f"(shiftrightunsigned(bits[cast(shiftright({p}, 6) & {lanes - 1} as int)], cast({p} & 63 as int)) & 1L) = 1L"
 
-    tested = " or ".join(
-        f"element_at(transform(array({seed_hash(mask, 'i')}), x -> {is_set('x')} and {is_set('shiftrightunsigned(x, 32)')}), 1)"
-        for mask in MASKS
-    )
+    both = f"{is_set('x')} and {is_set('shiftrightunsigned(x, 32)')}"
+    tested = " or ".join(f"element_at(transform(array({seed_hash(mask, 'i')}), x -> {both}), 1)" for mask in MASKS)
     every = f"if(size(h) < {span}, cast(array() as array<int>), sequence(0, size(h) - {span}))"
     texts = texts.select("doc_id", "h", F.expr(f"filter({every}, i -> {tested})").alias("places"))
     # An outer explode: a filter on h or places would be moved below their computation and repeat it.

@@ -105,7 +105,8 @@ def block_table(sizes: DataFrame, targets: DataFrame, block_words: int, rows_per
     df = df.withColumn("inside", F.sum("size").over(upto) - F.col("size"))
     df = df.join(sums, ["number", "bucket"])
     df = df.withColumn("start", F.col("bucket_start") + F.col("inside"))
-    reach = f"if(size > 0, sequence(start div {block_words}, (start + size - 1) div {block_words}), array(cast(null as bigint)))"
+    first, last = f"start div {block_words}", f"(start + size - 1) div {block_words}"
+    reach = f"if(size > 0, sequence({first}, {last}), array(cast(null as bigint)))"
     df = df.select("doc_id", "number", "source_size", "target", "size", "bucket", "row", "start",
                    F.explode(F.expr(reach)).alias("block"))
     low = F.greatest(F.col("start"), F.col("block") * block_words)

@@ -84,7 +84,8 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100) -> DataFrame:
     """
     chunks = chunk_table(docs)
     # Combined before the shuffle, so that a chunk found everywhere is one row per task.
-    shared = chunks.groupBy("digest").agg(F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id"))
+    ends = [F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")]
+    shared = chunks.groupBy("digest").agg(*ends)
     shared = shared.where("first_doc_id < last_doc_id").select("digest", "first_doc_id")
     found = chunks.join(shared, "digest").select(
         "doc_id",

@@ -31,7 +31,9 @@ from cohortflow.llm.shared import shared
 
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("copy", "<u4"), ("is_null", "<u4"), ("first", "<u8")])
 SLOT = np.dtype([("fingerprint", "<u4"), ("document", "<u4")])
-FOOTER = np.dtype([("magic", "S8"), ("width", "<u4"), ("spare", "<u4"), ("ids", "<u8"), ("documents", "<u8"), ("buckets", "<u8")])
+FOOTER = np.dtype(
+    [("magic", "S8"), ("width", "<u4"), ("spare", "<u4"), ("ids", "<u8"), ("documents", "<u8"), ("buckets", "<u8")]
+)
 MAGIC = b"tokids01"
 KEYS_PER_BUCKET = 2
 MANIFEST_SCHEMA = "shard int, uri string, documents long, ids long, low long, high long"

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortflow.llm import blobs
-from cohortflow.llm.groups import dealt
 from cohortflow.llm.scratch import new_folder, written
 
 CHUNK_BYTES = 1 << 18

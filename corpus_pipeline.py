@@ -60,7 +60,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Documents of which no block was drawn, and those without words, go. Rows that share an id share the sum.
     """
-    taken = words_taken(*mix_sources(docs)).groupBy("doc_id").agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
+    taken = words_taken(*mix_sources(docs)).groupBy("doc_id")
+    taken = taken.agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
     times = F.greatest(F.round(F.col("taken") / F.col("size")), F.lit(1)).cast("int")
     times = taken.where("taken > 0").select(F.col("doc_id").alias(KEY), times.alias("_times"))
     worded = docs.where(word_count(F.col("text").cast("string")) > 0)
