@@ -81,13 +81,6 @@ def report(statuses: DataFrame) -> DataFrame:
     )
 
 
-def all_statuses(parsed: DataFrame, skipped_rows: DataFrame) -> DataFrame:
-    """The status of every candidate, scored or skipped."""
-    return parsed.select("patient_id", "status").unionByName(
-        skipped_rows.select("patient_id", F.lit("skipped").alias("status"))
-    )
-
-
 @dataclass(frozen=True)
 class TriageReport:
     processed: int
