@@ -2,7 +2,7 @@
 
 A mask of ones and zeros slides over the words of test items and training texts; the words under its ones are
 hashed, those under zeros are free to differ. Equal hashes are hits. Around a hit the two word sequences are
-laid side by side and the best stretch is found: one point for an equal word, two off for a different one.
+laid side by side and the best stretch is found: one point for an equal word, one off for a different one.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def _best_stretch(near: str, at: str, other: str, other_at: str) -> Column:
             sequence(-{left}, {right} - 1),
             named_struct('score', 0, 'equal', 0, 'length', 0, 'best', 0, 'best_equal', 0, 'best_length', 0, 'best_end', 0),
             (s, k) -> element_at(transform(
-                array(if({near}[{at} + k] = {other}[{other_at} + k], 1, -2)),
+                array(if({near}[{at} + k] = {other}[{other_at} + k], 1, -1)),
                 p -> if(s.score + p <= 0,
                     named_struct('score', 0, 'equal', 0, 'length', 0, 'best', s.best, 'best_equal', s.best_equal,
                                  'best_length', s.best_length, 'best_end', s.best_end),
@@ -89,7 +89,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_score: int = 10, filte
 
     Columns: doc_id, item_id, score, equal_words, words (of the best stretch) and position (its first word in
     the document). A pair is reported when the best stretch around some hit scores at least `least_score`: ten
-    equal words, or more with a different one among them for every two beyond. Words are runs of letters and
+    equal words, or one more for every different one among them. Words are runs of letters and
     digits in lower case. Texts and items that are null or shorter than a mask (9 words) have no hits. Null ids
     are reported as null; rows that share an id are reported together. Other columns are ignored.
 

@@ -115,7 +115,7 @@ hits as (
   select distinct t.doc_id, t.p, i.item_id, i.q from text_seeds t join item_seeds i on i.seed = t.seed),
 steps as (
   select h.doc_id, h.item_id, h.p, h.q, k,
-    sum(case when d.w[h.p + k + 1] = i.w[h.q + k + 1] then 1 else -2 end)
+    sum(case when d.w[h.p + k + 1] = i.w[h.q + k + 1] then 1 else -1 end)
       over (partition by h.doc_id, h.item_id, h.p, h.q order by k) as upto
   from (select h.*, unnest(range(-least(p, q, 64), least(len(d.w) - p, len(i.w) - q, 73))) as k
         from hits h join texts d on d.doc_id = h.doc_id join items i on i.item_id = h.item_id) h
@@ -135,7 +135,7 @@ starts as (
   from best b join steps s on s.doc_id = b.doc_id and s.item_id = b.item_id and s.p = b.p and s.q = b.q
   group by 1, 2, 3, 4),
 found as (
-  select doc_id, item_id, cast(score as int) as score, cast((score + 2 * (stop - start)) // 3 as int) as equal_words,
+  select doc_id, item_id, cast(score as int) as score, cast((score + stop - start) // 2 as int) as equal_words,
     cast(stop - start as int) as words, cast(p + start as int) as position
   from starts where score >= 10)
 select * from found qualify row_number() over (

@@ -8,6 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 from llm.cases import CLASHING, DOCS, SF_DIR, prose  # noqa: E402
 
+
 @pytest.fixture(scope="session")
 def awkward_rows():
     """Nulls in every column, empty, blank, short and very long texts, copies, near copies, ties, repeated rows."""
