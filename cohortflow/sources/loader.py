@@ -67,7 +67,7 @@ def _append_new(batch: DataFrame, table: str, key: str, read: int) -> TableLoad:
     existing = batch.sparkSession.table(table)
     # The batch's stored keys, found once. The batch is the small side of this join, which
     # Spark broadcasts by its size, so that stored keys are scanned but neither moved nor sorted.
-    with staged(already_stored(existing.select(key), batch, [key]).distinct(), "hits") as hits:
+    with staged(already_stored(existing.select(key), batch, [key]), "hits") as hits:
         # Keys only, counted before the join: the batch's other columns are not read for
         # the checks, and a key that fills much of the file is one row by then.
         per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
