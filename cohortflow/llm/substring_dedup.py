@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortflow.llm import words
+from cohortflow.llm.scratch import written
 
 WINDOW = 16
 # A place in 16 is a candidate cut; one with another less than 8 bytes before it is none. Mean chunk: 25 bytes.
@@ -87,6 +88,8 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100) -> DataFrame:
     ends = [F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")]
     shared = chunks.groupBy("digest").agg(*ends)
     shared = shared.where("first_doc_id < last_doc_id").select("digest", "first_doc_id")
+    # Read back, so that Spark deals out both sides of the join and can split a chunk found very often.
+    shared = written(shared, "shared-chunks")
     found = chunks.join(shared, "digest").select(
         "doc_id",
         F.shiftright("place", LENGTH_BITS).alias("start"),
