@@ -1,13 +1,13 @@
 """Repeated passages by content-defined chunking with a gear rolling hash.
 
 The hash of a place depends on the 16 bytes before it alone, so chunks start at the same words wherever a
-passage stands, and an insertion changes only the chunks it touches. Chunks are deduplicated by digest, and
-neighbouring chunks that other documents have too are joined to spans.
+passage stands, and an insertion changes only the chunks it touches. Chunks are deduplicated by digest.
+Runs of neighbouring chunks have a key of their own; chunks are joined to spans by runs that occur elsewhere in full.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +21,10 @@ WINDOW = 16
 # A place in 16 is a candidate cut; one with another less than 8 bytes before it is none. Mean chunk: 25 bytes.
 CUT_BITS, LEAST, MOST = 4, 8, 128
 GEAR = np.random.default_rng(16).integers(0, 1 << 32, 256, dtype=np.uint32)
-CHUNK_SCHEMA = "digest long, doc_id long, place long"
+CHUNK_SCHEMA = "digest long, doc_id long, place long, ahead long, ahead_bytes long, behind long, behind_bytes long"
 LENGTH_BITS = 9
+# Runs are hashed as polynomials of their chunks' digests, modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
 
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -50,61 +52,107 @@ def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.union1d(starts, extra[extra < len(data)])
 
 
-def _chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = batch.column("doc_id")
-        for first, last in words.slices(batch.column("text")):
-            data, offsets = words.text_bytes(batch.column("text").slice(first, last - first))
-            if not len(data):
-                continue
-            starts = chunk_starts(data, offsets)
-            ends = np.append(starts[1:], len(data))
-            text = np.searchsorted(offsets, starts, side="right") - 1
-            place = (starts - offsets[text]) << LENGTH_BITS | (ends - starts)
-            digest = words.hash_spans(data, starts, ends).view(np.int64)
-            owner = ids.slice(first, last - first).take(pa.array(text))
-            yield pa.RecordBatch.from_arrays([pa.array(digest), owner, pa.array(place)], ["digest", "doc_id", "place"])
-
-
-def chunk_table(docs: DataFrame) -> DataFrame:
-    """One row per chunk of a text: digest, doc_id, start and length in bytes."""
+def run_hashes(digest: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the runs of digests from `first` to `last`, the same wherever a run stands."""
+    powers = np.ones((2, len(digest)), dtype=np.uint64)
+    for row, base in zip(powers, (BASE, pow(BASE, -1, 1 << 64))):
+        row[1:] = np.cumprod(np.full(len(digest) - 1, base, dtype=np.uint64))
+    upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(digest * powers[0])])
+    return words.mix((upto[last + 1] - upto[first]) * powers[1][first] ^ (last - first).astype(np.uint64))
+
+
+def _chunker(least_bytes: int) -> Callable:
+    def chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for first, last in words.slices(batch.column("text")):
+                data, offsets = words.text_bytes(batch.column("text").slice(first, last - first))
+                if not len(data):
+                    continue
+                starts = chunk_starts(data, offsets)
+                ends = np.append(starts[1:], len(data))
+                text = np.searchsorted(offsets, starts, side="right") - 1
+                place = (starts - offsets[text]) << LENGTH_BITS | (ends - starts)
+                digest = words.hash_spans(data, starts, ends)
+                at = np.arange(len(starts))
+                # The shortest runs of `least_bytes` bytes that begin, and that end, with a chunk; null outside its text.
+                to = np.searchsorted(ends, starts + least_bytes)
+                since = np.searchsorted(starts, ends - least_bytes, side="right") - 1
+                short = text[np.minimum(to, len(at) - 1)] != text
+                short |= to == len(at)
+                early = ends - least_bytes < offsets[text]
+                to, since = np.where(short, at, to), np.where(early, at, since)
+                owner = ids.slice(first, last - first).take(pa.array(text))
+                columns = {
+                    "digest": pa.array(digest.view(np.int64)),
+                    "doc_id": owner,
+                    "place": pa.array(place),
+                    "ahead": pa.array(run_hashes(digest, at, to).view(np.int64), mask=short),
+                    "ahead_bytes": pa.array(ends[to] - starts),
+                    "behind": pa.array(run_hashes(digest, since, at).view(np.int64), mask=early),
+                    "behind_bytes": pa.array(ends - starts[since]),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    return chunk
+
+
+def chunk_table(docs: DataFrame, least_bytes: int) -> DataFrame:
+    """One row per chunk of a text: digest, doc_id, place (start and length in bytes), and its runs' keys and bytes."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.where("doc_id is not null").mapInArrow(_chunk, CHUNK_SCHEMA)
+    return docs.where("doc_id is not null").mapInArrow(_chunker(least_bytes), CHUNK_SCHEMA)
 
 
-def repeated_spans(docs: DataFrame, least_bytes: int = 100) -> DataFrame:
+def repeated_spans(docs: DataFrame, least_bytes: int = 100, within: bool = False) -> DataFrame:
     """Spans that documents share: one row per span of a document, none for documents without.
 
     Columns: doc_id, start and end (bytes of the UTF-8 text), chunks, removed_bytes (bytes of chunks that a
     document with a smaller doc_id has too: what a deduplicated text loses), first_doc_id (smallest doc_id with a chunk of the span).
-    A span is a run of neighbouring chunks that each occur in at least two documents, `least_bytes` long or
-    longer; chunks at the ends of a shared passage that reach beyond it are not in it, about 60 bytes together.
-    Repeats inside one document alone are not reported; text that repeats a word for hundreds of bytes may
-    have no content-defined cuts, and its chunks then agree only if they start alike. Null and empty texts and null ids have no spans. Rows that share an id are one
-    document. Other columns are ignored. A 64-bit digest stands for a chunk.
+    A span is made of overlapping runs of neighbouring chunks, each `least_bytes` long or longer and each found in
+    full, as a run, in another document; chunks at the ends of a shared passage that reach beyond it are not in
+    it, about 60 bytes together. With `within`, runs repeated inside one document count too: only the first
+    occurrence of a chunk, by doc_id and place, is kept, and every later one is removed. Text that repeats a word
+    for hundreds of bytes may have no content-defined cuts, and its chunks then agree only if they start alike.
+    Null and empty texts and null ids have no spans. Rows that share an id are one document, and chunks at the same
+    place in them one occurrence. Other columns are ignored. A 64-bit digest stands for a chunk, or a run.
     """
-    chunks = chunk_table(docs)
+    chunks = chunk_table(docs, least_bytes)
+    occurrence = F.struct("doc_id", "start") if within else F.struct("doc_id")
+    ends = [F.min(occurrence).alias("first"), F.max(occurrence).alias("last")]
+    chunks = chunks.withColumn("start", F.shiftright("place", LENGTH_BITS))
     # Combined before the shuffle, so that a chunk found everywhere is one row per task.
-    ends = [F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")]
-    shared = chunks.groupBy("digest").agg(*ends)
-    shared = shared.where("first_doc_id < last_doc_id").select("digest", "first_doc_id")
+    shared = chunks.groupBy("digest").agg(*ends).where("first < last").select("digest", "first")
     # Read back, so that Spark deals out both sides of the join and can split a chunk found very often.
     shared = written(shared, "shared-chunks")
     found = chunks.join(shared, "digest").select(
         "doc_id",
-        F.shiftright("place", LENGTH_BITS).alias("start"),
-        F.expr(f"place & {(1 << LENGTH_BITS) - 1}").alias("length"),
-        "first_doc_id",
-    )
-    order = Window.partitionBy("doc_id").orderBy("start")
-    reached = F.max(F.col("start") + F.col("length")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    found = found.withColumn("new", F.coalesce((F.col("start") > reached).cast("int"), F.lit(1)))
-    found = found.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = found.groupBy("doc_id", "run").agg(
+        "start",
+        (F.col("start") + F.expr(f"place & {(1 << LENGTH_BITS) - 1}")).alias("end"),
+        F.col("first.doc_id").alias("first_doc_id"),
+        (occurrence != F.col("first")).alias("later"),
+        "ahead", "ahead_bytes", "behind", "behind_bytes",
+    )
+    found = written(found, "found-chunks")
+    # Chunks of a repeated run are repeated, so their rows have all runs that can be.
+    ahead = F.struct(F.col("ahead").alias("key"), "start", (F.col("start") + F.col("ahead_bytes")).alias("end"))
+    behind = F.struct(F.col("behind").alias("key"), (F.col("end") - F.col("behind_bytes")).alias("start"), "end")
+    runs = found.select("doc_id", F.explode(F.array(ahead, behind)).alias("r")).select("doc_id", "r.*").where("key is not null")
+    repeated = written(runs.groupBy("key").agg(*ends).where("first < last").select("key"), "shared-runs")
+    runs = runs.join(repeated, "key").select("doc_id", "start", "end", F.lit(True).alias("is_run"))
+    rows = runs.unionByName(found.drop("ahead", "ahead_bytes", "behind", "behind_bytes"), allowMissingColumns=True)
+    rows = rows.withColumn("is_run", F.coalesce("is_run", F.lit(False)))
+    order = Window.partitionBy("doc_id").orderBy("start", F.desc("is_run"), "end", "first_doc_id")
+    same = F.struct("start", "end", "is_run", "first_doc_id")
+    rows = rows.withColumn("again", same.eqNullSafe(F.lag(same).over(order)))
+    run_end = F.when(F.col("is_run"), F.col("end"))
+    rows = rows.withColumn("reached", F.max(run_end).over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    new = F.col("is_run") & F.coalesce(F.col("start") >= F.col("reached"), F.lit(True))
+    rows = rows.withColumn("run", F.sum(new.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = rows.where("not is_run and not again and end <= reached").groupBy("doc_id", "run").agg(
         F.min("start").alias("start"),
-        F.max(F.col("start") + F.col("length")).alias("end"),
+        F.max("end").alias("end"),
         F.count(F.lit(1)).alias("chunks"),
-        F.sum(F.when(F.col("doc_id") != F.col("first_doc_id"), F.col("length")).otherwise(0)).alias("removed_bytes"),
+        F.sum(F.when(F.col("later"), F.col("end") - F.col("start")).otherwise(0)).alias("removed_bytes"),
         F.min("first_doc_id").alias("first_doc_id"),
     )
-    return spans.where(F.col("end") - F.col("start") >= least_bytes).drop("run")
+    return spans.drop("run")

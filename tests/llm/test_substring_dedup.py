@@ -97,3 +97,44 @@ def test_awkward_rows(awkward, awkward_rows):
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "")], [(1, "x" * 3000)], [(1, "line of text\n" * 200)], [(None, "a " * 200), (None, "a " * 200)]])
 def test_nothing_shared(spark, rows):
     assert result(spark.createDataFrame(rows, DOCS)) == []
+
+
+def words_of(rnd, n):
+    return " ".join(f"{rnd.choice('abcdefgh')}{rnd.randrange(10**5)}" for _ in range(n))
+
+
+def test_pieces_of_several_documents_side_by_side_are_no_span(spark):
+    rnd = random.Random(5)
+    others = [words_of(rnd, 60) for _ in range(80)]
+    pieces = []
+    for text in others:
+        data, spans = text.encode(), chunks_of(text)
+        short = [(a, b) for a, b in spans[2:-2] if 20 <= b - a <= 60]
+        pieces.append(data[short[0][0] - sd.WINDOW : short[0][1]].decode())
+    rows = [*enumerate(others), (1000, "".join(pieces)), (1001, others[0])]
+    assert any(r[0] == 1000 for r in brute(rows, 20))
+    got = result(spark.createDataFrame(rows, DOCS))
+    assert {r[0] for r in got} == {0, 1001}
+    bodies = {r[0]: r[1].encode() for r in rows}
+    for doc_id, start, end, *_ in got:
+        assert any(bodies[doc_id][start:end] in body for other, body in bodies.items() if other != doc_id)
+    # Chunks that are shared one by one, each with a document of its own.
+    borrowed = []
+    for text in others:
+        borrowed += [text.encode()[a:b] for a, b in chunks_of(text)[2:4]]
+    mosaic = b"".join(borrowed).decode()
+    assert {r[0] for r in result(spark.createDataFrame([*enumerate(others), (1000, mosaic)], DOCS))} == set()
+
+
+def test_repeats_inside_one_document(spark):
+    rnd = random.Random(6)
+    passage = words_of(rnd, 60)
+    text = " ".join([words_of(rnd, 40), passage, words_of(rnd, 40), passage, words_of(rnd, 40), passage, words_of(rnd, 9)])
+    rows = [(1, text), (2, words_of(rnd, 300)), (3, passage), (3, passage)]
+    got = [r for r in repeated_spans(spark.createDataFrame(rows, DOCS), within=True).orderBy("doc_id", "start").collect()]
+    assert [r.doc_id for r in got] == [1, 1, 1, 3]
+    first, second, third, other = got
+    assert first.removed_bytes == 0 and second.removed_bytes == second.end - second.start
+    assert third.removed_bytes == third.end - third.start and other.removed_bytes == other.end - other.start
+    body = text.encode()
+    assert body[first.start : first.end] == body[second.start : second.end] and first.end - first.start > 250
