@@ -67,7 +67,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeated_spans(table(spark, sf_dir, "documents"))
+    return repeated_spans(table(spark, sf_dir, "documents"), within=True)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -21,8 +21,10 @@ WINDOW = 16
 # A place in 16 is a candidate cut; one with another less than 8 bytes before it is none. Mean chunk: 25 bytes.
 CUT_BITS, LEAST, MOST = 4, 8, 128
 GEAR = np.random.default_rng(16).integers(0, 1 << 32, 256, dtype=np.uint32)
-CHUNK_SCHEMA = "digest long, doc_id long, place long, ahead long, ahead_bytes long, behind long, behind_bytes long"
-LENGTH_BITS = 9
+CHUNK_SCHEMA = "digest long, doc_id long, place long, ahead long, behind long"
+# A place has a chunk's start, then the bytes of its two runs beyond the least, then its length.
+LENGTH_BITS, MORE_BITS = 9, 8
+AHEAD, BEHIND, START = LENGTH_BITS, LENGTH_BITS + MORE_BITS, LENGTH_BITS + 2 * MORE_BITS
 # Runs are hashed as polynomials of their chunks' digests, modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -72,7 +74,6 @@ def _chunker(least_bytes: int) -> Callable:
                 starts = chunk_starts(data, offsets)
                 ends = np.append(starts[1:], len(data))
                 text = np.searchsorted(offsets, starts, side="right") - 1
-                place = (starts - offsets[text]) << LENGTH_BITS | (ends - starts)
                 digest = words.hash_spans(data, starts, ends)
                 at = np.arange(len(starts))
                 # The shortest runs of `least_bytes` bytes that begin, and that end, with a chunk; null outside its text.
@@ -82,15 +83,16 @@ def _chunker(least_bytes: int) -> Callable:
                 short |= to == len(at)
                 early = ends - least_bytes < offsets[text]
                 to, since = np.where(short, at, to), np.where(early, at, since)
+                ahead_more = np.where(short, 0, ends[to] - starts - least_bytes)
+                behind_more = np.where(early, 0, ends - starts[since] - least_bytes)
+                place = (starts - offsets[text]) << START | behind_more << BEHIND | ahead_more << AHEAD | (ends - starts)
                 owner = ids.slice(first, last - first).take(pa.array(text))
                 columns = {
                     "digest": pa.array(digest.view(np.int64)),
                     "doc_id": owner,
                     "place": pa.array(place),
                     "ahead": pa.array(run_hashes(digest, at, to).view(np.int64), mask=short),
-                    "ahead_bytes": pa.array(ends[to] - starts),
                     "behind": pa.array(run_hashes(digest, since, at).view(np.int64), mask=early),
-                    "behind_bytes": pa.array(ends - starts[since]),
                 }
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -98,7 +100,7 @@ def _chunker(least_bytes: int) -> Callable:
 
 
 def chunk_table(docs: DataFrame, least_bytes: int) -> DataFrame:
-    """One row per chunk of a text: digest, doc_id, place (start and length in bytes), and its runs' keys and bytes."""
+    """One row per chunk of a text: digest, doc_id, place (start, length and its runs' bytes), and its runs' keys."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return docs.where("doc_id is not null").mapInArrow(_chunker(least_bytes), CHUNK_SCHEMA)
 
@@ -119,7 +121,7 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100, within: bool = False
     chunks = chunk_table(docs, least_bytes)
     occurrence = F.struct("doc_id", "start") if within else F.struct("doc_id")
     ends = [F.min(occurrence).alias("first"), F.max(occurrence).alias("last")]
-    chunks = chunks.withColumn("start", F.shiftright("place", LENGTH_BITS))
+    chunks = chunks.withColumn("start", F.shiftright("place", START))
     # Combined before the shuffle, so that a chunk found everywhere is one row per task.
     shared = chunks.groupBy("digest").agg(*ends).where("first < last").select("digest", "first")
     # Read back, so that Spark deals out both sides of the join and can split a chunk found very often.
@@ -130,16 +132,17 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100, within: bool = False
         (F.col("start") + F.expr(f"place & {(1 << LENGTH_BITS) - 1}")).alias("end"),
         F.col("first.doc_id").alias("first_doc_id"),
         (occurrence != F.col("first")).alias("later"),
-        "ahead", "ahead_bytes", "behind", "behind_bytes",
+        "ahead", "behind", "place",
     )
     found = written(found, "found-chunks")
     # Chunks of a repeated run are repeated, so their rows have all runs that can be.
-    ahead = F.struct(F.col("ahead").alias("key"), "start", (F.col("start") + F.col("ahead_bytes")).alias("end"))
-    behind = F.struct(F.col("behind").alias("key"), (F.col("end") - F.col("behind_bytes")).alias("start"), "end")
+    ahead_bytes, behind_bytes = (F.expr(f"{least_bytes} + (shiftright(place, {at}) & {(1 << MORE_BITS) - 1})") for at in (AHEAD, BEHIND))
+    ahead = F.struct(F.col("ahead").alias("key"), "start", (F.col("start") + ahead_bytes).alias("end"))
+    behind = F.struct(F.col("behind").alias("key"), (F.col("end") - behind_bytes).alias("start"), "end")
     runs = found.select("doc_id", F.explode(F.array(ahead, behind)).alias("r")).select("doc_id", "r.*").where("key is not null")
     repeated = written(runs.groupBy("key").agg(*ends).where("first < last").select("key"), "shared-runs")
     runs = runs.join(repeated, "key").select("doc_id", "start", "end", F.lit(True).alias("is_run"))
-    rows = runs.unionByName(found.drop("ahead", "ahead_bytes", "behind", "behind_bytes"), allowMissingColumns=True)
+    rows = runs.unionByName(found.drop("ahead", "behind", "place"), allowMissingColumns=True)
     rows = rows.withColumn("is_run", F.coalesce("is_run", F.lit(False)))
     order = Window.partitionBy("doc_id").orderBy("start", F.desc("is_run"), "end", "first_doc_id")
     same = F.struct("start", "end", "is_run", "first_doc_id")
