@@ -3,6 +3,7 @@
 A mask of ones and zeros slides over the words of test items and training texts; the words under its ones are
 hashed, those under zeros are free to differ. Equal hashes are hits. Around a hit the two word sequences are
 laid side by side and the best stretch is found: one point for an equal word, one off for a different one.
+Items shorter than a mask are looked up by their whole word sequence.
 """
 
 from __future__ import annotations
@@ -39,14 +40,27 @@ def _around(at: str) -> list[Column]:
     return [F.expr(f"slice(h, {low} + 1, {size})").alias("near"), F.expr(f"{at} - {low}").alias("at")]
 
 
-def item_seeds(benchmark: DataFrame) -> DataFrame:
-    """One row per item, place and mask: item_id, seed, near, at."""
+def whole_hash(at: str, size: str) -> str:
+    """SQL: hash of `size` words of h from `at`, for items shorter than a mask."""
+    return f"xxhash64(slice(h, {at} + 1, {size}), {size}, {len(MASKS)})"
+
+
+def item_seeds(benchmark: DataFrame, least_score: int) -> DataFrame:
+    """One row per item, place and mask, one per item shorter than a mask: item_id, seed, near, at, needed (score)."""
     span = len(MASKS[0])
-    every = f"if(size(h) < {span}, array(cast(null as int)), sequence(0, size(h) - {span}))"
+    every = f"if(size(h) < {span}, if(size(h) = 0, array(cast(null as int)), array(0)), sequence(0, size(h) - {span}))"
     items = hashed_words(benchmark, "item_id").select("*", F.expr(f"explode_outer({every})").alias("i"))
     items = items.where("i is not null")
-    seeds = F.array(*[F.expr(seed_hash(mask, "i")) for mask in MASKS])
-    return items.select("item_id", F.explode(seeds).alias("seed"), *_around("i"))
+    masked = F.array(*[F.expr(seed_hash(mask, "i")) for mask in MASKS])
+    seeds = F.when(F.size("h") < span, F.array(F.expr(whole_hash("0", "size(h)")))).otherwise(masked)
+    needed = F.expr(f"if(size(h) < {span}, size(h), least({least_score}, size(h) div 2))")
+    return items.select("item_id", F.explode(seeds).alias("seed"), *_around("i"), needed.alias("needed"))
+
+
+def short_sizes(benchmark: DataFrame) -> DataFrame:
+    """One row: the numbers of words that items shorter than a mask have."""
+    sizes = hashed_words(benchmark).select(F.size("h").alias("n")).where(f"n between 1 and {len(MASKS[0]) - 1}")
+    return sizes.groupBy().agg(F.sort_array(F.collect_set("n")).alias("sizes"))
 
 
 def seed_bits(seeds: DataFrame, bits: int) -> DataFrame:
@@ -89,35 +103,51 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_score: int = 10, filte
 
     Columns: doc_id, item_id, score, equal_words, words (of the best stretch) and position (its first word in
     the document). A pair is reported when the best stretch around some hit scores at least `least_score`: ten
-    equal words, or one more for every different one among them. Words are runs of letters and
-    digits in lower case. Texts and items that are null or shorter than a mask (9 words) have no hits. Null ids
+    equal words, or one more for every different one among them; for items of fewer than twice as many words, half
+    their number is enough. An item shorter than a mask (9 words) is reported where all its words stand in a row.
+    Words are runs of letters and digits in lower case. Texts and items without any have no hits. Null ids
     are reported as null; rows that share an id are reported together. Other columns are ignored.
 
     Every place of every text is tested against a bit table of fixed size (`filter_bits`), which drops nearly
     all places without a hit and none with one; only the rest become rows.
     """
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    seeds = item_seeds(benchmark)
+    seeds = item_seeds(benchmark, least_score)
     span, lanes = len(MASKS[0]), filter_bits // 64
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = hashed_words(texts, "doc_id")
     texts = texts.withColumn("bits", seed_bits(seeds, filter_bits).scalar())
+    texts = texts.withColumn("sizes", short_sizes(benchmark).scalar())
 
     def is_set(p: str) -> str:
         return f"(shiftrightunsigned(bits[cast(shiftright({p}, 6) & {lanes - 1} as int)], cast({p} & 63 as int)) & 1L) = 1L"
 
     both = f"{is_set('x')} and {is_set('shiftrightunsigned(x, 32)')}"
-    tested = " or ".join(f"element_at(transform(array({seed_hash(mask, 'i')}), x -> {both}), 1)" for mask in MASKS)
-    every = f"if(size(h) < {span}, cast(array() as array<int>), sequence(0, size(h) - {span}))"
-    texts = texts.select("doc_id", "h", F.expr(f"filter({every}, i -> {tested})").alias("places"))
+    def may_hit(seed: str) -> str:
+        return f"element_at(transform(array({seed}), x -> {both}), 1)"
+
+    def every(size: str) -> str:
+        return f"if(size(h) < {size}, cast(array() as array<int>), sequence(0, size(h) - {size}))"
+
+    # A place with size 0 is one of the masks, others are those of whole items of that many words.
+    tested = " or ".join(may_hit(seed_hash(mask, "i")) for mask in MASKS)
+    masked = f"transform(filter({every(str(span))}, i -> {tested}), i -> struct(i, 0 as n))"
+    whole = f"filter({every('n')}, i -> {may_hit(whole_hash('i', 'n'))})"
+    whole = f"flatten(transform(sizes, n -> transform({whole}, i -> struct(i, n))))"
+    texts = texts.select("doc_id", "h", F.expr(f"concat({masked}, {whole})").alias("places"))
     # An outer explode: a filter on h or places would be moved below their computation and repeat it.
-    places = texts.select("doc_id", "h", F.explode_outer("places").alias("i")).where("i is not null")
+    places = texts.select("doc_id", "h", F.explode_outer("places").alias("p")).where("p is not null")
+    places = places.select("doc_id", "h", "p.i", "p.n")
     mine = F.array(*[F.expr(seed_hash(mask, "i")) for mask in MASKS])
-    places = places.select("doc_id", "i", F.explode(mine).alias("seed"), *_around("i"))
-    theirs = seeds.select("item_id", "seed", F.col("near").alias("item_near"), F.col("at").alias("item_at"))
+    mine = F.when(F.col("n") == 0, mine).otherwise(F.array(F.expr(whole_hash("i", "n"))))
+    near, at = _around("i")
+    near = F.when(F.col("n") == 0, near).otherwise(F.expr("slice(h, i + 1, n)")).alias("near")
+    at = F.when(F.col("n") == 0, at).otherwise(F.lit(0)).alias("at")
+    places = places.select("doc_id", "i", F.explode(mine).alias("seed"), near, at)
+    theirs = seeds.select("item_id", "seed", F.col("near").alias("item_near"), F.col("at").alias("item_at"), "needed")
     hits = places.join(theirs, "seed")
-    found = hits.select("doc_id", "item_id", "i", _best_stretch("near", "at", "item_near", "item_at").alias("s"))
-    found = found.where(F.col("s.score") >= least_score)
+    found = hits.select("doc_id", "item_id", "i", "needed", _best_stretch("near", "at", "item_near", "item_at").alias("s"))
+    found = found.where(F.col("s.score") >= F.col("needed"))
     position = F.col("i") + F.col("s.start")
     best = F.max(F.struct(F.col("s.score"), F.col("s.equal_words"), F.col("s.words"), (-position).alias("place")))
     found = found.groupBy("doc_id", "item_id").agg(best.alias("b"))

@@ -91,3 +91,23 @@ def test_the_sample_and_a_native_plan(spark, sample, sample_rows):
     assert whole <= set(got) and whole
     plan = overlaps(sample, items)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+def test_short_items(spark):
+    sizes = [1, 2, 5, 8, 9, 10, 12, 14, 17, 19]
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in sizes}
+    fill = [f"f{k}" for k in range(30)]
+    docs = [(n, [*fill, *words_, *fill]) for n, words_ in items.items()]
+    docs += [(100 + n, words_) for n, words_ in items.items()]
+    # Every fourth word changed, at each phase.
+    docs += [(1000 * (phase + 1) + n, [*fill, *["gap" if k % 4 == phase else w for k, w in enumerate(items[n])], *fill])
+             for n in sizes if n >= 12 for phase in range(4)]
+    # A word short of a short item, or with one in between, is none.
+    docs += [(201, items[8][:7]), (202, [*items[5][:3], "gap", *items[5][3:]])]
+    benchmark = [(n, " ".join(w)) for n, w in items.items()] + [(999, "..."), (998, "")]
+    docs = [(i, " ".join(w)) for i, w in docs] + [(0, ""), (-1, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.item_id): r for r in overlaps(df, spark.createDataFrame(benchmark, ITEMS)).collect()}
+    want = {(i, i % 100 if i < 1000 else i % 1000) for i, _ in docs if i > 0 and i not in (201, 202)}
+    assert set(got) == want
+    assert all(got[n, n].position == 30 and got[n, n].score == got[n, n].equal_words == n for n in sizes)
