@@ -17,12 +17,14 @@ from cohortflow.llm.language_id import UNDETERMINED, identify
 from cohortflow.llm.minhash_dedup import near_duplicates
 from cohortflow.llm.queries import table, tokenizer_path
 from cohortflow.llm.scratch import written
-from cohortflow.llm.source_mixing import mix_sources, words_taken
+from cohortflow.llm.source_mixing import mix_sources
 from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 
 # Text of any language learned costs two to five bits a byte; noise costs more.
 MOST_BITS_PER_BYTE = 6.0
 KEY = "_key"
+# Documents whose roundings make up for one another; hashes are fractions of this scale.
+ROUNDED_TOGETHER, HASH_SCALE = 1024, 1 << 20
 
 
 def _keyed(ids: DataFrame) -> DataFrame:
@@ -55,17 +57,55 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)), "left_anti")
 
 
+def _times_taken(mix: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Whole times that documents are repeated: number (of the source), doc_id, size, times.
+
+    The words taken of a document over its size are rounded up or down, longest documents first. A seeded hash
+    decides, against the fraction and the words that the roundings before gained or lost, so that in each bucket of
+    documents of a source, errors do not add up but stay below the size of the last documents rounded.
+    """
+    drawn = mix.groupBy("number", "block").agg(F.count(F.lit(1)).alias("drawn"))
+    # Both sides grow with the input: never broadcast.
+    found = blocks.join(drawn.hint("merge"), ["number", "block"]).groupBy("number", "doc_id", "size")
+    # A row's blocks add to its size; blocks that were not drawn are not here.
+    taken = found.agg(F.sum(F.col("words") * F.col("drawn")).alias("taken"))
+    rows = blocks.groupBy("number", "doc_id", "size").agg(F.sum("words").alias("all"))
+    keys = [F.col(f"t.{k}").eqNullSafe(F.col(f"r.{k}")) for k in ("number", "doc_id", "size")]
+    taken = taken.alias("t").join(rows.alias("r").hint("merge"), keys).select("t.*", "r.all")
+    taken = written(taken.where("taken > 0"), "taken")
+    many = taken.groupBy("number").agg(F.ceil(F.count(F.lit(1)) / F.lit(ROUNDED_TOGETHER)).alias("buckets"))
+    taken = taken.join(many, "number").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), "buckets"))
+    chance = F.pmod(F.xxhash64("doc_id", "size", F.lit(5)), F.lit(HASH_SCALE))
+    row = F.struct((-F.col("all")).alias("order"), "doc_id", "size", "all", F.expr("taken % all").alias("rest"),
+                   F.expr("taken div all").alias("low"), chance.alias("chance"))
+    groups = taken.groupBy("number", "bucket").agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    up = f"x.rest > 0 and (s.left + x.rest) * {HASH_SCALE} > x.chance * x.all"
+    groups = groups.withColumn("up", F.expr(f"""
+        aggregate(rows, named_struct('left', 0L, 'up', ''), (s, x) -> if({up},
+            named_struct('left', s.left + x.rest - x.all, 'up', concat(s.up, '1')),
+            named_struct('left', s.left + x.rest, 'up', concat(s.up, '0')))).up
+    """))
+    each = groups.select("number", "up", F.posexplode("rows").alias("at", "x"))
+    times = F.expr("cast(x.low + cast(substring(up, at + 1, 1) as int) as int)")
+    return each.select("number", "x.doc_id", "x.size", times.alias("times"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as the mix takes its words, rounded; at least once if it takes any.
+    """Repeats each document as often as the mix takes its words, rounded so that sources' totals stay on target.
 
-    Documents of which no block was drawn, and those without words, go. Rows that share an id share the sum.
+    Documents of which no block was drawn, and those without words, go; so do documents rounded down to none.
+    Rows that share an id, source and size share the sum.
     """
-    taken = words_taken(*mix_sources(docs)).groupBy("doc_id")
-    taken = taken.agg(F.sum("taken").alias("taken"), F.sum("size").alias("size"))
-    times = F.greatest(F.round(F.col("taken") / F.col("size")), F.lit(1)).cast("int")
-    times = taken.where("taken > 0").select(F.col("doc_id").alias(KEY), times.alias("_times"))
-    worded = docs.where(word_count(F.col("text").cast("string")) > 0)
-    kept = worded.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)))
+    source = F.col("source").cast("string").alias("_source")
+    in_order = Window.orderBy(F.col("_source").asc_nulls_last())
+    # One row per source, numbered as the mix does.
+    sources = docs.select(source).distinct().withColumn("number", (F.row_number().over(in_order) - 1))
+    times = _times_taken(*mix_sources(docs)).where("times > 0").join(sources, "number")
+    times = times.select(F.col("doc_id").alias(KEY), "_source", F.col("size").alias("_size"), F.col("times").alias("_times"))
+    size = word_count(F.col("text").cast("string"))
+    worded = docs.select("*", F.col("doc_id").cast("long").alias("_id"), source.alias("_from"), size.alias("_words")).where("_words > 0")
+    same = F.col("_id").eqNullSafe(F.col(KEY)) & F.col("_from").eqNullSafe(F.col("_source"))
+    kept = worded.join(times, same & (F.col("_words") == F.col("_size")))
     return kept.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

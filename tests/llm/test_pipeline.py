@@ -1,4 +1,5 @@
 import importlib
+import random
 import re
 
 import pytest
@@ -10,6 +11,7 @@ import corpus_pipeline
 from cohortflow.llm import queries
 from cohortflow.llm.language_id import UNDETERMINED, identify
 from cohortflow.llm.queries import table
+from cohortflow.llm.source_mixing import source_targets
 
 
 def stage(name):
@@ -82,3 +84,18 @@ def test_awkward_and_empty_tables(spark, awkward, awkward_rows, nothing, name):
         assert len(got) == len(awkward_rows)
     if name == "source_mixing":
         assert all(r[1] and r[1].split() for r in got)
+
+
+def test_sources_of_long_documents_meet_their_targets(spark):
+    rnd = random.Random(7)
+    rows = []
+    for i in range(900):
+        n = rnd.choice([20, 60, 200, 900, 3000]) if i % 3 else 700
+        rows.append((i, " ".join(f"w{rnd.randrange(50)}" for _ in range(n)), "en", f"s{i % 4}", 0))
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    targets = {r.source: r.target for r in source_targets(
+        docs.selectExpr("source", "cast(size(split(text, ' ')) as bigint) as size"), (5, 2, 1), 1.5, 2.0).collect()}
+    words = {s: 0 for s in targets}
+    for row in stage("source_mixing")(spark, docs, SF_DIR).select("source", "text").collect():
+        words[row.source] += len(row.text.split())
+    assert all(abs(words[s] / t - 1) < 0.01 for s, t in targets.items()), (words, targets)
