@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortflow.llm.decontamination import overlaps
 from cohortflow.llm.language_id import identify
+from cohortflow.llm.line_dedup import drop_repeated_lines, line_digests
 from cohortflow.llm.lm_scoring import score_texts
+from cohortflow.llm.merkle_manifest import manifest, verified
 from cohortflow.llm.minhash_dedup import near_duplicates
 from cohortflow.llm.quality_rules import apply_quality_rules
 from cohortflow.llm.source_mixing import mix_sources, words_taken
 from cohortflow.llm.substring_dedup import repeated_spans
+from cohortflow.llm.token_alignment import align_and_score
 from cohortflow.llm.token_counts import count_tokens
 from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 from cohortflow.llm.warc import page_records, write_warc
@@ -70,6 +73,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(table(spark, sf_dir, "documents"), within=True)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return align_and_score(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verified(manifest(table(spark, sf_dir, "documents")))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digests(drop_repeated_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_warc": op2_warc,
@@ -81,4 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_line_dedup": op13_line_dedup,
 }

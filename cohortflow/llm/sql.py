@@ -141,9 +141,85 @@ found as (
 select * from found qualify row_number() over (
   partition by doc_id, item_id order by score desc, equal_words desc, words desc, position) = 1"""
 
+def _framed(value: str) -> str:
+    return f"coalesce(strlen(cast({value} as varchar)) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_framed(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# CRC-32 of a decimal number, bit by bit.
+_BIT = "if(c % 2 = 1, xor(c >> 1, 3988292384), c >> 1)"
+_BYTE = "list_reduce(range(0, 8), lambda c, i: " + _BIT + ", xor(s, cast(ord(digit) as bigint)))"
+_CRC = (
+    "xor(list_reduce(string_split(cast(doc_id as varchar), ''), lambda s, digit: "
+    + _BYTE
+    + ", cast(4294967295 as bigint)), 4294967295)"
+)
+
+
+def _tree(name: str, leaves: str) -> str:
+    """Nodes (grp, level, pos, n, h) of all levels over leaves (grp, pos, n, h)."""
+    return f"""{name} as (
+  select grp, 0 as level, pos, n, h from {leaves}
+  union all
+  select grp, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' order by pos)) from {name} where n > 1
+  group by grp, level, n, pos // 2)"""
+
+
+def _path(tree: str, leaves: str) -> str:
+    """Per leaf its siblings upwards: left sibling's digest, right sibling's, both '' where there is none."""
+    return f"""select l.grp, l.pos,
+    coalesce(list({{'a': coalesce(a.h, ''), 'b': coalesce(b.h, '')}} order by t.level) filter (where t.n > 1), []) as path
+  from {leaves} l join {tree} t on t.grp = l.grp and t.pos = l.pos >> t.level
+  left join {tree} a on a.grp = t.grp and a.level = t.level and a.pos = t.pos - 1 and t.pos % 2 = 1
+  left join {tree} b on b.grp = t.grp and b.level = t.level and b.pos = t.pos + 1 and t.pos % 2 = 0
+  group by l.grp, l.pos"""
+
+
+MERKLE_MANIFEST = f"""
+with recursive rows as (
+  select doc_id, coalesce('=' || lang, '-') as grp, {_leaf("n_chars")} as h,
+    if({_CRC} % 7 = 0, {_leaf("coalesce(n_chars + 1, n_chars)")}, {_leaf("n_chars")}) as tampered
+  from documents),
+leaves as (
+  select *, row_number() over (partition by grp order by doc_id nulls first, h) - 1 as pos,
+    count(*) over (partition by grp) as n from rows),
+{_tree("tree", "leaves")},
+subroots as (
+  select grp as lang_key, '' as grp, row_number() over (order by grp) - 1 as pos, count(*) over () as n, h
+  from tree where n = 1),
+{_tree("top", "subroots")},
+paths as ({_path("tree", "leaves")}),
+upper_paths as ({_path("top", "subroots")}),
+proven as (
+  select l.doc_id, l.h as leaf, s.h as subroot, (select h from top where n = 1) as root, l.tampered, p.path || u.path as path
+  from leaves l join paths p on p.grp = l.grp and p.pos = l.pos
+  join subroots s on s.lang_key = l.grp join upper_paths u on u.pos = s.pos),
+folded as (
+  select * exclude (path, tampered), sha256(array_to_string(list_transform(path, lambda x: x.a || x.b), '')) as proof_sha256,
+    list_reduce(list_transform(path, lambda x: [x.a, x.b]), lambda node, x: [sha256(x[1] || node[1] || x[2])], [tampered])[1]
+      as folded_root
+  from proven)
+select *, folded_root = root as verified from folded"""
+
+_KEY = "translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+LINE_DEDUP = f"""
+with texts as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+places as (select doc_id, unnest(lines) as line, unnest(range(0, len(lines))) as place from texts),
+keyed as (select *, {_KEY} as key from places),
+firsts as (select key, min(doc_id) as first from keyed where length(key) >= 10 group by key),
+marked as (select k.*, coalesce(k.doc_id > f.first, false) as dropped from keyed k left join firsts f using (key))
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not dropped), '')) as kept_sha256
+from marked group by doc_id"""
+
 SQL: dict[str, str] = {
     "op1_minhash_dedup": MINHASH_DEDUP,
     "op2_warc": WARC,
     "op4_quality_rules": QUALITY_RULES,
     "op8_decontamination": DECONTAMINATION,
+    "op12_merkle_manifest": MERKLE_MANIFEST,
+    "op13_line_dedup": LINE_DEDUP,
 }
