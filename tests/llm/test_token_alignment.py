@@ -1,4 +1,5 @@
 import hashlib
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -54,11 +55,11 @@ def plain(rows, tokens):
         b_at = {at: i for i, at in b}
         links = [(i, b_at[at]) for i, at in a if at in b_at]
         cuts = sorted({at for _, at in a} & set(b_at))
-        groups, low = [], 0
-        for cut in cuts:
-            inside = [",".join(str(i) for i, at in side if low < at <= cut) for side in (a, b)]
-            groups.append("|".join(inside))
-            low = cut
+        group = [defaultdict(list), defaultdict(list)]
+        for inside, side in zip(group, (a, b)):
+            for i, at in side:
+                inside[bisect_left(cuts, at)].append(str(i))
+        groups = ["|".join(",".join(inside[k]) for inside in group) for k in range(len(cuts))]
         counts.update(links)
         docs.append((doc_id, len(a), len(b), len(cuts), links, ";".join(groups)))
     highest = defaultdict(int)
