@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -92,3 +93,20 @@ def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         remove_path(spark, path)
+
+
+def kept(df: DataFrame, label: str) -> DataFrame:
+    """Write df once and hand back the written copy, which stays until the application's Python ends.
+
+    For results that are lazy themselves and need df whenever they are read.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+
+    def clear() -> None:
+        with suppress(Exception):  # the session may be gone already
+            remove_path(spark, path)
+
+    atexit.register(clear)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

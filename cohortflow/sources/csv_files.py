@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from cohortflow.functions.numbers import exact_decimal
 from cohortflow.session import require_ansi
+from cohortflow.sources.csv_ranges import has_large_files, records
 
 _BAD_LINE = "_bad_line"
 
@@ -31,7 +32,8 @@ def _reader(spark: SparkSession, multiline: bool):
 
 def _too_many_fields(line: Column, width: int) -> Column:
     """Whether a line that does not fit the header is too long, not too short."""
-    bare = F.regexp_replace(line, r'(^|,)"(?:[^"]|"")*"', "$1")
+    # Possessive throughout: a field of any length is passed over without recursion.
+    bare = F.regexp_replace(line, r'(^|,)"[^"]*+(?:""[^"]*+)*+"', "$1")
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= width
 
 
@@ -46,17 +48,39 @@ def records_span_lines(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
 
 
+def _parsed(record: Column, width: int) -> Column:
+    """A record's fields c0, c1, ... as text, and the record itself where their number is not the header's."""
+    schema = ", ".join(f"c{i} string" for i in range(width)) + f", {_BAD_LINE} string"
+    return F.from_csv(record, schema, {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": _BAD_LINE})
+
+
+def _read_in_ranges(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """The records of sources with line breaks inside quotes, under `names` and _BAD_LINE."""
+    found, headers = records(spark, path)
+    header = headers.select("file", _parsed(F.col("record"), len(names)).alias("h"))
+    given = F.array(*[F.lower(F.trim(F.replace(F.col(f"h.c{i}"), F.lit("\ufeff"), F.lit("")))) for i in range(len(names))])
+    wanted = F.array(*[F.lit(name) for name in names])
+    other = header.where(~given.eqNullSafe(wanted) | F.col(f"h.{_BAD_LINE}").isNotNull()).select("file").limit(1).collect()
+    if other:
+        raise ValueError(f"{other[0]['file']}: its header is not that of the other files")
+    return found.select(_parsed(F.col("record"), len(names)).alias("r")).select("r.*").toDF(*names, _BAD_LINE)
+
+
 def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
     """All columns as text under cleaned header names.
 
     `path` may be one file, a folder or a glob; every file must carry the same
     header. Lines shorter than the header are filled with NULL, longer ones stop
-    the job. Files split over tasks where every record is one line; otherwise each
-    file is one task's. `multiline` says which, where the caller knows; by default
-    the files are looked through. The records are the same either way.
+    the job. Files split over tasks where every record is one line, and so do files
+    larger than a task's range where records hold line breaks (see csv_ranges); smaller
+    files with such records are one task's each. `multiline` False promises that no
+    record holds one, True reads each file whole; by default the files are looked
+    through. The records are the same either way.
     """
+    in_ranges = False
     if multiline is None:
         multiline = records_span_lines(spark, path)
+        in_ranges = multiline and has_large_files(spark, path)
     header = _reader(spark, multiline).csv(path).columns
     names = [clean_header(name) for name in header]
     if not names:
@@ -64,10 +88,13 @@ def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"{path}: column given twice: {', '.join(repeated)}")
-    fields = [T.StructField(name, T.StringType()) for name in header]
-    schema = T.StructType([*fields, T.StructField(_BAD_LINE, T.StringType())])
-    lines = _reader(spark, multiline).option("columnNameOfCorruptRecord", _BAD_LINE).schema(schema).csv(path)
-    lines = lines.toDF(*names, _BAD_LINE)
+    if in_ranges:
+        lines = _read_in_ranges(spark, path, names)
+    else:
+        fields = [T.StructField(name, T.StringType()) for name in header]
+        schema = T.StructType([*fields, T.StructField(_BAD_LINE, T.StringType())])
+        reader = _reader(spark, multiline).option("columnNameOfCorruptRecord", _BAD_LINE)
+        lines = reader.schema(schema).csv(path).toDF(*names, _BAD_LINE)
     bad = F.col(_BAD_LINE)
     too_long = bad.isNotNull() & _too_many_fields(bad, len(names))
     first, *rest = names
