@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Copies of one row are handed out in runs of this length, so that no array grows with their number.
+RUN = 10_000
 
 
 def new_rows_only(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -15,3 +19,43 @@ def new_rows_only(incoming: DataFrame, existing: DataFrame, keys: Sequence[str])
 def already_stored(incoming: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The other part: incoming rows whose key is stored."""
     return incoming.join(existing.select(*keys), list(keys), "left_semi")
+
+
+def fingerprint(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row, f1 and f2. A missing value differs from every given one, wherever it stands."""
+    # A hash passes over NULLs, so which columns are NULL goes in as a text of its own.
+    gaps = F.concat(*[F.when(F.col(name).isNull(), "1").otherwise("0") for name in columns])
+    return [F.xxhash64(F.lit(seed), gaps, *[F.col(name) for name in columns]).alias(f"f{seed}") for seed in (1, 2)]
+
+
+def repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row `times` times over, without that column."""
+    runs = F.explode(F.sequence(F.lit(0), F.floor((F.col(times) - 1) / RUN)))
+    df = df.where(F.col(times) > 0).withColumn("_run", runs)
+    length = F.least(F.lit(RUN).cast("long"), F.col(times) - F.col("_run") * RUN)
+    return df.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), length))).drop("_run", "_copy", times)
+
+
+FINGERPRINT = ["f1", "f2"]
+
+
+def stored_counts(incoming: DataFrame, existing: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(f1, f2, s): how often rows of `incoming` are stored already. Stored rows are scanned and hashed where
+    they are; only fingerprints move, and of those only the batch's."""
+    batch = incoming.select(*fingerprint(columns)).distinct()
+    stored = existing.select(*fingerprint(columns)).join(batch, FINGERPRINT, "left_semi")
+    return stored.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("s"))
+
+
+def new_occurrences(incoming: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The bag difference: of a row found m times in `incoming` and s times in `stored`, m - s copies.
+
+    `stored` is stored_counts's result, best written by then. Rows are equal when they agree in `columns`, NULLs
+    included; equality goes by 128 bits of hash. A row that holds much of the batch is counted before any shuffle.
+    """
+    found = incoming.withColumns(dict(zip(FINGERPRINT, fingerprint(columns))))
+    unknown = found.join(stored, FINGERPRINT, "left_anti").drop(*FINGERPRINT)
+    # Only rows stored fewer times than they come now need some of their copies, all of which are the same.
+    batch = found.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("m"), F.first(F.struct(*incoming.columns)).alias("row"))
+    more = batch.join(stored, FINGERPRINT).where("m > s").select("row.*", (F.col("m") - F.col("s")).alias("_times"))
+    return unknown.unionByName(repeated(more, "_times"))

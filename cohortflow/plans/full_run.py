@@ -14,6 +14,7 @@ from cohortflow.plans.quality import LOG_CHECKS, check_tables, gate
 from cohortflow.plans.triage import BATCH_SIZE, TriageReport, run_triage
 from cohortflow.sources.loader import LoadReport, load_folder
 from cohortflow.sources.tables import (
+    ANSWER_TABLE,
     MART_DATABASE,
     RAW_DATABASE,
     SUMMARY_TABLE,
@@ -75,18 +76,21 @@ def run_all(
     multiline: bool | None = None,
     n: int = BATCH_SIZE,
     partitions: int = 8,
+    dedupe: bool = False,
 ) -> RunReport:
     """Each step needs the one before; a failed check stops the run before triage.
 
-    `multiline` is read_csv's; `n` patients are scored, `partitions` at a time. The
-    log's own checks run last.
+    `multiline` is read_csv's, `dedupe` load_folder's; `n` patients are scored,
+    `partitions` at a time, and answers survive a run that is killed. The log's own
+    checks run last.
     """
     as_of = as_of or dt.date.today()
     create_all(spark, raw, marts_db)
-    loaded = load_folder(spark, folder, raw, na_tokens, multiline)
+    loaded = load_folder(spark, folder, raw, na_tokens, multiline, dedupe)
     tables = build_models(spark, as_of, raw, marts_db)
     gate(check_tables(tables))
     log_table = f"{marts_db}.{SUMMARY_TABLE}"
-    triage = run_triage(tables["high_risk_flag"], log_table, factory, as_of, n, partitions)
+    answers = f"{marts_db}.{ANSWER_TABLE}"
+    triage = run_triage(tables["high_risk_flag"], log_table, factory, as_of, n, partitions, answers)
     gate(check_tables({SUMMARY_TABLE: spark.table(log_table)}, LOG_CHECKS))
     return RunReport(loaded, triage)

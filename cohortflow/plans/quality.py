@@ -7,9 +7,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from cohortflow.sources.tables import append, create_table
+
 
 @dataclass(frozen=True)
 class Check:
@@ -118,6 +120,62 @@ def check_tables(tables: Mapping[str, DataFrame], checks: Sequence[Check] = RUN_
     return reduce(DataFrame.unionByName, parts)
 
 
+def _failing(df: DataFrame, table: str, checks: Sequence[Check], key: str | None) -> DataFrame:
+    """The failing rows of one table, once per rule they fail."""
+
+    def found(check: Check) -> list[Column]:
+        names = [name.strip() for name in check.column.split(",")]
+        value = F.concat_ws(", ", *[F.col(name).cast("string") for name in names]) if len(names) > 1 else F.col(names[0])
+        return [F.lit(check.column).alias("column"), F.lit(check.rule).alias("check"), value.cast("string").alias("value")]
+
+    row_key = F.col(key).cast("string") if key else F.lit(None).cast("string")
+    row = [row_key.alias("row_key"), F.to_json(F.struct(*df.columns)).alias("row")]
+    head = F.lit(table).alias("table")
+    others = [c for c in checks if c.rule != "unique"]
+    parts = []
+    if others:
+        # All row rules in one pass; a row that passes leaves the scan with an empty list.
+        hits = F.filter(F.array(*[F.when(c.failing_rows(), F.struct(*found(c))) for c in others]), lambda x: x.isNotNull())
+        parts.append(df.select(head, *row, F.inline(hits)))
+    for check in checks:
+        if check.rule == "unique":
+            names = [name.strip() for name in check.column.split(",")]
+            given = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in names])
+            # Counted before it is shuffled; only the repeated values meet the rows again.
+            again = df.where(given).groupBy(*names).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+            parts.append(df.join(again, names, "left_semi").select(head, *row, *found(check)))
+    columns = ["table", "column", "check", "row_key", "value", "row"]
+    return reduce(DataFrame.unionByName, parts).select(*columns)
+
+
+def failing_rows(
+    tables: Mapping[str, DataFrame], checks: Sequence[Check] = RUN_CHECKS, keys: Mapping[str, str] | None = None
+) -> DataFrame:
+    """The rows behind check_tables' counts: (table, column, check, row_key, value, row), one per row and rule it fails.
+
+    `row` is the whole row as JSON, `value` the checked column, `row_key` the column `keys` names for the table.
+    Of 'unique' every row of a repeated value is listed. Row rules share one scan a table without a shuffle.
+    """
+    by_table: dict[str, list[Check]] = defaultdict(list)
+    for check in checks:
+        by_table[check.table].append(check)
+    parts = [_failing(tables[name], name, group, (keys or {}).get(name)) for name, group in by_table.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def log_failures(
+    tables: Mapping[str, DataFrame],
+    target: str,
+    checks: Sequence[Check] = RUN_CHECKS,
+    keys: Mapping[str, str] | None = None,
+) -> int:
+    """Append the failing rows to table `target`, created where it is missing, and return their number."""
+    found, seen = failing_rows(tables, checks, keys), Observation()
+    create_table(found.sparkSession, target, found.schema)
+    append(found.observe(seen, F.count(F.lit(1)).alias("n")), target)
+    return seen.get.get("n", 0)
+
+
 def gate(report: DataFrame) -> list:
     """Run the checks and stop if any fails. The report holds one row per check."""
     rows = report.collect()

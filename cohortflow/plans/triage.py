@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortflow.functions.assessments import RESPONSE_KEYS, framed_json, parse_assessment
 from cohortflow.functions.profiles import PROFILE_FIELDS, render_profile
+from cohortflow.operators.answers import answer_in_batches, answer_key, answered
 from cohortflow.operators.difference import already_stored, new_rows_only
 from cohortflow.operators.scoring import ScorerFactory, score_rows
 from cohortflow.operators.selection import top_rows
@@ -91,6 +94,28 @@ class TriageReport:
         return REPORT_LINE.format(**vars(self))
 
 
+def keyed_prompts(todo: DataFrame, run_date: dt.date) -> DataFrame:
+    """Prompts with the key under which their answers are stored: patient, day and the prompt itself."""
+    day = F.lit(run_date).cast("date")
+    key = answer_key(F.col("patient_id"), day, F.col("prompt"))
+    return todo.select("patient_id", "prompt", day.alias("run_date"), key.alias("answer_key"))
+
+
+@contextmanager
+def _scored(
+    todo: DataFrame, factory: ScorerFactory, run_date: dt.date, partitions: int, answers: str | None, batch_rows: int
+) -> Iterator[DataFrame]:
+    if answers is None:
+        with staged(score_rows(todo, factory, partitions=partitions), "scored") as scored:
+            yield scored
+        return
+    with staged(keyed_prompts(todo, run_date), "asked") as asked:
+        for stored in answer_in_batches(asked, answers, factory, batch_rows, partitions):
+            log.info("%d answers stored", stored)
+        # run_date partitions the store: only that day's answers are read.
+        yield answered(asked, _done_on(asked.sparkSession.table(answers), run_date))
+
+
 def run_triage(
     high_risk: DataFrame,
     table: str,
@@ -98,19 +123,24 @@ def run_triage(
     run_date: dt.date,
     n: int = BATCH_SIZE,
     partitions: int = 8,
+    answers: str | None = None,
+    batch_rows: int = 10,
 ) -> TriageReport:
     """Choose, score, read and log. One scorer call per pending patient, `partitions` at a time.
 
     The chosen rows and the scorer's answers are each written once before they
-    are used, so later steps, retries and the append never score again. A failing
-    row does not stop the others; a failing append counts its rows as errors.
+    are used, so later steps, retries and the append never score again. With a
+    table `answers`, made where it is missing, they are committed to it every
+    `batch_rows` rows: a run that is killed, or whose append fails, leaves them
+    there, and the next one of that day asks for the rest only. A failing row does
+    not stop the others; a failing append counts its rows as errors.
     """
     spark = high_risk.sparkSession
     with staged(candidates(high_risk, n), "candidates") as chosen:
         summaries = spark.table(table)
         already = skipped(chosen, summaries, run_date).count()
         todo = prompts(pending(chosen, summaries, run_date))
-        with staged(score_rows(todo, factory, partitions=partitions), "scored") as scored:
+        with _scored(todo, factory, run_date, partitions, answers, batch_rows) as scored:
             parsed = parse_responses(scored)
             counts = report(parsed).first()
             processed, errors = counts["processed"], counts["errors"]

@@ -315,6 +315,34 @@ def _lines(name: str, columns: str) -> str:
     return f"select '{name}' as name, {' || chr(124) || '.join(parts)} as line from raw_{name}"
 
 
+# Table, naming column, column, rule: a run's checks and some that many rows fail.
+ROW_KEYS = {
+    "raw_patients": "id", "raw_encounters": "id", "raw_conditions": "encounter", "stg_patients": "patient_id",
+    "stg_encounters": "encounter_id", "dim_patients": "patient_id", "fct_clinical_events": "event_id",
+    "high_risk_flag": "patient_id",
+}
+FAILING_EXTRA = [
+    ("raw_encounters", "patient", "unique"), ("raw_conditions", "code", "not_null"), ("stg_patients", "age", ">= 40"),
+]
+
+
+def _failing(table: str, column: str, rule: str) -> str:
+    if rule == "unique":
+        test = f"{column} in (select {column} from {table} group by {column} having count(*) > 1)"
+    elif rule == "not_null":
+        test = f"{column} is null"
+    else:
+        test = f"not ({column} {rule})"
+    return (
+        f"select '{table}' as \"table\", '{column}' as \"column\", '{rule}' as \"check\", "
+        f"cast({ROW_KEYS[table]} as varchar) as row_key, cast({column} as varchar) as value from {table} where {test}"
+    )
+
+
+def _framed(text: str) -> str:
+    return f"coalesce(length({text}) || ':' || {text}, '-')"
+
+
 _PICK = " union all ".join(f"select '{code}' as code" for code in VITALS)
 
 BODIES = {
@@ -404,6 +432,25 @@ union all select 'triage_summaries', 'patient_id, run_date', 'unique', count(*)
 from (select patient_id from logged where patient_id is not null group by patient_id having count(*) > 1)""",
     "hash_sample": f"""select id, patient, start from raw_encounters
 where substr(md5('{SAMPLE_SEED}' || coalesce(patient, '')), 1, 8) < printf('%08x', cast(floor(0.6 * 4294967296) as bigint))""",
+    "exact_sample": f"""select id, patient, start from (
+  select *, count(*) over () as n, row_number() over (order by md5('{SAMPLE_SEED}' || coalesce(patient, '')),
+    md5(coalesce(id, '~') || '|' || coalesce(patient, '~') || '|' || coalesce(cast(start as varchar), '~'))) as place
+  from raw_encounters)
+where place <= round(0.6 * n)""",
+    "load_repeat_proof": " union all ".join(
+        f"select '{name}' as name, count(*) as inserted, count(*) filter (where patient like '%7') as inserted_again, "
+        f"count(*) as skipped, count(*) + count(*) filter (where patient like '%7') as stored from raw_{name}"
+        for name in ("conditions", "observations", "medications")
+    ),
+    "triage_resumed": f"""with keyed as (
+  select *, sha256({_framed("patient_id")} || {_framed(f"cast({TODAY} as varchar)")} || {_framed("prompt")}) as answer_key,
+    count(*) over () as total from scored),
+numbered as (
+  select *, ceil(total / 8.0) as batch_rows, cast('0x' || substr(answer_key, 1, 8) as bigint) as place from keyed)
+select patient_id, answer_key, raw_response,
+  case when place % cast(ceil(total / batch_rows) as bigint) < 3 then 'first' else 'second' end as model_used
+from numbered""",
+    "quality_failures": "\nunion all ".join(_failing(*c) for c in RUN_CHECKS + FAILING_EXTRA),
     "k_of_n": f"""select encounter, patient, code from (
   select e.id as encounter, e.patient, c.code,
     row_number() over (partition by e.id order by md5(c.code || coalesce(e.patient, '')), c.code) as place,

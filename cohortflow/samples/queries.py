@@ -6,26 +6,28 @@ import atexit
 import contextlib
 import datetime as dt
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
+from itertools import islice
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortflow.operators.answers import answer_in_batches, answered
 from cohortflow.operators.difference import new_rows_only
 from cohortflow.operators.reshape import hashed_count, k_of_n_explode
 from cohortflow.operators.scoring import score_rows
-from cohortflow.operators.selection import hash_sample
+from cohortflow.operators.selection import exact_sample, hash_sample
 from cohortflow.plans import marts, staging, triage
-from cohortflow.plans.quality import LOG_CHECKS, RUN_CHECKS, Check, check_tables
+from cohortflow.plans.quality import LOG_CHECKS, RUN_CHECKS, Check, check_tables, failing_rows
 from cohortflow.samples import rule_scorer as scorers
 from cohortflow.samples.star_tables import AS_OF, raw_table
 from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA, VITALS
-from cohortflow.session import remove_path, scratch_database, scratch_path, staged
+from cohortflow.session import kept, remove_path, scratch_database, scratch_path, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
-from cohortflow.sources.loader import load_folder
-from cohortflow.sources.tables import SUMMARY_TABLE, create_all, create_table, summary_preview
+from cohortflow.sources.loader import load_folder, load_rows
+from cohortflow.sources.tables import ANSWER_TABLE, SUMMARY_TABLE, create_all, create_table, summary_preview
 
 # The scorer travels with the job, whether or not the workers have this package.
 cloudpickle.register_pickle_by_value(scorers)
@@ -223,6 +225,55 @@ def _triage_log(s: Star) -> DataFrame:
     return s.spark.createDataFrame(lines, schema)
 
 
+def _load_repeat_proof(s: Star) -> DataFrame:
+    """Unkeyed tables loaded with `dedupe`: first every row, then again with some rows once more than before."""
+    spark, counts = s.spark, []
+    with scratch_database(spark, "load") as raw:
+        for name in ("conditions", "observations", "medications"):
+            create_table(spark, f"{raw}.{name}", RAW_SCHEMAS[name])
+            rows = typed_by_name(s.raw(name), RAW_SCHEMAS[name], na_tokens=())
+            more = rows.unionByName(rows.where("patient like '%7'"))
+            once, twice = (load_rows(part, f"{raw}.{name}", None, dedupe=True) for part in (rows, more))
+            counts.append((name, once.inserted, twice.inserted, twice.skipped, spark.table(f"{raw}.{name}").count()))
+    columns = "name string, inserted bigint, inserted_again bigint, skipped bigint, stored bigint"
+    return spark.createDataFrame(counts, columns)
+
+
+def _triage_resumed(s: Star) -> DataFrame:
+    """Answers to all flagged patients by two runs: the first is given up after three batches."""
+    with scratch_database(s.spark, "triage") as database, staged(triage.prompts(s.high_risk()), "prompts") as prompts:
+        table, asked = f"{database}.{ANSWER_TABLE}", triage.keyed_prompts(prompts, RUN_DATE)
+        batch_rows = -(-prompts.count() // 8)
+        for number, batches in (("first", 3), ("second", 8)):
+            labelled = partial(scorers.labelled_scorer, number)
+            for _ in islice(answer_in_batches(asked, table, labelled, batch_rows), batches):
+                pass
+        return kept(answered(asked, s.spark.table(table)).select("patient_id", "answer_key", "raw_response", "model_used"), "resumed")
+
+
+# Tables whose failing rows are listed, with the column that names a row.
+ROW_KEYS = {
+    "raw_patients": "id",
+    "raw_encounters": "id",
+    "raw_conditions": "encounter",
+    "stg_patients": "patient_id",
+    "stg_encounters": "encounter_id",
+    "dim_patients": "patient_id",
+    "fct_clinical_events": "event_id",
+    "high_risk_flag": "patient_id",
+}
+FAILING_EXTRA = [
+    Check("raw_encounters", "patient", "unique"),
+    Check("raw_conditions", "code", "not_null"),
+    Check("stg_patients", "age", ">= 40"),
+]
+
+
+def _quality_failures(s: Star) -> DataFrame:
+    """Every row that fails a check of a run, or one of a few that many rows fail."""
+    return failing_rows(s.tables(), RUN_CHECKS + FAILING_EXTRA, ROW_KEYS).drop("row")
+
+
 def _k_of_n(s: Star) -> DataFrame:
     # By patient, which some encounters lack.
     encounters = s.raw("encounters").select(F.col("id").alias("encounter"), "patient")
@@ -279,6 +330,10 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
         "id", "patient", "start"
     ),
     "k_of_n": _k_of_n,
+    "exact_sample": lambda s: exact_sample(s.raw("encounters").select("id", "patient", "start"), "patient", 0.6, SAMPLE_SEED),
+    "load_repeat_proof": _load_repeat_proof,
+    "triage_resumed": _triage_resumed,
+    "quality_failures": _quality_failures,
 }
 
 

@@ -39,3 +39,9 @@ def rule_scorer() -> BatchScorer:
         )
 
     return score
+
+
+def labelled_scorer(label: str) -> BatchScorer:
+    """rule_scorer under another model name, which tells whose answers are stored."""
+    score = rule_scorer()
+    return lambda prompts: score(prompts).assign(model_used=label)

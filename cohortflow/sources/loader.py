@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cohortflow.operators.difference import already_stored, new_rows_only
+from cohortflow.operators.difference import already_stored, new_occurrences, new_rows_only, stored_counts
 from cohortflow.schemas import PRIMARY_KEYS, RAW_SCHEMAS
 from cohortflow.session import hadoop_path, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
@@ -44,11 +44,17 @@ class LoadReport:
         return sum(t.inserted for t in self.tables)
 
 
-def load_rows(rows: DataFrame, table: str, key: str | None) -> TableLoad:
-    """Append typed rows to a table; with a key, only those whose key is new."""
-    if key is None:
+def load_rows(rows: DataFrame, table: str, key: str | None, dedupe: bool = False) -> TableLoad:
+    """Append typed rows to a table; with a key, only those whose key is new.
+
+    Without a key all rows are appended, or with `dedupe` only the copies of a row that go beyond those stored.
+    """
+    if key is None and not dedupe:
         return _append_all(rows, table)
     seen = Observation()
+    if key is None:
+        with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
+            return _append_unseen(batch, table, seen.get.get("n", 0))
     with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
         return _append_new(batch, table, key, seen.get.get("n", 0))
 
@@ -61,6 +67,21 @@ def _append_all(rows: DataFrame, table: str) -> TableLoad:
     return TableLoad(table, count, 0, count)
 
 
+def _append_unseen(batch: DataFrame, table: str, read: int) -> TableLoad:
+    if not read:
+        return TableLoad(table, 0, 0, 0)
+    # The time of loading is not part of what a row says.
+    columns = [name for name in batch.columns if name != "loaded_at"]
+    existing = batch.sparkSession.table(table)
+    # Counted and written before the append, which changes what is stored.
+    with (
+        staged(stored_counts(batch, existing, columns), "stored-rows") as stored,
+        staged(new_occurrences(batch, stored, columns), "new-rows") as rows,
+    ):
+        added = _append_all(rows, table).inserted
+    return TableLoad(table, read, read - added, added)
+
+
 def _append_new(batch: DataFrame, table: str, key: str, read: int) -> TableLoad:
     if not read:
         return TableLoad(table, 0, 0, 0)
@@ -93,13 +114,14 @@ def load_file(
     database: str = RAW_DATABASE,
     na_tokens: Sequence[str] = ("",),
     multiline: bool | None = None,
+    dedupe: bool = False,
 ) -> TableLoad:
-    """Load one CSV source into raw table `name`."""
+    """Load one CSV source into raw table `name`. `dedupe` is load_rows's."""
     text = read_csv(spark, path, multiline)
     key = PRIMARY_KEYS.get(name)
     if key is not None and key not in text.columns:
         raise ValueError(f"{path}: key column {key} is missing")
-    result = load_rows(typed_by_name(text, RAW_SCHEMAS[name], na_tokens), f"{database}.{name}", key)
+    result = load_rows(typed_by_name(text, RAW_SCHEMAS[name], na_tokens), f"{database}.{name}", key, dedupe)
     log.info("%s: read %d, skipped %d, inserted %d", result.table, result.read, result.skipped, result.inserted)
     return result
 
@@ -110,10 +132,12 @@ def load_folder(
     database: str = RAW_DATABASE,
     na_tokens: Sequence[str] = ("",),
     multiline: bool | None = None,
+    dedupe: bool = False,
 ) -> LoadReport:
     """Load <table>.csv for every raw table; a file that is not there is reported, not fatal.
 
-    Tables are committed one by one, so an error leaves earlier tables loaded.
+    Tables are committed one by one, so an error leaves earlier tables loaded. With `dedupe`, loading a file
+    again adds nothing to tables without key either, while rows repeated inside a file stay.
     """
     report = LoadReport()
     for name in RAW_SCHEMAS:
@@ -123,6 +147,6 @@ def load_folder(
             log.warning("file not found, skipping: %s", path)
             report.missing.append(f"{name}.csv")
             continue
-        report.tables.append(load_file(spark, path, name, database, na_tokens, multiline))
+        report.tables.append(load_file(spark, path, name, database, na_tokens, multiline, dedupe))
     log.info("load complete, %d rows inserted", report.total)
     return report

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA
 
+# Default name of the table of scorer answers.
+ANSWER_TABLE = "triage_answers"
 # Default database names and the triage log's name.
 RAW_DATABASE = "raw"
 MART_DATABASE = "analytics"
