@@ -8,6 +8,7 @@ Runs of neighbouring chunks have a key of their own; chunks are joined to spans
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +22,12 @@ WINDOW = 16
 # A place in 16 is a candidate cut; one with another less than 8 bytes before it is none. Mean chunk: 25 bytes.
 CUT_BITS, LEAST, MOST = 4, 8, 128
 GEAR = np.random.default_rng(16).integers(0, 1 << 32, 256, dtype=np.uint32)
-CHUNK_SCHEMA = "digest long, doc_id long, place long, ahead long, behind long"
-# A place has a chunk's start, then the bytes of its two runs beyond the least, then its length.
-LENGTH_BITS, MORE_BITS = 9, 8
-AHEAD, BEHIND, START = LENGTH_BITS, LENGTH_BITS + MORE_BITS, LENGTH_BITS + 2 * MORE_BITS
+CHUNK_SCHEMA = "digest long, doc_id long, place long"
+RUN_SCHEMA = "doc_id long, key long, start long, end long"
+# A place has bits of its text's hash, which part texts that share an id, then the chunk's start and its length.
+LENGTH_BITS, START_BITS, TEXT_BITS = 9, 32, 22
+TEXT = START_BITS + LENGTH_BITS
+START = f"shiftright(place, {LENGTH_BITS}) & {(1 << START_BITS) - 1}"
 # Runs are hashed as polynomials of their chunks' digests, modulo 2^64.
 BASE = 0x9E3779B97F4A7C15
 
@@ -63,46 +66,79 @@ def run_hashes(digest: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nd
     return words.mix((upto[last + 1] - upto[first]) * powers[1][first] ^ (last - first).astype(np.uint64))
 
 
-def _chunker(least_bytes: int) -> Callable:
-    def chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            for first, last in words.slices(batch.column("text")):
-                data, offsets = words.text_bytes(batch.column("text").slice(first, last - first))
-                if not len(data):
-                    continue
-                starts = chunk_starts(data, offsets)
-                ends = np.append(starts[1:], len(data))
-                text = np.searchsorted(offsets, starts, side="right") - 1
-                digest = words.hash_spans(data, starts, ends)
-                at = np.arange(len(starts))
-                # The shortest runs of `least_bytes` bytes that begin, and that end, with a chunk; null outside its text.
-                to = np.searchsorted(ends, starts + least_bytes)
-                since = np.searchsorted(starts, ends - least_bytes, side="right") - 1
-                short = text[np.minimum(to, len(at) - 1)] != text
-                short |= to == len(at)
-                early = ends - least_bytes < offsets[text]
-                to, since = np.where(short, at, to), np.where(early, at, since)
-                ahead_more = np.where(short, 0, ends[to] - starts - least_bytes)
-                behind_more = np.where(early, 0, ends - starts[since] - least_bytes)
-                place = (starts - offsets[text]) << START | behind_more << BEHIND | ahead_more << AHEAD | (ends - starts)
-                owner = ids.slice(first, last - first).take(pa.array(text))
-                columns = {
-                    "digest": pa.array(digest.view(np.int64)),
-                    "doc_id": owner,
-                    "place": pa.array(place),
-                    "ahead": pa.array(run_hashes(digest, at, to).view(np.int64), mask=short),
-                    "behind": pa.array(run_hashes(digest, since, at).view(np.int64), mask=early),
-                }
-                yield pa.RecordBatch.from_pydict(columns)
-
-    return chunk
-
-
-def chunk_table(docs: DataFrame, least_bytes: int) -> DataFrame:
-    """One row per chunk of a text: digest, doc_id, place (start, length and its runs' bytes), and its runs' keys."""
+def _chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = batch.column("doc_id")
+        for first, last in words.slices(batch.column("text")):
+            data, offsets = words.text_bytes(batch.column("text").slice(first, last - first))
+            if not len(data):
+                continue
+            starts = chunk_starts(data, offsets)
+            ends = np.append(starts[1:], len(data))
+            text = np.searchsorted(offsets, starts, side="right") - 1
+            tag = (words.hash_spans(data, offsets[:-1], offsets[1:]) >> np.uint64(64 - TEXT_BITS)).astype(np.int64)
+            place = tag[text] << TEXT | (starts - offsets[text]) << LENGTH_BITS | (ends - starts)
+            digest = words.hash_spans(data, starts, ends)
+            owner = ids.slice(first, last - first).take(pa.array(text))
+            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), owner, pa.array(place)], names=["digest", "doc_id", "place"])
+
+
+def chunk_table(docs: DataFrame) -> DataFrame:
+    """One row per chunk of a text: digest, doc_id and place (see above)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.where("doc_id is not null").mapInArrow(_chunker(least_bytes), CHUNK_SCHEMA)
+    return docs.where("doc_id is not null").mapInArrow(_chunk, CHUNK_SCHEMA)
+
+
+def runs_of(doc: np.ndarray, place: np.ndarray, digest: np.ndarray, least_bytes: int) -> tuple[np.ndarray, ...]:
+    """(row, key, start, end) of all runs: for every chunk the shortest of `least_bytes` bytes that begins, and the
+    shortest that ends, with it. Rows are sorted by document and place; runs never leave a row of adjoining chunks."""
+    start = place >> LENGTH_BITS & ((1 << START_BITS) - 1)
+    end = start + (place & ((1 << LENGTH_BITS) - 1))
+    text = place >> TEXT
+    new = np.ones(len(doc), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (text[1:] != text[:-1]) | (start[1:] != end[:-1])
+    part = np.cumsum(new) - 1
+    # Places on one line: every row of adjoining chunks is moved behind the one before.
+    heads = np.flatnonzero(new)
+    tails = np.append(heads[1:], len(doc)) - 1
+    length = end[tails] - start[heads]
+    moved = (np.cumsum(length) - length - start[heads])[part]
+    low, high = start + moved, end + moved
+    at = np.arange(len(doc))
+    to = np.searchsorted(high, low + least_bytes)
+    fits = to < len(doc)
+    fits[fits] = part[to[fits]] == part[fits]
+    since = np.searchsorted(low, high - least_bytes, side="right") - 1
+    held = since >= 0
+    held[held] = part[since[held]] == part[held]
+    first, last = np.concatenate([at[fits], since[held]]), np.concatenate([to[fits], at[held]])
+    return first, run_hashes(digest.view(np.uint64), first, last).view(np.int64), start[first], end[last]
+
+
+def _run_builder(least_bytes: int) -> Callable:
+    def build(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros((3, 0), dtype=np.int64)
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                new = np.stack([batch.column(name).to_numpy(zero_copy_only=False) for name in ("doc_id", "place", "digest")])
+                # Equal rows stand side by side; chunks of one place are one occurrence.
+                held = np.concatenate([held, new], axis=1)
+                held = held[:, np.append(True, (held[:, 1:] != held[:, :-1]).any(axis=0))] if held.shape[1] else held
+                if not held.shape[1]:
+                    continue
+                # The last text may go on in the next batch.
+                doc, text = held[0], held[1] >> TEXT
+                other = np.flatnonzero((doc != doc[-1]) | (text != text[-1]))
+                whole = int(other[-1]) + 1 if len(other) else 0
+            else:
+                whole = held.shape[1]
+            if whole:
+                doc, place, digest = held[:, :whole]
+                row, key, start, end = runs_of(doc, place, digest, least_bytes)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[row], key, start, end)], names=["doc_id", "key", "start", "end"])
+            held = held[:, whole:]
+
+    return build
 
 
 def repeated_spans(docs: DataFrame, least_bytes: int = 100, within: bool = False) -> DataFrame:
@@ -118,31 +154,28 @@ def repeated_spans(docs: DataFrame, least_bytes: int = 100, within: bool = False
     Null and empty texts and null ids have no spans. Rows that share an id are one document, and chunks at the same
     place in them one occurrence. Other columns are ignored. A 64-bit digest stands for a chunk, or a run.
     """
-    chunks = chunk_table(docs, least_bytes)
+    chunks = chunk_table(docs).withColumn("start", F.expr(START))
     occurrence = F.struct("doc_id", "start") if within else F.struct("doc_id")
     ends = [F.min(occurrence).alias("first"), F.max(occurrence).alias("last")]
-    chunks = chunks.withColumn("start", F.shiftright("place", START))
     # Combined before the shuffle, so that a chunk found everywhere is one row per task.
     shared = chunks.groupBy("digest").agg(*ends).where("first < last").select("digest", "first")
     # Read back, so that Spark deals out both sides of the join and can split a chunk found very often.
     shared = written(shared, "shared-chunks")
-    found = chunks.join(shared, "digest").select(
-        "doc_id",
-        "start",
+    found = chunks.drop("start").join(shared, "digest").withColumn("start", F.expr(START))
+    found = found.select(
+        "digest", "doc_id", "place", "start",
         (F.col("start") + F.expr(f"place & {(1 << LENGTH_BITS) - 1}")).alias("end"),
         F.col("first.doc_id").alias("first_doc_id"),
         (occurrence != F.col("first")).alias("later"),
-        "ahead", "behind", "place",
     )
     found = written(found, "found-chunks")
-    # Chunks of a repeated run are repeated, so their rows have all runs that can be.
-    ahead_bytes, behind_bytes = (F.expr(f"{least_bytes} + (shiftright(place, {at}) & {(1 << MORE_BITS) - 1})") for at in (AHEAD, BEHIND))
-    ahead = F.struct(F.col("ahead").alias("key"), "start", (F.col("start") + ahead_bytes).alias("end"))
-    behind = F.struct(F.col("behind").alias("key"), (F.col("end") - behind_bytes).alias("start"), "end")
-    runs = found.select("doc_id", F.explode(F.array(ahead, behind)).alias("r")).select("doc_id", "r.*").where("key is not null")
+    # Chunks of a repeated run are repeated, so runs are made of found chunks that adjoin. 24 bytes a row are sorted.
+    lined_up = found.select("doc_id", "place", "digest").repartition("doc_id", F.expr(f"shiftright(place, {TEXT})"))
+    lined_up = lined_up.sortWithinPartitions("doc_id", "place", "digest")
+    runs = written(lined_up.mapInArrow(_run_builder(least_bytes), RUN_SCHEMA), "runs")
     repeated = written(runs.groupBy("key").agg(*ends).where("first < last").select("key"), "shared-runs")
     runs = runs.join(repeated, "key").select("doc_id", "start", "end", F.lit(True).alias("is_run"))
-    rows = runs.unionByName(found.drop("ahead", "behind", "place"), allowMissingColumns=True)
+    rows = runs.unionByName(found.drop("digest", "place"), allowMissingColumns=True)
     rows = rows.withColumn("is_run", F.coalesce("is_run", F.lit(False)))
     order = Window.partitionBy("doc_id").orderBy("start", F.desc("is_run"), "end", "first_doc_id")
     same = F.struct("start", "end", "is_run", "first_doc_id")
