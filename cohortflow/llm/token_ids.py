@@ -167,7 +167,7 @@ def write_token_ids(
     """Encode every text, append `end_id`, write shards in ascending doc_id order; returns the manifest.
 
     Manifest: shard, uri, documents, ids, and the lowest and highest doc_id. A null text counts as empty;
-    null ids come first; rows with equal ids are told apart by a copy number (in no promised order). No rows:
+    null ids come first; rows with equal ids are told apart by a copy number, in the order of a hash of the text, then the text. No rows:
     no shard. Other columns of `docs` are ignored. Files go below `folder`, by default a new one in the
     session's shared folder.
     """
@@ -179,7 +179,8 @@ def write_token_ids(
     code = "H" if width == 2 else "I"
     held = shared(spark, PretokenEncoder(spec, cache_entries, lambda ids: struct.pack(f"<{len(ids)}{code}", *ids), b"".join))
     dealt = docs.repartitionByRange(shards, "doc_id") if shards else docs.repartitionByRange("doc_id")
-    dealt = dealt.sortWithinPartitions("doc_id")
+    # Ties go by text, so that reruns agree; the hash settles nearly all of them.
+    dealt = dealt.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     write = _write_shards(held, folder or new_folder(spark, "token-ids"), end_id, width)
     return written(dealt.mapInArrow(write, MANIFEST_SCHEMA), "manifest")
 
@@ -311,4 +312,5 @@ def read_token_ids(manifest: DataFrame) -> DataFrame:
     parts = min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
     read = manifest.select("shard", "uri").repartition(parts).mapInArrow(_read_shards, READ_SCHEMA)
     start = (F.col("base") + F.col("first")).alias("start")
-    return read.join(base, "shard").select("doc_id", start, "n_tokens", "ids_crc32", "copy", "shard")
+    # One row a shard: never the documents' side.
+    return read.join(F.broadcast(base), "shard").select("doc_id", start, "n_tokens", "ids_crc32", "copy", "shard")

@@ -107,3 +107,11 @@ def test_a_wide_vocabulary_gets_wide_ids():
     with open(WORDS, encoding="utf-8") as file:
         spec = file.read()
     assert token_ids.id_width(spec, 1) == 2 and token_ids.id_width(spec, 70_000) == 4
+
+
+def test_equal_ids_have_one_order_on_every_run(spark):
+    rows = [(5, f"text number {k} of five") for k in range(40)] + [(4, "four"), (None, "b"), (None, "a"), (6, "six")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = tokenizer_path("word_bpe_49k.json")
+    runs = [sorted(map(tuple, read_token_ids(write_token_ids(docs.repartition(n), path)).drop("shard").collect()), key=str) for n in (2, 7)]
+    assert runs[0] == runs[1]
