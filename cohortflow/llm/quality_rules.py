@@ -114,7 +114,9 @@ def select_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), F.count_if("t.hit").alias("k"))
     )
     tests = sum(len(cuts) for _, cuts in RULES.values())
-    strata = good.select(F.count_distinct(F.coalesce("stratum", F.lit(""))).alias("strata")).first().strata
+    # A null stratum is tested like any other, beside an empty one.
+    null = F.coalesce(F.max(F.col("stratum").isNull().cast("int")), F.lit(0))
+    strata = good.select((F.count_distinct("stratum") + null).alias("strata")).first().strata
     confident = F.lit(math.log(delta / max(1, tests * strata)))
     # Beyond the mean the lower tail is over a half, so only cutoffs below it need the sum.
     able = F.when(F.col("k") < F.col("n") * limit, log_binomial_cdf(F.col("k"), F.col("n"), limit) <= confident)
@@ -133,7 +135,7 @@ def apply_quality_rules(
     (doc_id, quality) calls good (1) and that did not fail the base; with probability 1 - delta, no stratum
     loses more than a share alpha of its good documents to them. A document labelled both ways counts as good;
     labels without id or quality say nothing. Null and empty texts have no words and fail the base. A null
-    stratum is a stratum of its own. A stratum with too few labels rejects nothing. Other columns are ignored.
+    stratum is a stratum of its own. Every labelled document is one draw, copies of a text too. A stratum with too few labels rejects nothing. Other columns are ignored.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

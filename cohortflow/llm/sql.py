@@ -84,7 +84,7 @@ usable as (
   where k < 0.01 * n and list_sum(list_transform(range(0, k + 1), lambda i: exp(
       lgamma(n + 1.0) - (case when i = 0 then 0 else lgamma(i + 1.0) end) - lgamma(n - i + 1.0)
       + i * ln(0.01) + (n - i) * ln(0.99))))
-    <= 0.05 / (24 * (select count(distinct coalesce(lang, '')) from good)))
+    <= 0.05 / (24 * (select count(distinct lang) + max((lang is null)::int) from good)))
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   not base_failed and not ({_REJECTS}) as kept
 from measures m"""

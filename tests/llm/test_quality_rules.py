@@ -92,3 +92,22 @@ def test_a_cutoff_that_good_documents_break_is_not_used(spark):
 def test_the_plan_is_native(spark, sample):
     plan = measured(sample.withColumn("stratum", F.col("lang")))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan) and len(RULES) == 5
+
+
+def test_null_and_empty_strata_are_two(spark):
+    """A cutoff that barely holds with one stratum counted must fail where there are two."""
+    measures = dict.fromkeys(("n_words", "n_lines"), 100) | dict.fromkeys(("word_chars",), 400)
+    zero = dict.fromkeys(("n_symbols", "n_exclaims", "n_dup_lines", "n_repeat_words"), 0)
+
+    def usable(strata, n):
+        rows = [(s, *(measures | zero).values()) for s in strata for _ in range(n)]
+        names = ", ".join(f"{m} long" for m in measures | zero)
+        good = spark.createDataFrame(rows, f"stratum string, {names}")
+        return quality_rules.select_cutoffs(good, 0.05, 0.05).count()
+
+    tests = sum(len(cuts) for _, cuts in quality_rules.RULES.values())
+    # 0.99 ** n <= 0.05 / (tests * strata) is what a cutoff that rejects nobody needs.
+    n = math.ceil(math.log(0.05 / tests) / math.log(0.99))
+    assert usable([""], n) == 1 and usable([None], n) == 1
+    assert usable(["", None], n) == 0 and usable(["", "x"], n) == 0
+    assert usable(["", None], n + 70) == 2
