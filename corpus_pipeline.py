@@ -22,6 +22,8 @@ from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 
 # Text of any language learned costs two to five bits a byte; noise costs more.
 MOST_BITS_PER_BYTE = 6.0
+# Near duplicates share 80 % of their shingles; a pair at just that has fewer than 14 of 32 equal coordinates once in a million.
+PERCENT, MATCHES = 80, 14
 KEY = "_key"
 # Documents whose roundings make up for one another; hashes are fractions of this scale.
 ROUNDED_TOGETHER, HASH_SCALE = 1024, 1 << 20
@@ -40,15 +42,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near duplicates.
+    """Keeps the document with the smallest doc_id of each group of near duplicates, at 80 % of five-word shingles.
 
-    Of rows that share an id the one with the first text stays; rows without an id stay all.
+    Rows that share an id stand or fall together; of those that stay, every text stays once. Rows without an id
+    stay all.
     """
-    kept = _keyed(near_duplicates(docs).where("kept and doc_id is not null"))
-    first = Window.partitionBy(KEY).orderBy("text")
+    kept = _keyed(near_duplicates(docs, percent=PERCENT, matches=MATCHES).where("kept and doc_id is not null"))
     named = docs.withColumn(KEY, F.col("doc_id").cast("long")).join(kept, KEY, "left_semi")
-    named = named.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop(KEY, "_place")
-    return named.unionByName(docs.where("doc_id is null"))
+    # Combined before the shuffle: a row that is there very often is one row per task.
+    others = [name for name in docs.columns if name != "text"]
+    first = F.min_by(F.struct(*others), F.xxhash64(*others)).alias("_row")
+    once = named.groupBy(KEY, "text").agg(first).select(*["text" if c == "text" else f"_row.{c}" for c in docs.columns])
+    return once.unionByName(docs.where("doc_id is null"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +79,8 @@ def _times_taken(mix: DataFrame, blocks: DataFrame) -> DataFrame:
     taken = taken.alias("t").join(rows.alias("r").hint("merge"), keys).select("t.*", "r.all")
     taken = written(taken.where("taken > 0"), "taken")
     many = taken.groupBy("number").agg(F.ceil(F.count(F.lit(1)) / F.lit(ROUNDED_TOGETHER)).alias("buckets"))
-    taken = taken.join(many, "number").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), "buckets"))
+    # One row a source. Broadcast, it leaves the rows where they are, and the grouping deals them by source and bucket.
+    taken = taken.join(F.broadcast(many), "number").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), "buckets"))
     chance = F.pmod(F.xxhash64("doc_id", "size", F.lit(5)), F.lit(HASH_SCALE))
     row = F.struct((-F.col("all")).alias("order"), "doc_id", "size", "all", F.expr("taken % all").alias("rest"),
                    F.expr("taken div all").alias("low"), chance.alias("chance"))
