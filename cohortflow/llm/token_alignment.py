@@ -9,6 +9,7 @@ Stretches that are through leave the vector. A very long document is many stretc
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -25,6 +26,7 @@ from cohortflow.llm.scratch import written
 from cohortflow.llm.shared import shared
 
 STRETCH_BYTES = 256
+ID = np.dtype("<u4")
 ALIGNED_SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
     "pairs array<long>, times array<long>"
@@ -43,11 +45,20 @@ class Tokens:
         return np.cumsum(self.length)
 
 
+def before(lengths) -> np.ndarray:
+    """The sum before each entry, and that of all."""
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
+
+
+def _pack(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Pair:
     """Both tokenizers, opened once per worker process."""
 
     def __init__(self, byte_level_json: str, piece_model: bytes, cache_entries: int):
-        self.encoder = PretokenEncoder(byte_level_json, cache_entries, tuple, lambda parts: list(chain.from_iterable(parts)))
+        self.encoder = PretokenEncoder(byte_level_json, cache_entries, _pack, b"".join)
         # Special tokens' strings are plain text here, so no text needs the library for having one.
         self.encoder.special = []
         self.piece_model, self._live = piece_model, None
@@ -79,13 +90,16 @@ class Pair:
         """Tokens of space + text by A, and of text, to which B puts a space itself, by B; none for texts that are
         empty or that either side spells otherwise."""
         _, pieces, spell_a, spell_b, _ = self._ready()
-        a = self.encoder.values([" " + text if text else "" for text in texts])
-        b = pieces.encode(texts, num_threads=1)
-        for k, text in enumerate(texts):
-            whole = b" " + text.encode()
-            if not text or spell_a.joined(a[k]) != whole or spell_b.joined(b[k]) != whole:
-                a[k] = b[k] = []
-        return spell_a.tokens(a), spell_b.tokens(b)
+        spaced = [" " + text if text else "" for text in texts]
+        packed = self.encoder.values(spaced)
+        lists = pieces.encode(texts, num_threads=1)
+        bodies = [text.encode() for text in spaced]
+        whole, bounds = np.frombuffer(b"".join(bodies), dtype=np.uint8), before([len(x) for x in bodies])
+        a_ids, a_before = np.frombuffer(b"".join(packed), dtype=ID).astype(np.int64), before([len(x) // ID.itemsize for x in packed])
+        b_before = before([len(x) for x in lists])
+        b_ids = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(b_before[-1]))
+        right = spell_a.spells(a_ids, a_before, whole, bounds) & spell_b.spells(b_ids, b_before, whole, bounds)
+        return spell_a.tokens(a_ids, a_before, right), spell_b.tokens(b_ids, b_before, right)
 
     @property
     def b_size(self) -> int:
@@ -100,15 +114,28 @@ class _Spelling:
     """Bytes of every id."""
 
     def __init__(self, table: list[bytes]):
-        self.table, self.length = table, np.array([len(x) for x in table], dtype=np.int64)
-
-    def joined(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids))
-
-    def tokens(self, lists: list) -> Tokens:
-        before = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
-        ids = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(before[-1]))
-        return Tokens(ids, self.length[ids], before)
+        self.data, self.length = np.frombuffer(b"".join(table), dtype=np.uint8), np.array([len(x) for x in table], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+
+    def spells(self, ids: np.ndarray, at: np.ndarray, whole: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Whether the ids of each text, those from at[k] on, spell its bytes, those of `whole` from bounds[k] on."""
+        upto = before(self.length[ids])
+        right = upto[at[1:]] - upto[at[:-1]] == np.diff(bounds)
+        # Texts of the right length are spelled out and compared byte by byte.
+        ids, body = ids[np.repeat(right, np.diff(at))], whole[np.repeat(right, np.diff(bounds))]
+        length = self.length[ids]
+        spelled = self.data[np.repeat(self.start[ids] - before(length)[:-1], length) + np.arange(len(body))]
+        wrong = np.flatnonzero(spelled != body)
+        texts = np.flatnonzero(right)
+        ends = np.cumsum(np.diff(bounds)[texts])
+        right[texts[np.searchsorted(ends, wrong, side="right")]] = False
+        return right
+
+    def tokens(self, ids: np.ndarray, at: np.ndarray, right: np.ndarray) -> Tokens:
+        """The tokens of the texts that are right; the others have none."""
+        count = np.diff(at)
+        ids = ids[np.repeat(right, count)]
+        return Tokens(ids, self.length[ids], before(np.where(right, count, 0)))
 
 
 def common_ends(ends_a: np.ndarray, ends_b: np.ndarray, total: int, stretch: int = STRETCH_BYTES) -> tuple[np.ndarray, np.ndarray]:
@@ -184,7 +211,7 @@ def align_texts(pair: Pair, texts: list[str]) -> dict[str, pa.Array]:
     }
 
 
-def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str, cache_entries: int = 200_000) -> DataFrame:
+def align_documents(docs: DataFrame, byte_level_path: str, piece_path: str, cache_entries: int = 400_000) -> DataFrame:
     """One row per row of `docs` (doc_id, text), in the columns of ALIGNED_SCHEMA.
 
     A is a byte-level vocabulary of the tokenizers library and gets a space before the text, B a sentencepiece model
