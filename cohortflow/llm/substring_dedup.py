@@ -76,9 +76,12 @@ def _chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = chunk_starts(data, offsets)
             ends = np.append(starts[1:], len(data))
             text = np.searchsorted(offsets, starts, side="right") - 1
-            tag = (words.hash_spans(data, offsets[:-1], offsets[1:]) >> np.uint64(64 - TEXT_BITS)).astype(np.int64)
-            place = tag[text] << TEXT | (starts - offsets[text]) << LENGTH_BITS | (ends - starts)
-            digest = words.hash_spans(data, starts, ends)
+            start, digest = starts - offsets[text], words.hash_spans(data, starts, ends)
+            # A text's hash is made of its chunks and their places.
+            heads = np.flatnonzero(np.diff(text, prepend=-1))
+            whole = words.mix(np.add.reduceat(words.mix(digest ^ start.astype(np.uint64)), heads))
+            tag = (whole >> np.uint64(64 - TEXT_BITS)).astype(np.int64)[np.searchsorted(heads, np.arange(len(text)), side="right") - 1]
+            place = tag << TEXT | start << LENGTH_BITS | (ends - starts)
             owner = ids.slice(first, last - first).take(pa.array(text))
             yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), owner, pa.array(place)], names=["digest", "doc_id", "place"])
 
