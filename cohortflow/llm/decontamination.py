@@ -2,7 +2,8 @@
 
 A mask of ones and zeros slides over the words of test items and training texts; the words under its ones are
 hashed, those under zeros are free to differ. Equal hashes are hits. Around a hit the two word sequences are
-laid side by side and the best stretch is found: one point for an equal word, one off for a different one.
+laid side by side over all the words they share, however many, and the best stretch is found: one point for an
+equal word, one off for a different one. Of hits one place after another only the first is followed.
 Items shorter than a mask are looked up by their whole word sequence.
 """
 
@@ -12,8 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MASKS = ("111010011", "110011101")
-# Words on either side of a hit that are compared.
-REACH = 64
+# The bit table: bits a seed, and its least and most bits. Beyond them more places become rows, which the join drops.
+BITS_PER_SEED, LEAST_BITS, MOST_BITS = 32, 1 << 21, 1 << 27
+# The mask number of seeds made of a whole item.
+WHOLE = -1
 
 
 def normal_words(text: Column) -> Column:
@@ -33,38 +36,38 @@ def seed_hash(mask: str, at: str) -> str:
     return f"xxhash64({under}, {MASKS.index(mask)})"
 
 
-def _around(at: str) -> list[Column]:
-    """The words around a place of h and the place's position among them."""
-    low = f"greatest({at} - {REACH}, 0)"
-    size = f"{at} - {low} + {REACH + len(MASKS[0])}"
-    return [F.expr(f"slice(h, {low} + 1, {size})").alias("near"), F.expr(f"{at} - {low}").alias("at")]
-
-
 def whole_hash(at: str, size: str) -> str:
     """SQL: hash of `size` words of h from `at`, for items shorter than a mask."""
     return f"xxhash64(slice(h, {at} + 1, {size}), {size}, {len(MASKS)})"
 
 
-def item_seeds(benchmark: DataFrame, least_score: int) -> DataFrame:
-    """One row per item, place and mask, one per item shorter than a mask: item_id, seed, near, at, needed (score)."""
+def item_words(benchmark: DataFrame, least_score: int, least_words: int) -> DataFrame:
+    """Distinct items of `least_words` words and more: item_id, h, item (a hash of both), needed (score)."""
     span = len(MASKS[0])
-    every = f"if(size(h) < {span}, if(size(h) = 0, array(cast(null as int)), array(0)), sequence(0, size(h) - {span}))"
-    items = hashed_words(benchmark, "item_id").select("*", F.expr(f"explode_outer({every})").alias("i"))
-    items = items.where("i is not null")
-    masked = F.array(*[F.expr(seed_hash(mask, "i")) for mask in MASKS])
-    seeds = F.when(F.size("h") < span, F.array(F.expr(whole_hash("0", "size(h)")))).otherwise(masked)
-    needed = F.expr(f"if(size(h) < {span}, size(h), least({least_score}, size(h) div 2))")
-    return items.select("item_id", F.explode(seeds).alias("seed"), *_around("i"), needed.alias("needed"))
+    items = hashed_words(benchmark, "item_id").where(F.size("h") >= max(least_words, 1)).distinct()
+    needed = F.expr(f"if(size(h) < {span}, size(h), least({least_score}, size(h) div 2))").alias("needed")
+    return items.select("item_id", "h", F.xxhash64(F.isnull("item_id"), "item_id", "h").alias("item"), needed)
 
 
-def short_sizes(benchmark: DataFrame) -> DataFrame:
-    """One row: the numbers of words that items shorter than a mask have."""
-    sizes = hashed_words(benchmark).select(F.size("h").alias("n")).where(f"n between 1 and {len(MASKS[0]) - 1}")
-    return sizes.groupBy().agg(F.sort_array(F.collect_set("n")).alias("sizes"))
+def item_seeds(items: DataFrame) -> DataFrame:
+    """One row per item, place and mask, one per item shorter than a mask: item, seed, q (place), mask."""
+    span = len(MASKS[0])
+    places = items.select("item", "h", F.expr(f"explode(if(size(h) < {span}, array(0), sequence(0, size(h) - {span})))").alias("q"))
+    masked = F.array(*[F.struct(F.expr(seed_hash(mask, "q")).alias("seed"), F.lit(m).alias("mask")) for m, mask in enumerate(MASKS)])
+    whole = F.array(F.struct(F.expr(whole_hash("0", "size(h)")).alias("seed"), F.lit(WHOLE).alias("mask")))
+    seeds = places.select("item", "q", F.explode(F.when(F.size("h") < span, whole).otherwise(masked)).alias("s"))
+    return seeds.select("item", "s.seed", "q", "s.mask")
+
+
+def item_sizes(items: DataFrame) -> DataFrame:
+    """One row: the numbers of words that items shorter than a mask have, and that of the longest item."""
+    short = F.when(F.size("h") < len(MASKS[0]), F.size("h"))
+    longest = F.coalesce(F.max(F.size("h")), F.lit(0)).alias("longest")
+    return items.groupBy().agg(F.struct(F.sort_array(F.collect_set(short)).alias("short"), longest).alias("sizes"))
 
 
 def seed_bits(seeds: DataFrame, bits: int) -> DataFrame:
-    """One row, one array of bits / 64 longs: two bits per seed are set. Its size is fixed by `bits`."""
+    """One row, one array of bits / 64 longs: two bits per seed are set."""
     lanes = bits // 64
     places = seeds.select(F.explode(F.array("seed", F.expr("shiftrightunsigned(seed, 32)"))).alias("p"))
     places = places.select(F.expr(f"shiftright(p, 6) & {lanes - 1}").alias("lane"), F.expr("cast(p & 63 as int)").alias("bit"))
@@ -75,6 +78,15 @@ def seed_bits(seeds: DataFrame, bits: int) -> DataFrame:
     return full.groupBy().agg(F.transform(in_order, lambda x: x["bits"]).alias("bits"))
 
 
+def _follows(near: str, at: str, other: str, other_at: str) -> str:
+    """SQL: whether the place before is a hit of the same mask too, so that the same words are laid side by side."""
+    hit = [
+        f"mask = {m} and " + " and ".join(f"{near}[{at} + {k - 1}] = {other}[{other_at} + {k - 1}]" for k, bit in enumerate(mask) if bit == "1")
+        for m, mask in enumerate(MASKS)
+    ]
+    return f"{at} > 0 and {other_at} > 0 and ({' or '.join(hit)})"
+
+
 def _best_stretch(near: str, at: str, other: str, other_at: str) -> Column:
     """Score, length, equal words and start (from the hit) of the best stretch around a hit."""
     left = f"least({at}, {other_at})"
@@ -98,26 +110,34 @@ def _best_stretch(near: str, at: str, other: str, other_at: str) -> Column:
     """)
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, least_score: int = 10, filter_bits: int = 1 << 21) -> DataFrame:
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, least_score: int = 10, least_words: int = 1, filter_bits: int | None = None
+) -> DataFrame:
     """Documents that hold passages of benchmark items: one row per pair of doc_id and item_id.
 
     Columns: doc_id, item_id, score, equal_words, words (of the best stretch) and position (its first word in
     the document). A pair is reported when the best stretch around some hit scores at least `least_score`: ten
     equal words, or one more for every different one among them; for items of fewer than twice as many words, half
-    their number is enough. An item shorter than a mask (9 words) is reported where all its words stand in a row.
+    their number is enough. An item shorter than a mask (9 words) is reported where all its words stand in a row; items
+    of fewer than `least_words` words are not looked for, as a common word alone would match nearly every text.
     Words are runs of letters and digits in lower case. Texts and items without any have no hits. Null ids
     are reported as null; rows that share an id are reported together. Other columns are ignored.
 
-    Every place of every text is tested against a bit table of fixed size (`filter_bits`), which drops nearly
-    all places without a hit and none with one; only the rest become rows.
+    Every place of every text is tested against a bit table that follows the number of seeds (`filter_bits` sets
+    it, in a power of two), which drops nearly all places without a hit and none with one; only the rest become
+    rows. Such a row holds the words around its place as far as the longest item reaches.
     """
     benchmark = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    seeds = item_seeds(benchmark, least_score)
+    items = item_words(benchmark, least_score, least_words)
+    seeds = item_seeds(items)
+    if filter_bits is None:
+        wanted = max(seeds.count() * BITS_PER_SEED, 1)
+        filter_bits = min(max(1 << (wanted - 1).bit_length(), LEAST_BITS), MOST_BITS)
     span, lanes = len(MASKS[0]), filter_bits // 64
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = hashed_words(texts, "doc_id")
     texts = texts.withColumn("bits", seed_bits(seeds, filter_bits).scalar())
-    texts = texts.withColumn("sizes", short_sizes(benchmark).scalar())
+    texts = texts.withColumn("sizes", item_sizes(items).scalar())
 
     def is_set(p: str) -> str:
         return f"(shiftrightunsigned(bits[cast(shiftright({p}, 6) & {lanes - 1} as int)], cast({p} & 63 as int)) & 1L) = 1L"
@@ -133,20 +153,20 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, least_score: int = 10, filte
     tested = " or ".join(may_hit(seed_hash(mask, "i")) for mask in MASKS)
     masked = f"transform(filter({every(str(span))}, i -> {tested}), i -> struct(i, 0 as n))"
     whole = f"filter({every('n')}, i -> {may_hit(whole_hash('i', 'n'))})"
-    whole = f"flatten(transform(sizes, n -> transform({whole}, i -> struct(i, n))))"
-    texts = texts.select("doc_id", "h", F.expr(f"concat({masked}, {whole})").alias("places"))
+    whole = f"flatten(transform(sizes.short, n -> transform({whole}, i -> struct(i, n))))"
+    texts = texts.select("doc_id", "h", "sizes.longest", F.expr(f"concat({masked}, {whole})").alias("places"))
     # An outer explode: a filter on h or places would be moved below their computation and repeat it.
-    places = texts.select("doc_id", "h", F.explode_outer("places").alias("p")).where("p is not null")
-    places = places.select("doc_id", "h", "p.i", "p.n")
+    places = texts.select("doc_id", "h", "longest", F.explode_outer("places").alias("p")).where("p is not null")
+    places = places.select("doc_id", "h", "longest", "p.i", "p.n")
     mine = F.array(*[F.expr(seed_hash(mask, "i")) for mask in MASKS])
     mine = F.when(F.col("n") == 0, mine).otherwise(F.array(F.expr(whole_hash("i", "n"))))
-    near, at = _around("i")
-    near = F.when(F.col("n") == 0, near).otherwise(F.expr("slice(h, i + 1, n)")).alias("near")
-    at = F.when(F.col("n") == 0, at).otherwise(F.lit(0)).alias("at")
+    at = F.expr("least(i, longest)").alias("at")
+    near = F.expr("slice(h, i - least(i, longest) + 1, least(i, longest) + longest)").alias("near")
     places = places.select("doc_id", "i", F.explode(mine).alias("seed"), near, at)
-    theirs = seeds.select("item_id", "seed", F.col("near").alias("item_near"), F.col("at").alias("item_at"), "needed")
-    hits = places.join(theirs, "seed")
-    found = hits.select("doc_id", "item_id", "i", "needed", _best_stretch("near", "at", "item_near", "item_at").alias("s"))
+    theirs = items.select("item", "item_id", F.col("h").alias("item_h"), "needed")
+    hits = places.join(seeds, "seed").join(theirs, "item")
+    hits = hits.where(~F.expr(_follows("near", "at", "item_h", "q")))
+    found = hits.select("doc_id", "item_id", "i", "needed", _best_stretch("near", "at", "item_h", "q").alias("s"))
     found = found.where(F.col("s.score") >= F.col("needed"))
     position = F.col("i") + F.col("s.start")
     best = F.max(F.struct(F.col("s.score"), F.col("s.equal_words"), F.col("s.words"), (-position).alias("place")))

@@ -111,33 +111,37 @@ item_seeds as (
   from (select item_id, w, unnest(range(0, greatest(len(w) - 8, 0))) as q from items)),
 text_places as (select doc_id, unnest(range(0, greatest(len(w) - 8, 0))) as p, w from texts),
 text_seeds as (select doc_id, p, {_under("w", "p")} as seed from text_places),
-hits as (
-  select distinct t.doc_id, t.p, i.item_id, i.q from text_seeds t join item_seeds i on i.seed = t.seed),
+diagonals as (
+  select distinct t.doc_id, i.item_id, i.w as item, cast(t.p as bigint) - i.q as d
+  from text_seeds t join item_seeds i on i.seed = t.seed),
 steps as (
-  select h.doc_id, h.item_id, h.p, h.q, k,
-    sum(case when d.w[h.p + k + 1] = i.w[h.q + k + 1] then 1 else -1 end)
-      over (partition by h.doc_id, h.item_id, h.p, h.q order by k) as upto
-  from (select h.*, unnest(range(-least(p, q, 64), least(len(d.w) - p, len(i.w) - q, 73))) as k
-        from hits h join texts d on d.doc_id = h.doc_id join items i on i.item_id = h.item_id) h
-  join texts d on d.doc_id = h.doc_id join items i on i.item_id = h.item_id),
+  select *, sum(case when w[d + k + 1] = item[k + 1] then 1 else -1 end) over (partition by doc_id, item_id, d order by k) as upto
+  from (select g.*, t.w, unnest(range(greatest(-d, 0), least(len(t.w) - d, len(item)))) as k
+        from diagonals g join texts t on t.doc_id = g.doc_id)),
 lows as (
-  select *, coalesce(min(upto) over (partition by doc_id, item_id, p, q order by k
+  select *, coalesce(min(upto) over (partition by doc_id, item_id, d order by k
       rows between unbounded preceding and 1 preceding), 0) as low_before,
-    min(k) over (partition by doc_id, item_id, p, q) as first_k
+    min(k) over (partition by doc_id, item_id, d) as first_k
   from steps),
 ends as (
   select *, upto - least(low_before, 0) as score from lows),
 best as (
-  select * from ends qualify row_number() over (partition by doc_id, item_id, p, q order by score desc, k) = 1),
+  select * from ends qualify row_number() over (partition by doc_id, item_id, d order by score desc, k) = 1),
 starts as (
-  select b.doc_id, b.item_id, b.p, b.q, any_value(b.score) as score, any_value(b.k) + 1 as stop,
+  select b.doc_id, b.item_id, b.d, any_value(len(b.item)) as size, any_value(b.score) as score, any_value(b.k) + 1 as stop,
     coalesce(max(s.k) filter (where s.k < b.k and s.upto = least(b.low_before, 0)) + 1, any_value(b.first_k)) as start
-  from best b join steps s on s.doc_id = b.doc_id and s.item_id = b.item_id and s.p = b.p and s.q = b.q
-  group by 1, 2, 3, 4),
+  from best b join steps s on s.doc_id = b.doc_id and s.item_id = b.item_id and s.d = b.d
+  group by 1, 2, 3),
+short as (select item_id, len(w) as n, array_to_string(w, ' ') as s from items where len(w) between 1 and 8),
+short_places as (
+  select doc_id, n, w, unnest(range(0, greatest(len(w) - n + 1, 0))) as p from texts, (select distinct n from short)),
 found as (
   select doc_id, item_id, cast(score as int) as score, cast((score + stop - start) // 2 as int) as equal_words,
-    cast(stop - start as int) as words, cast(p + start as int) as position
-  from starts where score >= 10)
+    cast(stop - start as int) as words, cast(d + start as int) as position
+  from starts where score >= least(10, size // 2)
+  union all
+  select doc_id, item_id, cast(n as int), cast(n as int), cast(n as int), cast(p as int)
+  from (select doc_id, n, p, array_to_string(w[p + 1:p + n], ' ') as s from short_places) join short using (n, s))
 select * from found qualify row_number() over (
   partition by doc_id, item_id order by score desc, equal_words desc, words desc, position) = 1"""
 

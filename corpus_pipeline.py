@@ -24,6 +24,8 @@ from cohortflow.llm.token_ids import read_token_ids, write_token_ids
 MOST_BITS_PER_BYTE = 6.0
 # Near duplicates share 80 % of their shingles; a pair at just that has fewer than 14 of 32 equal coordinates once in a million.
 PERCENT, MATCHES = 80, 14
+# Shorter benchmark items say too little to drop a document for.
+LEAST_ITEM_WORDS = 5
 KEY = "_key"
 # Documents whose roundings make up for one another; hashes are fractions of this scale.
 ROUNDED_TOGETHER, HASH_SCALE = 1024, 1 << 20
@@ -57,8 +59,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold passages of the benchmark; rows that share an id go together."""
-    found = _keyed(overlaps(docs, table(spark, sf_dir, "benchmark")))
+    """Drops documents that hold passages of the benchmark's items of five words and more; rows that share an id go together."""
+    found = _keyed(overlaps(docs, table(spark, sf_dir, "benchmark"), least_words=LEAST_ITEM_WORDS))
     return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(KEY)), "left_anti")
 
 

@@ -4,7 +4,7 @@ import re
 from llm.cases import SF_DIR
 from pyspark.sql import functions as F
 
-from cohortflow.llm.decontamination import MASKS, REACH, overlaps
+from cohortflow.llm.decontamination import MASKS, overlaps
 
 ITEMS = "item_id long, text string"
 
@@ -14,7 +14,7 @@ def words(text):
 
 
 def brute(docs, items, least=10):
-    """Best stretch around any hit of a mask, by definition."""
+    """Best stretch around any hit of a mask, by definition; without `least`, short items need half their words."""
     span, found = len(MASKS[0]), {}
     for doc_id, text in docs:
         w = words(text)
@@ -26,12 +26,12 @@ def brute(docs, items, least=10):
                         if any(m == "1" and w[p + k] != t[q + k] for k, m in enumerate(mask)):
                             continue
                         score = best = 0
-                        left = min(p, q, REACH)
-                        right = min(len(w) - p, len(t) - q, REACH + span)
+                        left = min(p, q)
+                        right = min(len(w) - p, len(t) - q)
                         for k in range(-left, right):
                             score = max(0, score + (1 if w[p + k] == t[q + k] else -1))
                             best = max(best, score)
-                        if best >= least:
+                        if best >= (min(10, len(t) // 2) if least is None else least):
                             found[doc_id, item_id] = max(best, found.get((doc_id, item_id), 0))
     return found
 
@@ -111,3 +111,43 @@ def test_short_items(spark):
     want = {(i, i % 100 if i < 1000 else i % 1000) for i, _ in docs if i > 0 and i not in (201, 202)}
     assert set(got) == want
     assert all(got[n, n].position == 30 and got[n, n].score == got[n, n].equal_words == n for n in sizes)
+
+
+def planted():
+    """Items of 1 to 400 words, copied whole, with every sixth word changed, and side by side."""
+    rnd = random.Random(400)
+    sizes = [1, 2, 5, 8, 9, 10, 12, 16, 17, 20, 40, 64, 73, 130, 300, 400]
+    items = {n: [f"i{n}x{rnd.randrange(n)}" for _ in range(n)] for n in sizes}
+    fill = lambda n: [f"f{rnd.randrange(50)}" for _ in range(n)]
+    docs = [(n, [*fill(90), *w, *fill(90)]) for n, w in items.items()]
+    docs += [(1000 + n, ["gap" if k % 6 == 2 else x for k, x in enumerate(w)]) for n, w in items.items()]
+    docs += [(2000, [x for w in items.values() for x in w]), (2001, [*items[300][150:], *items[300][:150]]), (2002, fill(500))]
+    return [(i, " ".join(w)) for i, w in docs] + [(0, ""), (-1, None)], [(n, " ".join(w)) for n, w in items.items()] + [(999, "...")]
+
+
+def test_long_and_short_items_in_both_engines(spark):
+    import duckdb
+    import pandas as pd
+
+    from cohortflow.llm.sql import SQL
+
+    docs, items = planted()
+    frames = pd.DataFrame(docs, columns=["doc_id", "text"]), pd.DataFrame(items, columns=["item_id", "text"])
+    con = duckdb.connect()
+    con.register("documents", frames[0])
+    con.register("benchmark", frames[1])
+    names = ["doc_id", "item_id", "score", "equal_words", "words", "position"]
+    theirs = con.execute(f"select {', '.join(names)} from ({SQL['op8_decontamination']})").fetchall()
+    mine = overlaps(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, ITEMS))
+    mine = [tuple(r) for r in mine.select(*names).collect()]
+    assert sorted(mine) == sorted(theirs)
+    scores = {r[:2]: r[2] for r in mine}
+    assert all(scores[n, n] == n and scores[2000, n] >= n for n, _ in items if n != 999)
+    assert {(d, i): s for (d, i), s in scores.items() if i >= 9} == brute(docs, items, None)
+
+
+def test_least_words(spark):
+    docs, items = planted()
+    df, of = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, ITEMS)
+    every, some = result(df, of), result(df, of, least_words=5)
+    assert some == {k: v for k, v in every.items() if k[1] >= 5} and len(some) < len(every)
