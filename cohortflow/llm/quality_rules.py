@@ -80,19 +80,33 @@ def measured(docs: DataFrame) -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
+def log_factorial(n: Column) -> Column:
+    """Logarithm of n!, by Stirling's series from ten places on."""
+    x = n.cast("double") + 10
+    series = 1 / (12 * x) - 1 / (360 * F.pow(x, F.lit(3.0))) + 1 / (1260 * F.pow(x, F.lit(5.0)))
+    down = F.log(n.cast("double") + 1)
+    for step in range(2, 11):
+        down = down + F.log(n.cast("double") + step)
+    return (x + 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + series - down
+
+
 def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
-    """Logarithm of P(X <= k) for X of binomial(n, p), summed term by term in logarithms."""
+    """Logarithm of P(X <= k) for X of binomial(n, p) and k of at most n * p.
+
+    The term of k is the largest; those below it are summed as shares of it. After j steps down, a share is at most
+    exp(-j^2 / 2np), so that ten times the root of np steps leave nothing a double can hold, whatever k.
+    """
     odds = math.log(p) - math.log1p(-p)
+    top = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * F.lit(odds) + n * F.lit(math.log1p(-p))
+    most = F.ceil(10 * F.sqrt(n * F.lit(p))) + 50
+    steps = F.sequence(F.lit(0).cast("bigint"), F.least(k, most.cast("bigint")))
 
-    def add(state: Column, i: Column) -> Column:
-        term = state["term"] + F.log((n - i + 1) / i) + F.lit(odds)
-        high, low = F.greatest(state["sum"], term), F.least(state["sum"], term)
-        return F.struct(term.alias("term"), (high + F.log1p(F.exp(low - high))).alias("sum"))
-
-    first = n * F.lit(math.log1p(-p))
-    start = F.struct(first.alias("term"), first.alias("sum"))
-    steps = F.when(k > 0, F.sequence(F.lit(1).cast("bigint"), k)).otherwise(F.array().cast("array<bigint>"))
-    return F.aggregate(steps, start, add, lambda s: s["sum"])
+    def add(state: Column, j: Column) -> Column:
+        share = F.when(j == 0, F.lit(1.0)).otherwise(state["share"] * (k - j + 1) / (n - k + j) * F.lit(math.exp(-odds)))
+        return F.struct(share.alias("share"), (state["sum"] + share).alias("sum"))
+
+    start = F.struct(F.lit(1.0).alias("share"), F.lit(0.0).alias("sum"))
+    return top + F.log(F.aggregate(steps, start, add, lambda s: s["sum"]))
 
 
 def select_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 from llm.cases import DOCS
+import numpy as np
 from pyspark.sql import functions as F
 
 from cohortflow.llm import quality_rules
@@ -66,6 +67,19 @@ def test_the_binomial_bound_is_exact(spark, n, p):
     assert all(math.isclose(math.exp(g), sum(term(i) for i in range(k + 1)), rel_tol=1e-8) for k, g in zip(ks, got))
 
 
+def test_the_bound_of_a_million_failures(spark):
+    n, p = 10**8, 0.01
+    ks = [10**6 - 3 * 995, 10**6]
+    got = [r[0] for r in spark.createDataFrame([(k, n) for k in ks], "k long, n long").select(log_binomial_cdf(F.col("k"), F.col("n"), p)).collect()]
+    for k, g in zip(ks, got):
+        i = np.arange(k, k - 30_000, -1.0)
+        shares = np.cumprod(np.concatenate([[1.0], i[:-1] / (n - i[:-1] + 1) * (1 - p) / p]))
+        top = math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p) + (n - k) * math.log1p(-p)
+        assert math.isclose(g, top + math.log(shares.sum()), abs_tol=1e-5)
+    # About the mean, and three standard deviations below it.
+    assert math.isclose(math.exp(got[1]), 0.5, abs_tol=1e-3) and math.isclose(math.exp(got[0]), 0.00135, abs_tol=1e-4)
+
+
 def corpus(spark, good, bad):
     """Good documents without symbols, bad ones with a symbol after every word; one stratum is too small."""
     words = " ".join(f"word{i}" for i in range(30))
