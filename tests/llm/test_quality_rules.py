@@ -2,9 +2,9 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from llm.cases import DOCS
-import numpy as np
 from pyspark.sql import functions as F
 
 from cohortflow.llm import quality_rules
