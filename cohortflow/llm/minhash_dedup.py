@@ -9,9 +9,10 @@ Counting collisions does not need every list:
   one document has needs no list;
 * skip: a list that holds the same documents as another is merged once.
 
-Lists longer than a block are merged as pairs of blocks, each a bounded group. A group hands on a
+Lists longer than a block are merged in bounded blocks that share a few pivots; only members left
+outside a list's largest component meet the others again, so that no pair is missed. A block hands on a
 spanning forest of its candidates, not the pairs, so rows stay linear in the postings. Clusters of
-candidates are then compared on full shingle sets, again in blocks, and the confirmed links give the
+candidates are then compared on full shingle sets in the same way, and the confirmed links give the
 components.
 """
 
@@ -26,10 +27,11 @@ from pyspark.sql import functions as F
 
 from cohortflow.llm import groups, words
 from cohortflow.llm.components import components
+from cohortflow.llm.linking import linked
 from cohortflow.llm.scratch import written
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, tokens array<bigint>"
-SET_SCHEMA = "doc_id long, cluster long, members long, hashes binary"
+SET_SCHEMA = "node long, cluster long, spots array<struct<low:int,high:int>>, hashes binary"
 
 
 def shingle_sets(column: pa.Array, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -102,7 +104,7 @@ def _edges(found: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Record
 
 def _collider(coordinates: int, matches: int, step: int = 8) -> Callable:
     def merge(run: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        ids = run.column("rep").to_numpy()
+        ids = run.column("node").to_numpy()
         lists = run.column("tokens")
         tokens = lists.flatten().to_numpy().reshape(len(ids), coordinates)
         linked = np.zeros((len(ids), len(ids)), dtype=bool)
@@ -121,7 +123,7 @@ def _collider(coordinates: int, matches: int, step: int = 8) -> Callable:
         return _pairs(ids, linked)
 
     def collide(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _edges(merge(run) for run in groups.runs(batches, ["token", "low", "high"]))
+        yield from _edges(merge(run) for run in groups.runs(batches, ["cluster", "low", "high"]))
 
     return collide
 
@@ -131,9 +133,9 @@ def _set_maker(size: int) -> Callable:
         for batch in batches:
             for first, last, sets, before in shingle_sets(batch.column("text"), size):
                 blobs = [sets[a:b].tobytes() for a, b in zip(before[:-1], before[1:])]
-                kept = [batch.column(c).slice(first, last - first) for c in ("doc_id", "cluster", "members")]
+                kept = [batch.column(c).slice(first, last - first) for c in ("node", "cluster", "spots")]
                 yield pa.RecordBatch.from_arrays(
-                    [*kept, pa.array(blobs, type=pa.binary())], names=["doc_id", "cluster", "members", "hashes"]
+                    [*kept, pa.array(blobs, type=pa.binary())], names=["node", "cluster", "spots", "hashes"]
                 )
 
     return make
@@ -164,7 +166,7 @@ def intersections(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
 
 def _confirmer(percent: int) -> Callable:
     def confirm_run(run: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-        ids = run.column("doc_id").to_numpy()
+        ids = run.column("node").to_numpy()
         sets = [np.frombuffer(x, dtype=np.uint64) for x in run.column("hashes").to_pylist()]
         if len(ids) < 2:
             return ids[:0], ids[:0]
@@ -206,29 +208,22 @@ def candidate_edges(reps: DataFrame, coordinates: int, matches: int, block_rows:
         .agg(F.min("token").alias("token"))
         .select("token", "members")
     )
-    blocks = (
-        posted.join(lists, "token")
-        .select("token", "rep", F.explode(groups.block_pairs(F.col("members"), F.col("rep"), block_rows)).alias("pair"))
-        .select("token", "pair.low", "pair.high", "rep")
-        .join(reps, "rep")
-    )
-    collide = _collider(coordinates, matches)
-    return groups.dealt(blocks, ["token", "low", "high"]).mapInArrow(collide, "u long, v long").distinct()
+    members = posted.join(lists, "token").select(F.col("token").alias("cluster"), F.col("rep").alias("node"), "members")
+    signatures = reps.withColumnRenamed("rep", "node")
+    return linked(members, lambda placed: placed.join(signatures, "node"), _collider(coordinates, matches), block_rows)
 
 
 def confirmed_edges(docs: DataFrame, clusters: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
     """A spanning forest (u, v) of the linked pairs inside each cluster (node, component)."""
-    members = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-    clusters = clusters.join(members, "component").select(
-        F.col("node").alias("doc_id"), F.col("component").alias("cluster"), "members"
-    )
-    # A merge join at every size: clusters grow with the input, so no plan may count on broadcasting them.
-    sets = docs.join(clusters.hint("merge"), "doc_id").mapInArrow(_set_maker(size), SET_SCHEMA)
-    blocks = sets.select(
-        "cluster", "doc_id", "hashes",
-        F.explode(groups.block_pairs(F.col("members"), F.col("doc_id"), block_rows)).alias("pair"),
-    ).select("cluster", "pair.low", "pair.high", "doc_id", "hashes")
-    return groups.dealt(blocks, ["cluster", "low", "high"]).mapInArrow(_confirmer(percent), "u long, v long").distinct()
+    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
+    members = clusters.join(sizes, "component").select(F.col("component").alias("cluster"), "node", "members")
+    texts = docs.select(F.col("doc_id").alias("node"), "text")
+
+    def with_sets(placed: DataFrame) -> DataFrame:
+        # A merge join at every size: clusters grow with the input, so no plan may count on broadcasting them.
+        return texts.join(placed.hint("merge"), "node").mapInArrow(_set_maker(size), SET_SCHEMA)
+
+    return linked(members, with_sets, _confirmer(percent), block_rows)
 
 
 def near_duplicates(
@@ -253,7 +248,7 @@ def near_duplicates(
     With 32 coordinates, a pair at exactly 85 % has fewer than 16 equal ones, and is lost, with
     probability 5e-7; pairs more alike, far less. Two texts with different sets that agree on a 128-bit
     digest would be taken as copies. Lists longer than `list_rows` and clusters larger than `cluster_rows` are
-    compared as pairs of blocks of that size: (n / size)^2 groups of bounded size, spread over tasks.
+    compared in blocks of about that size; see linking.py.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = written(docs.mapInArrow(_signer(shingle_words, coordinates, seed), SIGNATURE_SCHEMA), "signatures")

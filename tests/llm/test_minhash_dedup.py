@@ -1,9 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortflow.llm.components import components
-from cohortflow.llm.minhash_dedup import near_duplicates
+from cohortflow.llm.linking import linked
+from cohortflow.llm.minhash_dedup import SET_SCHEMA, _collider, _confirmer, _set_maker, near_duplicates
 
 
 def shingles(text, size=5):
@@ -73,6 +75,45 @@ def test_a_hot_group_of_near_copies_in_blocks(spark, blocks):
     assert result(docs, list_rows=blocks, cluster_rows=blocks) == brute(rows)
 
 
+def test_members_outside_the_largest_component_meet_all(spark):
+    # Few pivots and small blocks: most links are found in the second pass only.
+    rnd = random.Random(8)
+    rows = []
+    for i in range(120):
+        base = [f"g{i % 30}x{k}" for k in range(60)]
+        base[rnd.randrange(60)] = f"e{i}"
+        rows.append((i, " ".join(base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = linked(
+        docs.select(F.lit(1).cast("long").alias("cluster"), F.col("doc_id").alias("node"), F.lit(120).cast("long").alias("members")),
+        lambda placed: docs.withColumnRenamed("doc_id", "node").join(placed, "node").mapInArrow(_set_maker(5), SET_SCHEMA),
+        _confirmer(80),
+        block_rows=8,
+        pivots=1,
+    )
+    found = dict(tuple(r) for r in components(got).collect())
+    assert {i: found.get(i, i) for i, _ in rows} == {r[0]: r[2] for r in brute(rows, 80)}
+
+
+def test_rows_compared_grow_with_the_copies_not_with_their_square(spark):
+    def rows_placed(n):
+        tokens = [[k if k != i % 32 else 1000 + i for k in range(32)] for i in range(n)]
+        reps = spark.createDataFrame(list(enumerate(tokens)), "node long, tokens array<bigint>")
+        members = reps.select(F.lit(7).cast("long").alias("cluster"), "node", F.lit(n).cast("long").alias("members"))
+        counts = []
+
+        def attach(placed):
+            counts.append(placed.select(F.explode("spots")).count())
+            return placed.join(reps, "node")
+
+        edges = linked(members, attach, _collider(32, 16), block_rows=32, pivots=4)
+        assert {r.component for r in components(edges).collect()} == {0}
+        return sum(counts)
+
+    small, large = rows_placed(400), rows_placed(1600)
+    assert large < 5 * small and large < 2 * 1600
+
+
 def test_components_of_chains_stars_and_loops(spark):
     chain = [(i, i + 1) for i in range(40)]
     star = [(100, 100 + i) for i in range(1, 30)] + [(129, 130), (130, 129), (130, 130)]
