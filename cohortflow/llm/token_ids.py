@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import struct
 import zlib
-from bisect import bisect_right
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ FOOTER = np.dtype(
 )
 MAGIC = b"tokids01"
 KEYS_PER_BUCKET = 2
-MANIFEST_SCHEMA = "shard int, uri string, documents long, ids long, low long, high long"
-READ_SCHEMA = "doc_id long, copy int, shard int, first long, n_tokens long, ids_crc32 long"
+FILE_SCHEMA = "part int, piece int, uri string, documents long, ids long, low long, high long"
+READ_SCHEMA = "doc_id long, start long, n_tokens long, ids_crc32 long, copy int, shard int"
 
 
 # -- the index ------------------------------------------------------------------------------------
@@ -101,49 +102,70 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 # -- writing --------------------------------------------------------------------------------------
 
 
-def _write_shards(held, folder: str, end_id: int, width: int):
+class _OpenShard:
+    """A shard file being written; what it holds in memory is bounded by `full`."""
+
+    def __init__(self, folder: str, name: str, width: int, end_id: int):
+        self.out, self.width, self.documents, self.total, self.n = blobs.Writer(folder, name), width, [], 0, 0
+        self.end = np.array([end_id], dtype="<u2" if width == 2 else "<u4").tobytes()
+        self.low = self.high = None
+
+    def full(self, most_bytes: int, most_documents: int) -> bool:
+        return self.total * self.width >= most_bytes or self.n >= most_documents
+
+    def add(self, ids: list[int | None], copies: list[int], payloads: list[bytes]) -> None:
+        table = np.zeros(len(ids), dtype=DOCUMENT)
+        for i, (doc_id, copy, payload) in enumerate(zip(ids, copies, payloads)):
+            table[i] = (doc_id or 0, copy, doc_id is None, self.total)
+            self.total += len(payload) // self.width + 1
+        known = [doc_id for doc_id in ids if doc_id is not None]
+        if known:
+            self.low = known[0] if self.low is None else self.low
+            self.high = known[-1]
+        self.documents.append(table)
+        self.n += len(table)
+        self.out.write(self.end.join([*payloads, b""]))
+
+    def finish(self, part: int, piece: int) -> pa.RecordBatch:
+        table = np.concatenate(self.documents)
+        keys = key_hashes(table)
+        seeds, slot_of = build_index(keys)
+        slots = np.zeros(len(table), dtype=SLOT)
+        slots["fingerprint"][slot_of] = fingerprints(keys)
+        slots["document"][slot_of] = np.arange(len(table))
+        for block in (table, seeds.astype("<i8"), slots):
+            self.out.write(block.tobytes())
+        footer = (MAGIC, self.width, 0, self.total, len(table), len(seeds))
+        self.out.write(np.array([footer], dtype=FOOTER).tobytes())
+        self.out.close()
+        values = [part, piece, self.out.uri, len(table), self.total, self.low, self.high]
+        kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+        names = ["part", "piece", "uri", "documents", "ids", "low", "high"]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names=names)
+
+
+def _write_shards(held, folder: str, end_id: int, width: int, most_bytes: int, most_documents: int):
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encoder, out, shard = held(), None, TaskContext.get().partitionId()
-        kind = np.dtype("<u2" if width == 2 else "<u4")
-        end = np.array([end_id], dtype=kind).tobytes()
-        documents, total, last, copies = [], 0, write, 0  # no id equals the function
-        low = high = None
-
+        encoder, part, piece, shard = held(), TaskContext.get().partitionId(), 0, None
+        last, copy = write, 0  # no id equals the function
         for batch in batches:
-            out = out or blobs.Writer(folder, f"shard-{shard:06d}")
             for first, stop in words.slices(batch.column("text")):
                 ids = batch.column("doc_id").slice(first, stop - first).to_pylist()
                 texts = pc.fill_null(batch.column("text").slice(first, stop - first), "").to_pylist()
-                payloads = encoder.values(texts)
-                table = np.zeros(len(ids), dtype=DOCUMENT)
-                for i, (doc_id, payload) in enumerate(zip(ids, payloads)):
-                    copies = copies + 1 if doc_id == last else 0
+                copies = []
+                for doc_id in ids:
+                    copy = copy + 1 if doc_id == last else 0
                     last = doc_id
-                    table[i] = (doc_id or 0, copies, doc_id is None, total)
-                    total += len(payload) // width + 1
-                    low = doc_id if low is None else low
-                    high = doc_id if doc_id is not None else high
-                documents.append(table)
-                out.write(end.join([*payloads, b""]))
-        if out is None:
-            return
-        table = np.concatenate(documents)
-        keys = key_hashes(table)
-        seeds, slot_of = build_index(keys)
-        slots = np.zeros(len(table), dtype=SLOT)
-        slots["fingerprint"][slot_of] = fingerprints(keys)
-        slots["document"][slot_of] = np.arange(len(table))
-        for part in (table, seeds.astype("<i8"), slots):
-            out.write(part.tobytes())
-        out.write(np.array([(MAGIC, width, 0, total, len(table), len(seeds))], dtype=FOOTER).tobytes())
-        out.close()
-        values = [shard, out.uri, len(table), total, low, high]
-        kinds = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v], k) for v, k in zip(values, kinds)], names=["shard", "uri", "documents", "ids", "low", "high"]
-        )
+                    copies.append(copy)
+                shard = shard or _OpenShard(folder, f"shard-{part:06d}-{piece:04d}", width, end_id)
+                shard.add(ids, copies, encoder.values(texts))
+                if shard.full(most_bytes, most_documents):
+                    yield shard.finish(part, piece)
+                    shard, piece = None, piece + 1
+        if shard is not None:
+            yield shard.finish(part, piece)
 
     return write
 
@@ -163,13 +185,19 @@ def write_token_ids(
     shards: int | None = None,
     cache_entries: int = 400_000,
     folder: str | None = None,
+    shard_bytes: int = 1 << 28,
+    shard_documents: int = 1 << 20,
 ) -> DataFrame:
     """Encode every text, append `end_id`, write shards in ascending doc_id order; returns the manifest.
 
-    Manifest: shard, uri, documents, ids, and the lowest and highest doc_id. A null text counts as empty;
-    null ids come first; rows with equal ids are told apart by a copy number, in the order of a hash of the text, then the text. No rows:
-    no shard. Other columns of `docs` are ignored. Files go below `folder`, by default a new one in the
-    session's shared folder.
+    Manifest: shard, uri, documents, ids, start (ids before the shard), and the lowest and highest doc_id. A null
+    text counts as empty; null ids come first; rows with equal ids are told apart by a copy number, in the order of
+    a hash of the text, then the text, and may lie in several shards. No rows: no shard. Other columns of `docs` are
+    ignored. Files go below `folder`, by default a new one in the session's shared folder.
+
+    Rows are dealt by ranges of doc_id into `shards` tasks, by default as many as the session's shuffles have. A
+    task begins a new shard once one holds `shard_bytes` of ids or `shard_documents` documents, so that neither the
+    index of a shard nor what a task holds grows with the input.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -181,8 +209,13 @@ def write_token_ids(
     dealt = docs.repartitionByRange(shards, "doc_id") if shards else docs.repartitionByRange("doc_id")
     # Ties go by text, so that reruns agree; the hash settles nearly all of them.
     dealt = dealt.sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    write = _write_shards(held, folder or new_folder(spark, "token-ids"), end_id, width)
-    return written(dealt.mapInArrow(write, MANIFEST_SCHEMA), "manifest")
+    folder = folder or new_folder(spark, "token-ids")
+    write = _write_shards(held, folder, end_id, width, shard_bytes, shard_documents)
+    files = written(dealt.mapInArrow(write, FILE_SCHEMA), "manifest")
+    order = Window.orderBy("part", "piece")  # one row per shard
+    before = F.sum("ids").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    shard, start = (F.row_number().over(order) - 1).alias("shard"), F.coalesce(before, F.lit(0)).alias("start")
+    return files.select(shard, "uri", "documents", "ids", start, "low", "high")
 
 
 # -- reading --------------------------------------------------------------------------------------
@@ -242,19 +275,20 @@ class Shard:
 
 def find(manifest: list, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
     """The ids of one document, given the rows of a manifest; None where no shard has it."""
-    rows = sorted((r for r in manifest), key=lambda r: r.shard)
+    rows = sorted(manifest, key=lambda r: r.shard)
+    known = [r for r in rows if r.low is not None]
     if doc_id is None:
-        able = rows[:1]
+        able = rows[: len(rows) - len(known) + 1]  # null ids come first; the first shard with others may begin with them
     else:
-        known = [r for r in rows if r.high is not None]
-        place = bisect_right([r.low if r.low is not None else r.high for r in known], doc_id) - 1
-        able = known[max(place, 0) : place + 1] or known[:1]
+        able = takewhile(lambda r: r.low <= doc_id, known[bisect_left([r.high for r in known], doc_id) :])
     for row in able:
         shard = Shard(row.uri)
         try:
-            return shard.find(doc_id, copy)
+            ids = shard.find(doc_id, copy)
         finally:
             shard.close()
+        if ids is not None:
+            return ids
     return None
 
 
@@ -267,7 +301,7 @@ def _crc(parts: Iterable[np.ndarray]) -> int:
 
 def _read_shards(batches: Iterable[pa.RecordBatch], window: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for number, uri in zip(batch.column("shard").to_pylist(), batch.column("uri").to_pylist()):
+        for number, uri, base in zip(*(batch.column(c).to_pylist() for c in ("shard", "uri", "start"))):
             shard = Shard(uri)
             table = shard.documents()
             seeds, slots = shard.index()
@@ -291,11 +325,11 @@ def _read_shards(batches: Iterable[pa.RecordBatch], window: int = 1 << 20) -> It
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(table["doc_id"].astype(np.int64), mask=table["is_null"].astype(bool)),
+                    pa.array(base + low), pa.array(high - low), pa.array(crcs),
                     pa.array(table["copy"].astype(np.int32)),
                     pa.array(np.full(len(table), number, dtype=np.int32)),
-                    pa.array(low), pa.array(high - low), pa.array(crcs),
                 ],
-                names=["doc_id", "copy", "shard", "first", "n_tokens", "ids_crc32"],
+                names=["doc_id", "start", "n_tokens", "ids_crc32", "copy", "shard"],
             )
 
 
@@ -307,10 +341,5 @@ def read_token_ids(manifest: DataFrame) -> DataFrame:
     """
     spark: SparkSession = manifest.sparkSession
     files = max(1, manifest.count())
-    order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # one row per shard
-    base = manifest.select("shard", F.coalesce(F.sum("ids").over(order), F.lit(0)).alias("base"))
     parts = min(files, max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1))
-    read = manifest.select("shard", "uri").repartition(parts).mapInArrow(_read_shards, READ_SCHEMA)
-    start = (F.col("base") + F.col("first")).alias("start")
-    # One row a shard: never the documents' side.
-    return read.join(F.broadcast(base), "shard").select("doc_id", start, "n_tokens", "ids_crc32", "copy", "shard")
+    return manifest.select("shard", "uri", "start").repartition(parts).mapInArrow(_read_shards, READ_SCHEMA)

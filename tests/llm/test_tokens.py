@@ -115,3 +115,28 @@ def test_equal_ids_have_one_order_on_every_run(spark):
     path = tokenizer_path("word_bpe_49k.json")
     runs = [sorted(map(tuple, read_token_ids(write_token_ids(docs.repartition(n), path)).drop("shard").collect()), key=str) for n in (2, 7)]
     assert runs[0] == runs[1]
+
+
+def test_small_shards_hold_the_same_and_are_found_across_files(spark, library):
+    rows = [(None, f"none {k}") for k in range(30)] + [(5, f"text number {k} of five") for k in range(40)]
+    rows += [(k, f"document {k}") for k in range(6, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        manifest = write_token_ids(docs, WORDS, shards=2, shard_documents=10, shard_bytes=200)
+        got = read_token_ids(manifest).collect()
+        whole = read_token_ids(write_token_ids(docs, WORDS, shards=2)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    files = manifest.collect()
+    assert len(files) > 8 and all(r.documents <= 16 for r in files)
+    assert sorted((tuple(r)[:5] for r in got), key=str) == sorted((tuple(r)[:5] for r in whole), key=str)
+    for doc_id, copies in ((None, 30), (5, 40), (33, 1)):
+        wanted = sorted([*ids_of(library[WORDS], t), 1] for i, t in rows if i == doc_id)
+        assert sorted(find(files, doc_id, copy).tolist() for copy in range(copies)) == wanted
+        assert find(files, doc_id, copies) is None
+
+
+def test_reading_needs_no_join(spark, sample):
+    plan = read_token_ids(write_token_ids(sample, WORDS))._jdf.queryExecution().toString()
+    assert "Join" not in plan
