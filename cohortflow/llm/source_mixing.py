@@ -93,13 +93,13 @@ def block_table(sizes: DataFrame, targets: DataFrame, block_words: int, rows_per
     """
     buckets = max(1, -(-sizes.count() // rows_per_bucket))
     df = sizes.join(targets, sizes.source.eqNullSafe(targets.source)).drop("source")
-    df = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    df = df.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "mark"), F.lit(buckets)))
     sums = df.groupBy("number", "bucket").agg(F.sum("size").alias("bucket_size"))
     earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(
         "number", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("bucket_start")
     )
-    inside = Window.partitionBy("number", "bucket").orderBy("doc_id", "size")
+    inside = Window.partitionBy("number", "bucket").orderBy("doc_id", "size", "mark")
     df = df.withColumn("row", F.row_number().over(inside))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     df = df.withColumn("inside", F.sum("size").over(upto) - F.col("size"))
@@ -136,6 +136,8 @@ def mix_sources(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("source").cast("string").alias("source"),
         word_count(F.col("text").cast("string")).alias("size"),
+        # Tells rows without id, or with equal ids, apart: they spread over the buckets.
+        F.xxhash64(F.col("text").cast("string")).alias("mark"),
     )
     sizes = written(sizes, "sizes")
     targets = written(with_slots(source_targets(sizes, weights, share, most), block_words, most), "targets")
