@@ -77,16 +77,17 @@ def run_all(
     n: int = BATCH_SIZE,
     partitions: int = 8,
     dedupe: bool = False,
+    indexed: bool = False,
 ) -> RunReport:
     """Each step needs the one before; a failed check stops the run before triage.
 
-    `multiline` is read_csv's, `dedupe` load_folder's; `n` patients are scored,
+    `multiline` is read_csv's, `dedupe` and `indexed` load_folder's; `n` patients are scored,
     `partitions` at a time, and answers survive a run that is killed. The log's own
     checks run last.
     """
     as_of = as_of or dt.date.today()
     create_all(spark, raw, marts_db)
-    loaded = load_folder(spark, folder, raw, na_tokens, multiline, dedupe)
+    loaded = load_folder(spark, folder, raw, na_tokens, multiline, dedupe, indexed)
     tables = build_models(spark, as_of, raw, marts_db)
     gate(check_tables(tables))
     log_table = f"{marts_db}.{SUMMARY_TABLE}"

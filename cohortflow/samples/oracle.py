@@ -339,6 +339,24 @@ def _failing(table: str, column: str, rule: str) -> str:
     )
 
 
+# Last digits of the ids in the first three loads.
+LOADS = {1: "012", 2: "345", 3: "6789"}
+
+
+def _loads(name: str) -> str:
+    """What the four loads of a keyed table read, insert, skip and leave stored."""
+    ends = {n: "right(id, 1) in (" + ", ".join(f"'{d}'" for d in digits) + ")" for n, digits in LOADS.items()}
+    counts = [f"count(*) filter (where {rule}) as n{n}" for n, rule in ends.items()]
+    counts += [f"count(*) filter (where id like '%{end}') as n{end}" for end in (77, 88)]
+    lines = [(n, f"n{n}", f"n{n}", "0", " + ".join(f"n{i}" for i in range(1, n + 1))) for n in LOADS]
+    lines.append((4, "n77 + n88", "n88", "n77", "n1 + n2 + n3 + n88"))
+    return "\nunion all ".join(
+        f"select '{name}' as name, {n} as load_number, {read} as read, {new} as inserted, "
+        f"cast({old} as bigint) as skipped, {stored} as stored from (select {', '.join(counts)} from raw_{name})"
+        for n, read, new, old, stored in lines
+    )
+
+
 def _framed(text: str) -> str:
     return f"coalesce(length({text}) || ':' || {text}, '-')"
 
@@ -442,6 +460,7 @@ where place <= round(0.6 * n)""",
         f"count(*) as skipped, count(*) + count(*) filter (where patient like '%7') as stored from raw_{name}"
         for name in ("conditions", "observations", "medications")
     ),
+    "load_indexed": "\nunion all ".join(_loads(name) for name in ("patients", "encounters")),
     "triage_resumed": f"""with keyed as (
   select *, sha256({_framed("patient_id")} || {_framed(f"cast({TODAY} as varchar)")} || {_framed("prompt")}) as answer_key,
     count(*) over () as total from scored),

@@ -16,6 +16,7 @@ from cohortflow.operators.difference import already_stored, new_occurrences, new
 from cohortflow.schemas import PRIMARY_KEYS, RAW_SCHEMAS
 from cohortflow.session import hadoop_path, staged
 from cohortflow.sources.csv_files import read_csv, typed_by_name
+from cohortflow.sources.key_index import index_new_files, may_hold
 from cohortflow.sources.tables import RAW_DATABASE, append
 
 log = logging.getLogger(__name__)
@@ -44,10 +45,14 @@ class LoadReport:
         return sum(t.inserted for t in self.tables)
 
 
-def load_rows(rows: DataFrame, table: str, key: str | None, dedupe: bool = False) -> TableLoad:
+def load_rows(
+    rows: DataFrame, table: str, key: str | None, dedupe: bool = False, indexed: bool = False
+) -> TableLoad:
     """Append typed rows to a table; with a key, only those whose key is new.
 
     Without a key all rows are appended, or with `dedupe` only the copies of a row that go beyond those stored.
+    With `indexed`, stored keys are looked up only in files that may hold one of the batch's (see key_index),
+    and the files written are entered in that index. It pays where batches are small beside the table.
     """
     if key is None and not dedupe:
         return _append_all(rows, table)
@@ -56,7 +61,7 @@ def load_rows(rows: DataFrame, table: str, key: str | None, dedupe: bool = False
         with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
             return _append_unseen(batch, table, seen.get.get("n", 0))
     with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
-        return _append_new(batch, table, key, seen.get.get("n", 0))
+        return _append_new(batch, table, key, seen.get.get("n", 0), indexed)
 
 
 def _append_all(rows: DataFrame, table: str) -> TableLoad:
@@ -82,10 +87,10 @@ def _append_unseen(batch: DataFrame, table: str, read: int) -> TableLoad:
     return TableLoad(table, read, read - added, added)
 
 
-def _append_new(batch: DataFrame, table: str, key: str, read: int) -> TableLoad:
+def _append_new(batch: DataFrame, table: str, key: str, read: int, indexed: bool) -> TableLoad:
     if not read:
         return TableLoad(table, 0, 0, 0)
-    existing = batch.sparkSession.table(table)
+    existing = may_hold(batch, table, key) if indexed else batch.sparkSession.table(table)
     # The batch's stored keys, found once. The batch is the small side of this join, which
     # Spark broadcasts by its size, so that stored keys are scanned but neither moved nor sorted.
     with staged(already_stored(existing.select(key), batch, [key]), "hits") as hits:
@@ -104,6 +109,9 @@ def _append_new(batch: DataFrame, table: str, key: str, read: int) -> TableLoad:
         if found["new"]:
             # When every key is new there is nothing to filter out.
             append(batch if found["new"] == read else new_rows_only(batch, hits, [key]), table)
+    if indexed:
+        # Also enters files of loads that stopped before this line.
+        index_new_files(batch.sparkSession, table, key)
     return TableLoad(table, read, read - found["new"], found["new"])
 
 
@@ -115,13 +123,14 @@ def load_file(
     na_tokens: Sequence[str] = ("",),
     multiline: bool | None = None,
     dedupe: bool = False,
+    indexed: bool = False,
 ) -> TableLoad:
-    """Load one CSV source into raw table `name`. `dedupe` is load_rows's."""
+    """Load one CSV source into raw table `name`. `dedupe` and `indexed` are load_rows's."""
     text = read_csv(spark, path, multiline)
     key = PRIMARY_KEYS.get(name)
     if key is not None and key not in text.columns:
         raise ValueError(f"{path}: key column {key} is missing")
-    result = load_rows(typed_by_name(text, RAW_SCHEMAS[name], na_tokens), f"{database}.{name}", key, dedupe)
+    result = load_rows(typed_by_name(text, RAW_SCHEMAS[name], na_tokens), f"{database}.{name}", key, dedupe, indexed)
     log.info("%s: read %d, skipped %d, inserted %d", result.table, result.read, result.skipped, result.inserted)
     return result
 
@@ -133,11 +142,13 @@ def load_folder(
     na_tokens: Sequence[str] = ("",),
     multiline: bool | None = None,
     dedupe: bool = False,
+    indexed: bool = False,
 ) -> LoadReport:
     """Load <table>.csv for every raw table; a file that is not there is reported, not fatal.
 
     Tables are committed one by one, so an error leaves earlier tables loaded. With `dedupe`, loading a file
-    again adds nothing to tables without key either, while rows repeated inside a file stay.
+    again adds nothing to tables without key either, while rows repeated inside a file stay. `indexed` is
+    load_rows's, for the tables with a key.
     """
     report = LoadReport()
     for name in RAW_SCHEMAS:
@@ -147,6 +158,6 @@ def load_folder(
             log.warning("file not found, skipping: %s", path)
             report.missing.append(f"{name}.csv")
             continue
-        report.tables.append(load_file(spark, path, name, database, na_tokens, multiline, dedupe))
+        report.tables.append(load_file(spark, path, name, database, na_tokens, multiline, dedupe, indexed))
     log.info("load complete, %d rows inserted", report.total)
     return report
