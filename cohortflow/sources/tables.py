@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,31 +51,50 @@ def append(df: DataFrame, table: str) -> None:
     df.select(*columns).write.insertInto(table)
 
 
-def rebuild(df: DataFrame, table: str) -> DataFrame:
-    """Replace a table and read it back.
+def _versions(spark: SparkSession, name: str) -> list[str]:
+    """A model's stored versions, oldest first."""
+    database, _, bare = name.rpartition(".")
+    pattern = re.compile(re.escape(bare) + r"__v(\d{8,})")
+    tables = spark.sql(f"show tables in {database}" if database else "show tables").select("tableName").collect()
+    found = [row[0] for row in tables if pattern.fullmatch(row[0])]
+    prefix = f"{database}." if database else ""
+    return [prefix + table for table in sorted(found, key=lambda t: int(pattern.fullmatch(t)[1]))]
 
-    The new table is built in full beside the old one, which is renamed away and
-    dropped only then: a write that fails leaves the old rows in place, and a stop
-    between the renames leaves them under `<table>__old`, from where the next
-    rebuild takes them back first.
+
+def _shown(spark: SparkSession, name: str) -> str | None:
+    """The version a model's view points at, None where there is no such view."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
+        return None
+    text = spark.sql(f"describe formatted {name}").where("col_name = 'View Text'").first()["data_type"]
+    return text.rpartition(" ")[2]
+
+
+def rebuild(df: DataFrame, name: str) -> DataFrame:
+    """Replace a model's rows and read them back.
+
+    `name` is a view over one of the tables `<name>__v00000001`, `<name>__v00000002`, ...: the next version is
+    written in full, then the view is pointed at it in one step of the catalogue, which moves no file. Whoever
+    asks for the view finds the old rows or the new ones, also where columns change. A write that fails leaves the
+    old rows; what a killed one wrote goes with the next rebuild. The version shown before stays until then, for
+    readers that began on it. A table that bears the name itself is dropped once, right before the view is first made.
     """
     spark = df.sparkSession
-    fresh, old = f"{table}__new", f"{table}__old"
-    if spark.catalog.tableExists(old) and not spark.catalog.tableExists(table):
-        spark.sql(f"alter table {old} rename to {table}")
-    for left in (fresh, old):
-        spark.sql(f"drop table if exists {left}")
+    versions, shown = _versions(spark, name), _shown(spark, name)
+    last = int(versions[-1].rpartition("__v")[2]) if versions else 0
+    fresh = f"{name}__v{last + 1:08d}"
     create_table(spark, fresh, df.schema)
     try:
         df.write.insertInto(fresh, overwrite=True)
     except Exception:
         spark.sql(f"drop table if exists {fresh}")
         raise
-    if spark.catalog.tableExists(table):
-        spark.sql(f"alter table {table} rename to {old}")
-    spark.sql(f"alter table {fresh} rename to {table}")
-    spark.sql(f"drop table if exists {old}")
-    return spark.table(table)
+    if shown is None and spark.catalog.tableExists(name):
+        spark.sql(f"drop table {name}")
+    spark.sql(f"create or replace view {name} as select * from {fresh}")
+    for version in versions:
+        if version != shown:
+            spark.sql(f"drop table if exists {version}")
+    return spark.table(fresh)
 
 
 def publish_views(views: Mapping[str, DataFrame]) -> None:

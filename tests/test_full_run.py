@@ -71,3 +71,34 @@ def test_a_failed_check_stops_before_triage(spark, databases, tmp_path):
     with pytest.raises(QualityError, match="stg_patients.age >= 0"):
         run_all(spark, str(tmp_path), never, DAY)
     assert build_models(spark, DAY)["dim_patients"].count() == 1
+
+
+def names(spark):
+    return sorted(r["tableName"] for r in spark.sql("show tables in analytics").collect() if "model" in r["tableName"])
+
+
+def test_a_model_is_swapped_in_one_step(spark, databases):
+    """Readers that began on the old version end on it; the one before that is gone."""
+    for n in (3, 4):
+        rebuild(spark.range(n), "analytics.swapped_model")
+    began = spark.table("analytics.swapped_model")
+    rebuild(spark.range(5), "analytics.swapped_model")
+    assert (began.count(), spark.table("analytics.swapped_model").count()) == (4, 5)
+    versions = [f"swapped_model__v{n:08d}" for n in (2, 3)]
+    assert names(spark) == ["swapped_model", *versions]
+
+
+def test_what_a_killed_rebuild_left_goes_with_the_next(spark, databases):
+    rebuild(spark.range(3), "analytics.cut_model")
+    spark.sql("create table analytics.cut_model__v00000002 (id bigint) using parquet")
+    assert spark.table("analytics.cut_model").count() == 3
+    rebuild(spark.range(4), "analytics.cut_model")
+    assert spark.table("analytics.cut_model").count() == 4
+    assert names(spark) == ["cut_model", "cut_model__v00000001", "cut_model__v00000003"]
+
+
+def test_a_table_of_earlier_days_becomes_a_view(spark, databases):
+    spark.range(2).write.saveAsTable("analytics.early_model")
+    rebuild(spark.range(6), "analytics.early_model")
+    assert spark.table("analytics.early_model").count() == 6
+    assert spark.catalog.getTable("analytics.early_model").tableType == "VIEW"
