@@ -12,6 +12,7 @@ from cohortflow.operators.scoring import ScorerFactory
 from cohortflow.plans import marts, staging
 from cohortflow.plans.quality import LOG_CHECKS, check_tables, gate
 from cohortflow.plans.triage import BATCH_SIZE, TriageReport, run_triage
+from cohortflow.session import staged
 from cohortflow.sources.loader import LoadReport, load_folder
 from cohortflow.sources.tables import (
     ANSWER_TABLE,
@@ -40,7 +41,7 @@ def build_models(
     """Publish the staging views and rebuild the three mart tables.
 
     The high-risk list reads the dimension and the fact table as written, so
-    neither is computed twice.
+    neither is computed twice. Only flagged patients' medications are aggregated.
     """
     source = raw_tables(spark, raw)
     patients = staging.stg_patients(source["patients"], as_of)
@@ -51,9 +52,9 @@ def build_models(
         marts.fct_clinical_events(encounters, source["conditions"], source["observations"]),
         f"{marts_db}.fct_clinical_events",
     )
-    high_risk = rebuild(
-        marts.high_risk_flag(dim, events, source["medications"], as_of), f"{marts_db}.high_risk_flag"
-    )
+    with staged(marts.flagged_patients(dim, events), "flagged") as flagged:
+        listed = marts.high_risk_from(flagged, source["medications"], as_of)
+        high_risk = rebuild(listed, f"{marts_db}.high_risk_flag")
     return {
         "raw_patients": source["patients"],
         "raw_encounters": source["encounters"],

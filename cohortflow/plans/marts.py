@@ -233,6 +233,15 @@ class RiskRules:
         return F.coalesce(fires, F.lit(False))
 
 
+# The list's columns before the flag.
+LISTED = (
+    "patient_id", "full_name", "age", "gender", "is_deceased", "days_since_last_encounter",
+    "active_condition_count", "active_conditions",
+    "latest_systolic_bp", "latest_diastolic_bp", "latest_bmi", "latest_glucose",
+    "recent_encounter_type", "current_medications",
+)
+
+
 def risk_flags(
     patients: DataFrame,
     events: DataFrame,
@@ -247,13 +256,7 @@ def risk_flags(
     return (
         living.join(patient_events(events), "patient_id", "left")
         .join(lists, "patient_id", "left")
-        .select(
-            "patient_id", "full_name", "age", "gender", "is_deceased", "days_since_last_encounter",
-            "active_condition_count", "active_conditions",
-            "latest_systolic_bp", "latest_diastolic_bp", "latest_bmi", "latest_glucose",
-            "recent_encounter_type", "current_medications",
-            rules.column().alias("is_high_risk"),
-        )
+        .select(*LISTED, rules.column().alias("is_high_risk"))
     )
 
 
@@ -266,3 +269,30 @@ def high_risk_flag(
 ) -> DataFrame:
     """The living patients for whom a rule fires."""
     return risk_flags(patients, events, medications, as_of, rules).where("is_high_risk")
+
+
+# Ids of at most this many bytes, 40 more a row counted in, are sent to all executors.
+IDS_BYTES = 64 << 20
+
+
+def flagged_patients(patients: DataFrame, events: DataFrame, rules: RiskRules = RiskRules()) -> DataFrame:
+    """The living patients for whom a rule fires, without their medications, which no rule reads."""
+    living = patients.where(~F.col("is_deceased"))
+    return living.join(patient_events(events), "patient_id", "left").where(rules.column())
+
+
+def medications_of(medications: DataFrame, flagged: DataFrame, ids_bytes: int = IDS_BYTES) -> DataFrame:
+    """The medication rows of these patients, picked at the scan, before anything is shuffled.
+
+    One small job measures the ids. Where they are too many to send around, all rows are
+    returned: the join with the list drops the others later.
+    """
+    ids = flagged.select(F.col("patient_id").alias("patient"))
+    size = ids.agg(F.coalesce(F.sum(F.octet_length("patient") + 40), F.lit(0)).alias("bytes")).first()["bytes"]
+    return medications.join(F.broadcast(ids), "patient", "left_semi") if size <= ids_bytes else medications
+
+
+def high_risk_from(flagged: DataFrame, medications: DataFrame, as_of=None, ids_bytes: int = IDS_BYTES) -> DataFrame:
+    """high_risk_flag's rows from flagged_patients's, best written by then, since they are read three times."""
+    lists = current_medications(medications_of(medications, flagged, ids_bytes), as_of, every_patient=False)
+    return flagged.join(lists, "patient_id", "left").select(*LISTED, F.lit(True).alias("is_high_risk"))

@@ -386,6 +386,7 @@ where k = 1""",
     "current_medications": "select * from current_medications",
     "risk_rules": _as_doubles("risk_flags", *_LATEST),
     "high_risk_flag": _as_doubles("high_risk_flag", *_LATEST),
+    "high_risk_from": _as_doubles("high_risk_flag", *_LATEST),
     "new_patients_only": f"""select id, birthdate, first, last from raw_patients
 where id not in (select patient_id from stg_encounters where encounter_start < DATE '{LOADED_BEFORE}')""",
     "csv_roundtrip": "\nunion all ".join(_lines(*x) for x in CSV_COLUMNS.items()),

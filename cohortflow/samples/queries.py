@@ -273,6 +273,12 @@ def _triage_resumed(s: Star) -> DataFrame:
         return kept(answered(asked, s.spark.table(table)).select("patient_id", "answer_key", "raw_response", "model_used"), "resumed")
 
 
+def _high_risk_from(s: Star) -> DataFrame:
+    """The high-risk list as a run builds it: patients are flagged first, and only their medications gathered."""
+    flagged = kept(marts.flagged_patients(s.dim(), s.events()), "flagged")
+    return marts.high_risk_from(flagged, s.raw("medications"), AS_OF)
+
+
 # Tables whose failing rows are listed, with the column that names a row.
 ROW_KEYS = {
     "raw_patients": "id",
@@ -355,6 +361,7 @@ PLANS: dict[str, Callable[[Star], DataFrame]] = {
     "exact_sample": lambda s: exact_sample(s.raw("encounters").select("id", "patient", "start"), "patient", 0.6, SAMPLE_SEED),
     "load_repeat_proof": _load_repeat_proof,
     "load_indexed": _load_indexed,
+    "high_risk_from": _high_risk_from,
     "triage_resumed": _triage_resumed,
     "quality_failures": _quality_failures,
 }

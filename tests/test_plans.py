@@ -84,6 +84,25 @@ def test_high_risk_reads_each_table_once_with_one_shuffle_each(stored):
     assert not any("heart_rate" in s or "first_name" in s for s in schemas)
 
 
+def test_only_flagged_patients_medications_are_shuffled(spark, stored, tmp_path):
+    marts.flagged_patients(stored["dim"], stored["fct"]).write.parquet(f"{tmp_path}/flagged")
+    flagged = spark.read.parquet(f"{tmp_path}/flagged")
+    medications, as_of = stored["medications"], "2001-09-01"
+    want = marts.high_risk_flag(stored["dim"], stored["fct"], medications, as_of)
+    picked = marts.medications_of(medications, flagged)
+    assert count(plan(picked)[0], "Exchange") == 0
+    assert 0 < picked.count() < medications.count()
+    assert picked.select("patient").distinct().exceptAll(flagged.select("patient_id")).count() == 0
+    for ids_bytes in (marts.IDS_BYTES, 0):  # with the filter, and without it where ids are too many
+        listed = marts.high_risk_from(flagged, medications, as_of, ids_bytes)
+        tree, text = plan(listed)
+        assert ("LeftSemi" in text) == (ids_bytes > 0)
+        assert count(tree, "Exchange") == 3  # the list 1, medications 2
+        assert sorted(map(str, listed.collect())) == sorted(map(str, want.collect()))
+    none = marts.high_risk_from(flagged.where("false"), medications, as_of)
+    assert none.count() == 0 and none.columns == want.columns
+
+
 def test_combining_happens_before_the_shuffle(stored):
     for df, operator in (
         (first_per_key(stored["conditions"], ["encounter"], ["code"]), "SortAggregate"),
