@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,23 +40,50 @@ def repeated(df: DataFrame, times: str) -> DataFrame:
 FINGERPRINT = ["f1", "f2"]
 
 
+# Bits of the map that tells which rows of a batch may be new: least and most (4 KB and 32 MB), and bits a row.
+MAP_BITS, BITS_PER_ROW = (15, 28), 16
+
+
 def stored_counts(incoming: DataFrame, existing: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(f1, f2, s): how often rows of `incoming` are stored already. Stored rows are scanned and hashed where
-    they are; only fingerprints move, and of those only the batch's."""
-    batch = incoming.select(*fingerprint(columns)).distinct()
-    stored = existing.select(*fingerprint(columns)).join(batch, FINGERPRINT, "left_semi")
-    return stored.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("s"))
+    """(f1, f2, m, s): of every row of `incoming` that comes more often (m) than it is stored (s), both numbers.
+    Rows are hashed where they are; one shuffle moves the fingerprints of both sides, counted before."""
+    both = incoming.select(*fingerprint(columns), F.lit(True).alias("comes")).unionByName(
+        existing.select(*fingerprint(columns), F.lit(False).alias("comes"))
+    )
+    counted = both.groupBy(*FINGERPRINT).agg(F.count_if("comes").alias("m"), F.count_if(~F.col("comes")).alias("s"))
+    return counted.where("m > s")
+
+
+def _among(found: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """The rows of `found` whose fingerprint may be among the n of `wanted`, and few others: a bit for each of them,
+    in a broadcast map of bounded size. So a join with `wanted` moves little more than the rows it keeps."""
+    bits = min(max((n * BITS_PER_ROW).bit_length(), MAP_BITS[0]), MAP_BITS[1])
+    place = F.shiftrightunsigned("f1", 64 - bits) + 1
+    bucket, position = F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_position")
+    maps = wanted.select(bucket, position).groupBy("_bucket").agg(F.bitmap_construct_agg("_position").alias("_map"))
+    tried = found.select("*", bucket, position).join(F.broadcast(maps), "_bucket")
+    byte = F.expr("cast(conv(hex(substring(_map, cast(_position div 8 as int) + 1, 1)), 16, 10) as int)")
+    is_set = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.expr("cast(_position % 8 as int)"))) != 0
+    return tried.where(is_set).select(*found.columns)
 
 
 def new_occurrences(incoming: DataFrame, stored: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The bag difference: of a row found m times in `incoming` and s times in `stored`, m - s copies.
 
-    `stored` is stored_counts's result, best written by then. Rows are equal when they agree in `columns`, NULLs
-    included; equality goes by 128 bits of hash. A row that holds much of the batch is counted before any shuffle.
+    `stored` is stored_counts's result, best written by then; it is counted here. Rows are equal when they agree in
+    `columns`, NULLs included; equality goes by 128 bits of hash. Of rows that are stored as often as they come
+    hardly any are shuffled; one that holds much of the batch is counted before any shuffle.
     """
     found = incoming.withColumns(dict(zip(FINGERPRINT, fingerprint(columns))))
-    unknown = found.join(stored, FINGERPRINT, "left_anti").drop(*FINGERPRINT)
-    # Only rows stored fewer times than they come now need some of their copies, all of which are the same.
-    batch = found.groupBy(*FINGERPRINT).agg(F.count(F.lit(1)).alias("m"), F.first(F.struct(*incoming.columns)).alias("row"))
-    more = batch.join(stored, FINGERPRINT).where("m > s").select("row.*", (F.col("m") - F.col("s")).alias("_times"))
-    return unknown.unionByName(repeated(more, "_times"))
+    sizes = stored.agg(F.count_if(F.col("s") == 0).alias("unknown"), F.count_if(F.col("s") > 0).alias("more")).first()
+    parts = []
+    if sizes.unknown:
+        unknown = stored.where("s = 0").select(*FINGERPRINT)
+        parts.append(_among(found, unknown, sizes.unknown).join(unknown, FINGERPRINT, "left_semi").drop(*FINGERPRINT))
+    if sizes.more:
+        # Rows stored fewer times than they come now need some of their copies, all of which are the same.
+        more = stored.where("s > 0")
+        batch = _among(found, more, sizes.more).groupBy(*FINGERPRINT).agg(F.first(F.struct(*incoming.columns)).alias("row"))
+        more = batch.join(more, FINGERPRINT).select("row.*", (F.col("m") - F.col("s")).alias("_times"))
+        parts.append(repeated(more, "_times"))
+    return reduce(DataFrame.unionByName, parts) if parts else incoming.limit(0)

@@ -54,7 +54,7 @@ def load_rows(
     With `indexed`, stored keys are looked up only in files that may hold one of the batch's (see key_index),
     and the files written are entered in that index. It pays where batches are small beside the table.
     """
-    if key is None and not dedupe:
+    if key is None and (not dedupe or rows.sparkSession.table(table).isEmpty()):
         return _append_all(rows, table)
     seen = Observation()
     if key is None:
@@ -79,11 +79,12 @@ def _append_unseen(batch: DataFrame, table: str, read: int) -> TableLoad:
     columns = [name for name in batch.columns if name != "loaded_at"]
     existing = batch.sparkSession.table(table)
     # Counted and written before the append, which changes what is stored.
-    with (
-        staged(stored_counts(batch, existing, columns), "stored-rows") as stored,
-        staged(new_occurrences(batch, stored, columns), "new-rows") as rows,
-    ):
-        added = _append_all(rows, table).inserted
+    with staged(stored_counts(batch, existing, columns), "stored-rows") as stored:
+        # When every row is new there is nothing to filter out.
+        if stored.agg(F.sum(F.when(F.col("s") == 0, F.col("m")))).first()[0] == read:
+            return _append_all(batch, table)
+        with staged(new_occurrences(batch, stored, columns), "new-rows") as rows:
+            added = _append_all(rows, table).inserted
     return TableLoad(table, read, read - added, added)
 
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from cohortflow.operators import difference
 from cohortflow.operators.answers import answer_in_batches, answer_key, answered, missing_answers
 from cohortflow.operators.difference import new_occurrences, repeated, stored_counts
 from cohortflow.operators.scoring import each_prompt
@@ -37,6 +38,17 @@ def test_bag_difference(spark):
     assert new_occurrences(incoming.limit(0), known, ["a", "b", "n"]).count() == 0
 
 
+def test_stored_rows_are_hardly_shuffled(spark):
+    old = spark.range(20_000).selectExpr("id", "cast(id % 7 as string) as text")
+    new = old.where("id >= 50").unionByName(spark.range(30_000, 30_100).selectExpr("id", "'n' as text")).unionByName(old.where("id in (60, 61)"))
+    with staged(stored_counts(new, old, ["id", "text"]), "known") as known:
+        assert rows(known.select("m", "s")) == [(1, 0)] * 100 + [(2, 1)] * 2
+        found = new.withColumns(dict(zip(difference.FINGERPRINT, difference.fingerprint(["id", "text"]))))
+        kept = difference._among(found, known, known.count())
+        assert 104 <= kept.count() < 3_000 and "hashpartitioning(f1" not in kept._jdf.queryExecution().executedPlan().toString()
+        assert bag(new_occurrences(new, known, ["id", "text"])) == bag(new) - bag(old)
+
+
 def test_rows_are_copied_in_short_runs(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 10_000), ("d", 10_001), ("e", 35_000)], "v string, t long")
     assert Counter(r.v for r in repeated(df, "t").collect()) == {"b": 1, "c": 10_000, "d": 10_001, "e": 35_000}
