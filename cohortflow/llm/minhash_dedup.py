@@ -29,6 +29,7 @@ from cohortflow.llm import groups, words
 from cohortflow.llm.components import components
 from cohortflow.llm.linking import linked
 from cohortflow.llm.scratch import written
+from cohortflow.operators.difference import among
 
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, set_a long, set_b long, tokens array<bigint>"
 SET_SCHEMA = "node long, cluster long, spots array<struct<low:int,high:int>>, hashes binary"
@@ -217,7 +218,10 @@ def confirmed_edges(docs: DataFrame, clusters: DataFrame, size: int, percent: in
     """A spanning forest (u, v) of the linked pairs inside each cluster (node, component)."""
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     members = clusters.join(sizes, "component").select(F.col("component").alias("cluster"), "node", "members")
-    texts = docs.select(F.col("doc_id").alias("node"), "text")
+    # Most documents stand in no cluster: their texts stay where they are, in all but few cases.
+    hashed = F.xxhash64("node").alias("h")
+    texts = docs.select(F.col("doc_id").alias("node"), "text").where("node is not null").select("*", hashed)
+    texts = among(texts, clusters.select(hashed), clusters.count(), "h").drop("h")
 
     def with_sets(placed: DataFrame) -> DataFrame:
         # A merge join at every size: clusters grow with the input, so no plan may count on broadcasting them.

@@ -54,11 +54,11 @@ def stored_counts(incoming: DataFrame, existing: DataFrame, columns: Sequence[st
     return counted.where("m > s")
 
 
-def _among(found: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """The rows of `found` whose fingerprint may be among the n of `wanted`, and few others: a bit for each of them,
+def among(found: DataFrame, wanted: DataFrame, n: int, hashed: str = "f1") -> DataFrame:
+    """The rows of `found` whose hash may be among the n of `wanted`, and few others: a bit for each of them,
     in a broadcast map of bounded size. So a join with `wanted` moves little more than the rows it keeps."""
     bits = min(max((n * BITS_PER_ROW).bit_length(), MAP_BITS[0]), MAP_BITS[1])
-    place = F.shiftrightunsigned("f1", 64 - bits) + 1
+    place = F.shiftrightunsigned(hashed, 64 - bits) + 1
     bucket, position = F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_position")
     maps = wanted.select(bucket, position).groupBy("_bucket").agg(F.bitmap_construct_agg("_position").alias("_map"))
     tried = found.select("*", bucket, position).join(F.broadcast(maps), "_bucket")
@@ -79,11 +79,11 @@ def new_occurrences(incoming: DataFrame, stored: DataFrame, columns: Sequence[st
     parts = []
     if sizes.unknown:
         unknown = stored.where("s = 0").select(*FINGERPRINT)
-        parts.append(_among(found, unknown, sizes.unknown).join(unknown, FINGERPRINT, "left_semi").drop(*FINGERPRINT))
+        parts.append(among(found, unknown, sizes.unknown).join(unknown, FINGERPRINT, "left_semi").drop(*FINGERPRINT))
     if sizes.more:
         # Rows stored fewer times than they come now need some of their copies, all of which are the same.
         more = stored.where("s > 0")
-        batch = _among(found, more, sizes.more).groupBy(*FINGERPRINT).agg(F.first(F.struct(*incoming.columns)).alias("row"))
+        batch = among(found, more, sizes.more).groupBy(*FINGERPRINT).agg(F.first(F.struct(*incoming.columns)).alias("row"))
         more = batch.join(more, FINGERPRINT).select("row.*", (F.col("m") - F.col("s")).alias("_times"))
         parts.append(repeated(more, "_times"))
     return reduce(DataFrame.unionByName, parts) if parts else incoming.limit(0)

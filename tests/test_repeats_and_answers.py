@@ -44,7 +44,7 @@ def test_stored_rows_are_hardly_shuffled(spark):
     with staged(stored_counts(new, old, ["id", "text"]), "known") as known:
         assert rows(known.select("m", "s")) == [(1, 0)] * 100 + [(2, 1)] * 2
         found = new.withColumns(dict(zip(difference.FINGERPRINT, difference.fingerprint(["id", "text"]))))
-        kept = difference._among(found, known, known.count())
+        kept = difference.among(found, known, known.count())
         assert 104 <= kept.count() < 3_000 and "hashpartitioning(f1" not in kept._jdf.queryExecution().executedPlan().toString()
         assert bag(new_occurrences(new, known, ["id", "text"])) == bag(new) - bag(old)
 
