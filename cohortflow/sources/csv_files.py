@@ -37,6 +37,12 @@ def _too_many_fields(line: Column, width: int) -> Column:
     return F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) >= width
 
 
+def odd_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The raw lines with an odd number of quotes. Most lines have none, which is told without copying them."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    return spark.read.text(path).where(F.contains("value", F.lit('"')) & (quotes % 2 == 1))
+
+
 def records_span_lines(spark: SparkSession, path: str) -> bool:
     """Whether some record may hold a line break inside quotes.
 
@@ -44,8 +50,7 @@ def records_span_lines(spark: SparkSession, path: str) -> bool:
     quotes is written twice. One pass of built-ins over the raw lines, which
     stops at the first find.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).limit(1).isEmpty()
+    return not odd_lines(spark, path).limit(1).isEmpty()
 
 
 def _parsed(record: Column, width: int) -> Column:

@@ -6,6 +6,7 @@ import re
 import pytest
 from conftest import rows
 
+from cohortflow.sources import csv_files
 from cohortflow.sources.csv_files import read_csv
 from cohortflow.sources.csv_ranges import OPENS, STAYS_OPEN, UnclosedQuote
 
@@ -85,6 +86,14 @@ def test_carriage_returns_blank_lines_and_headers(spark, tmp_path, small_ranges)
         read_csv(spark, str(tmp_path))
 
 
+def test_lines_without_quotes_are_not_copied_to_count_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('A,B\n1,2\n"x, ""y""",3\n')
+    (tmp_path / "b.csv").write_text('A,B\n1,"2\n3"\n')
+    assert not csv_files.records_span_lines(spark, str(tmp_path / "a.csv"))
+    assert csv_files.records_span_lines(spark, str(tmp_path))
+    assert "contains(value" in csv_files.odd_lines(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
 def test_only_the_edges_of_ranges_are_moved(spark, tmp_path, small_ranges, monkeypatch):
     from cohortflow.sources import csv_ranges
 
