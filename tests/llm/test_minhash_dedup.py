@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from cohortflow.llm import components as graph
 from cohortflow.llm.components import components
 from cohortflow.llm.linking import linked
 from cohortflow.llm.minhash_dedup import SET_SCHEMA, _collider, _confirmer, _set_maker, near_duplicates
@@ -122,3 +123,23 @@ def test_components_of_chains_stars_and_loops(spark):
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 131)}
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def shuffled_chains(spark):
+    rng = random.Random(8)
+    edges = [(100 * k + i, 100 * k + i + 1) for k in range(20) for i in range(99)]
+    edges = [pair if rng.random() < 0.5 else pair[::-1] for pair in edges]
+    rng.shuffle(edges)
+    return spark.createDataFrame(edges, "u long, v long").repartition(7)
+
+
+@pytest.mark.parametrize("task_edges", [1 << 18, 50])
+def test_chains_are_contracted_in_pieces(spark, monkeypatch, task_edges):
+    monkeypatch.setattr(graph, "TASK_EDGES", task_edges)
+    got = sorted(tuple(r) for r in components(shuffled_chains(spark)).collect())
+    assert got == [(i, i - i % 100) for i in range(2000)]
+
+
+def test_a_small_graph_needs_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(graph, "_large_star", None)
+    assert components(shuffled_chains(spark)).select("component").distinct().count() == 20
