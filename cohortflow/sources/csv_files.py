@@ -110,6 +110,12 @@ def read_csv(spark: SparkSession, path: str, multiline: bool | None = None) -> D
     )
 
 
+def _fits(df: DataFrame, field: T.StructField) -> bool:
+    """Whether a column is a decimal of no more places than the field's: then a cast drops no digit."""
+    given = df.schema[field.name].dataType
+    return isinstance(given, T.DecimalType) and given.scale <= field.dataType.scale
+
+
 def typed_by_name(
     df: DataFrame, schema: T.StructType, na_tokens: Sequence[str] = ("",)
 ) -> DataFrame:
@@ -132,7 +138,7 @@ def typed_by_name(
             value = F.current_timestamp()
         else:
             value = F.lit(None)
-        if isinstance(field.dataType, T.DecimalType) and field.name in df.columns:
+        if isinstance(field.dataType, T.DecimalType) and field.name in df.columns and not _fits(df, field):
             return exact_decimal(value, field.dataType).alias(field.name)
         return value.cast(field.dataType).alias(field.name)
 

@@ -12,9 +12,10 @@ but never changes a result. Bits are written before the file rows that make them
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +54,9 @@ def _names(table: str) -> tuple[str, str]:
 
 
 def _location(spark: SparkSession, table: str) -> str:
-    return spark.sql(f"describe formatted {table}").where("col_name = 'Location'").first()["data_type"]
+    # Picked here: a command's rows are on the driver, and any operator over them would start jobs.
+    found = spark.sql(f"describe formatted {table}").collect()
+    return next(row["data_type"] for row in found if row["col_name"] == "Location")
 
 
 def _listing(spark: SparkSession, table: str) -> dict[str, tuple[str, int, int]]:
@@ -67,12 +70,16 @@ def _listing(spark: SparkSession, table: str) -> dict[str, tuple[str, int, int]]
     return found
 
 
-def _indexed(spark: SparkSession, table: str, listing: dict[str, tuple[str, int, int]]) -> set[str]:
-    """Names of files whose entry still holds. There are as many entries as files, which the driver lists anyway."""
+def _entries(spark: SparkSession, table: str) -> list[Row]:
+    """The index's entries. There are as many as files, which the driver lists anyway."""
     files, bits = _names(table)
     if not (spark.catalog.tableExists(files) and spark.catalog.tableExists(bits)):
-        return set()
-    entries = spark.table(files).select("file", "bytes", "modified").collect()
+        return []
+    return spark.table(files).select("file", "bytes", "modified", "n", "slots").collect()
+
+
+def _valid(entries: list[Row], listing: dict[str, tuple[str, int, int]]) -> set[str]:
+    """Names of files whose entry still holds."""
     return {e["file"] for e in entries if listing.get(e["file"], ())[1:] == (e["bytes"], e["modified"])}
 
 
@@ -89,49 +96,61 @@ def index_new_files(spark: SparkSession, table: str, key: str) -> int:
     The table must not be partitioned. A file with NULL keys only gets no entry.
     """
     listing = _listing(spark, table)
-    new = sorted(set(listing) - _indexed(spark, table, listing))
+    new = sorted(set(listing) - _valid(_entries(spark, table), listing))
     if not new:
         return 0
     for name, schema in zip(_names(table), (FILES_SCHEMA, BITS_SCHEMA)):
         create_table(spark, name, schema)
     stored = spark.read.schema(spark.table(table).schema).parquet(*[listing[name][0] for name in new])
-    rows = stored.where(F.col(key).isNotNull()).select(F.col("_metadata.file_name").alias("file"), _key_text(stored, key))
-    per_file = rows.groupBy("file").agg(F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+    file = [
+        F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("bytes"),
+        F.unix_millis("_metadata.file_modification_time").alias("modified"),
+    ]
+    rows = stored.where(F.col(key).isNotNull()).select(*file, _key_text(stored, key))
+    per_file = rows.groupBy("file", "bytes", "modified").agg(
+        F.count("*").alias("n"), F.min("key").alias("low"), F.max("key").alias("high")
+    )
     # The least power of two that leaves at most KEYS_PER_SLOT keys a slot on average.
     steps = F.greatest(F.ceil(F.log2(F.col("n") / KEYS_PER_SLOT)), F.lit(0)).cast("int")
     slots = F.call_function("shiftleft", F.lit(1).cast("long"), steps)
-    entries = spark.createDataFrame([(name, *listing[name][1:]) for name in new], "file string, bytes long, modified long")
     with staged(per_file.withColumn("slots", slots), "key-files") as counted:
-        marks = rows.join(counted.select("file", "slots"), "file").groupBy("file", "slots", _slot())
+        marks = rows.select("file", "key").join(counted.select("file", "slots"), "file").groupBy("file", "slots", _slot())
         append(marks.agg(*[F.bit_or(bit).alias(lane) for lane, bit in zip(LANES, _bits())]), _names(table)[1])
-        append(entries.join(counted, "file"), _names(table)[0])
+        append(counted, _names(table)[0])
     return len(new)
 
 
-def may_hold(batch: DataFrame, table: str, key: str) -> DataFrame:
+def may_hold(batch: DataFrame, table: str, key: str, n_keys: int | None = None) -> DataFrame:
     """The table without those files that hold none of the batch's keys, by their ranges and bits.
 
     Every key of the batch is tried on one slot of every indexed file. Where that comes to more tries than the
-    table has keys, scanning the keys is cheaper and the whole table is returned.
+    table has keys, scanning the keys is cheaper and the whole table is returned. `n_keys` promises that the batch
+    is written and gives each of its keys once, NULL aside, and is their number.
     """
     spark = batch.sparkSession
     whole, listing = spark.table(table), _listing(spark, table)
-    valid = _indexed(spark, table, listing)
+    entries = _entries(spark, table)
+    valid = _valid(entries, listing)
     if not valid:
         return whole
-    files, bits = (spark.table(name) for name in _names(table))
-    # At most one size for every power of two.
-    sizes = [row["slots"] for row in files.select("slots").distinct().collect()]
-    keys = batch.where(F.col(key).isNotNull()).select(_key_text(batch, key)).distinct()
-    with staged(keys, "batch-keys") as keys:
-        if keys.count() * len(valid) > files.agg(F.sum("n")).first()[0]:
+    keys = batch.where(F.col(key).isNotNull()).select(_key_text(batch, key))
+    with nullcontext(keys) if n_keys is not None else staged(keys.distinct(), "batch-keys") as keys:
+        tries = (keys.count() if n_keys is None else n_keys) * len(valid)
+        if tries > sum(e["n"] for e in entries):
             return whole
-        tries = keys.withColumn("slots", F.explode(F.array(*[F.lit(size).cast("long") for size in sizes])))
-        tries = tries.select("key", "slots", _slot(), *[bit.alias(f"_{lane}") for lane, bit in zip(LANES, _bits())])
-        agree = reduce(Column.__and__, [F.col(lane).bitwiseAND(F.col(f"_{lane}")) == F.col(f"_{lane}") for lane in LANES])
-        found = bits.join(tries, ["slots", "slot"]).where(agree).select("file", "key").join(files, "file")
-        hits = found.where(F.col("key").between(F.col("low"), F.col("high"))).select("file").distinct().collect()
-    wanted = (set(listing) - valid) | ({row["file"] for row in hits} & set(listing))
+        wanted = (set(listing) - valid) | (_holding(keys, table, {e["slots"] for e in entries}) & set(listing))
     if not wanted:
-        return spark.createDataFrame([], whole.schema)
+        return whole.limit(0)
     return spark.read.schema(whole.schema).parquet(*[listing[name][0] for name in sorted(wanted)])
+
+
+def _holding(keys: DataFrame, table: str, sizes: set[int]) -> set[str]:
+    """Names of indexed files that may hold one of the keys. `sizes` are at most one for every power of two."""
+    files, bits = (keys.sparkSession.table(name) for name in _names(table))
+    tries = keys.withColumn("slots", F.explode(F.array(*[F.lit(size).cast("long") for size in sorted(sizes)])))
+    tries = tries.select("key", "slots", _slot(), *[bit.alias(f"_{lane}") for lane, bit in zip(LANES, _bits())])
+    agree = reduce(Column.__and__, [F.col(lane).bitwiseAND(F.col(f"_{lane}")) == F.col(f"_{lane}") for lane in LANES])
+    found = bits.join(tries, ["slots", "slot"]).where(agree).select("file", "key").join(files, "file")
+    hits = found.where(F.col("key").between(F.col("low"), F.col("high"))).select("file").distinct().collect()
+    return {row["file"] for row in hits}

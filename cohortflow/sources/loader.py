@@ -9,7 +9,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortflow.operators.difference import already_stored, new_occurrences, new_rows_only, stored_counts
@@ -46,22 +46,26 @@ class LoadReport:
 
 
 def load_rows(
-    rows: DataFrame, table: str, key: str | None, dedupe: bool = False, indexed: bool = False
+    rows: DataFrame, table: str, key: str | None, dedupe: bool = False, indexed: bool = False, repeatable: bool = False
 ) -> TableLoad:
     """Append typed rows to a table; with a key, only those whose key is new.
 
     Without a key all rows are appended, or with `dedupe` only the copies of a row that go beyond those stored.
     With `indexed`, stored keys are looked up only in files that may hold one of the batch's (see key_index),
     and the files written are entered in that index. It pays where batches are small beside the table.
+    `repeatable` promises that `rows` are the same whenever they are read, and cheap to read: with a key, only the
+    keys are then written before the append, and a value that does not fit stops the append, which adds all or nothing.
     """
     if key is None and (not dedupe or rows.sparkSession.table(table).isEmpty()):
         return _append_all(rows, table)
-    seen = Observation()
     if key is None:
+        seen = Observation()
         with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
             return _append_unseen(batch, table, seen.get.get("n", 0))
-    with staged(rows.observe(seen, F.count(F.lit(1)).alias("n")), "load") as batch:
-        return _append_new(batch, table, key, seen.get.get("n", 0), indexed)
+    if repeatable:
+        return _append_new(rows, table, key, indexed)
+    with staged(rows, "load") as batch:
+        return _append_new(batch, table, key, indexed)
 
 
 def _append_all(rows: DataFrame, table: str) -> TableLoad:
@@ -88,28 +92,39 @@ def _append_unseen(batch: DataFrame, table: str, read: int) -> TableLoad:
     return TableLoad(table, read, read - added, added)
 
 
-def _append_new(batch: DataFrame, table: str, key: str, read: int, indexed: bool) -> TableLoad:
-    if not read:
-        return TableLoad(table, 0, 0, 0)
-    existing = may_hold(batch, table, key) if indexed else batch.sparkSession.table(table)
-    # The batch's stored keys, found once. The batch is the small side of this join, which
-    # Spark broadcasts by its size, so that stored keys are scanned but neither moved nor sorted.
-    with staged(already_stored(existing.select(key), batch, [key]), "hits") as hits:
-        # Keys only, counted before the join: the batch's other columns are not read for
-        # the checks, and a key that fills much of the file is one row by then.
-        per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
-        found = new_rows_only(per_key, hits, [key]).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("new"),
-            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-            F.count_if(F.col(key).isNotNull() & (F.col("n") > 1)).alias("repeated"),
-        ).first()
-        if found["null_keys"] or found["repeated"]:
-            raise KeyViolation(
-                f"{table}.{key}: {found['null_keys']} rows without key, {found['repeated']} keys given twice"
-            )
-        if found["new"]:
-            # When every key is new there is nothing to filter out.
-            append(batch if found["new"] == read else new_rows_only(batch, hits, [key]), table)
+def _new_rows(key: str) -> list[Column]:
+    """Of keys with their numbers of rows: all rows, those without key, and keys given twice."""
+    n = F.col("n")
+    return [
+        F.coalesce(F.sum(n), F.lit(0)).alias("new"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), n)), F.lit(0)).alias("null_keys"),
+        F.count_if(F.col(key).isNotNull() & (n > 1)).alias("repeated"),
+    ]
+
+
+def _append_new(batch: DataFrame, table: str, key: str, indexed: bool) -> TableLoad:
+    # Keys only, counted once: all checks start from these, the batch's other columns are read for the append alone,
+    # and a key that fills much of the file is one row by then.
+    seen, met = Observation(), Observation()
+    per_key = batch.groupBy(key).agg(F.count("*").alias("n"))
+    with staged(per_key.observe(seen, F.count(key).alias("keys"), *_new_rows(key)), "keys") as keys:
+        read = seen.get.get("new", 0)  # no rows, nothing observed
+        if not read:
+            return TableLoad(table, 0, 0, 0)
+        existing = may_hold(keys, table, key, seen.get["keys"]) if indexed else batch.sparkSession.table(table)
+        # The batch's stored keys, found once. The batch is the small side of this join, which
+        # Spark broadcasts by its size, so that stored keys are scanned but neither moved nor sorted.
+        stored = already_stored(existing.select(key), keys, [key])
+        with staged(stored.observe(met, F.count(F.lit(1)).alias("n")), "hits") as hits:
+            # When no key is stored, all of the batch is new, and its figures are known.
+            found = new_rows_only(keys, hits, [key]).agg(*_new_rows(key)).first() if met.get.get("n", 0) else seen.get
+            if found["null_keys"] or found["repeated"]:
+                raise KeyViolation(
+                    f"{table}.{key}: {found['null_keys']} rows without key, {found['repeated']} keys given twice"
+                )
+            if found["new"]:
+                # When every key is new there is nothing to filter out.
+                append(batch if found["new"] == read else new_rows_only(batch, hits, [key]), table)
     if indexed:
         # Also enters files of loads that stopped before this line.
         index_new_files(batch.sparkSession, table, key)

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortflow.operators.difference import already_stored
 from cohortflow.schemas import RAW_SCHEMAS, SUMMARY_SCHEMA
@@ -202,3 +203,12 @@ def test_an_error_leaves_earlier_tables_loaded(spark, databases, tmp_path):
         load_folder(spark, str(tmp_path))
     assert spark.table("raw.patients").count() == 1
     assert spark.table("raw.encounters").count() == 0
+
+
+def test_decimals_of_fewer_places_are_cast_without_a_look_at_their_text(spark):
+    schema = T.StructType([T.StructField("a", T.DecimalType(28, 10))])
+    fits = typed_by_name(spark.sql("select cast(1.125 as decimal(18,3)) a"), schema, na_tokens=())
+    assert "rlike" not in fits._jdf.queryExecution().analyzed().toString().lower()
+    assert [str(r.a) for r in fits.collect()] == ["1.1250000000"]
+    with pytest.raises(Exception, match="more than 10 places"):
+        typed_by_name(spark.sql("select cast('0.00000000001' as decimal(20,11)) a"), schema, na_tokens=()).collect()

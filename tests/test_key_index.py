@@ -124,3 +124,44 @@ def test_folder_load_with_an_index(spark, databases, tmp_path):
     again = {t.table: t.inserted for t in load_folder(spark, str(tmp_path), indexed=True).tables}
     assert again == {TABLE: 0, "raw.conditions": 1}
     assert rows(spark.table(TABLE), "id") == [("p1",), ("p2",)]
+
+
+def jobs_of(spark, action):
+    """Numbers of Spark jobs that an action starts."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        action()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_looking_a_table_up_starts_no_jobs_of_its_own(spark, loaded):
+    assert jobs_of(spark, lambda: key_index._listing(spark, TABLE)) == 0
+    with staged(patients(spark, 5000, 9000), "batch") as batch:
+        # One job reads the index's entries; a batch that is too large for the index needs no other.
+        assert jobs_of(spark, lambda: may_hold(batch, TABLE, "id", 4000)) <= 1
+
+
+@pytest.mark.parametrize("start, stop", [(3000, 3500), (2990, 3010), (0, 10), (5000, 5000)])
+def test_repeatable_rows_load_like_others(spark, loaded, start, stop):
+    batch = patients(spark, start, stop, 3)
+    want = max(0, stop - max(start, 3000))
+    result = load_rows(batch, TABLE, "id", indexed=True, repeatable=True)
+    assert (result.read, result.inserted, result.skipped) == (stop - start, want, stop - start - want)
+    assert spark.table(TABLE).count() == spark.table(TABLE).select("id").distinct().count() == 3000 + want
+    assert load_rows(batch, TABLE, "id", indexed=True, repeatable=True).inserted == 0
+
+
+def test_repeatable_rows_are_not_written_on_the_way(spark, databases, monkeypatch):
+    from cohortflow.sources import loader
+
+    written = []
+    monkeypatch.setattr(loader, "staged", lambda df, label: written.append((label, df.columns)) or staged(df, label))
+    batch = patients(spark, 0, 20)
+    assert load_rows(batch, TABLE, "id", repeatable=True).inserted == 20
+    assert written == [("keys", ["id", "n"]), ("hits", ["id"])]
+    for bad in (batch.unionByName(batch), batch.withColumn("id", F.lit(None).cast("string"))):
+        with pytest.raises(KeyViolation):
+            load_rows(bad.withColumn("id", F.concat(F.lit("x"), "id")), TABLE, "id", repeatable=True)
+    assert spark.table(TABLE).count() == 20
