@@ -134,9 +134,11 @@ def _failing(df: DataFrame, table: str, checks: Sequence[Check], key: str | None
     others = [c for c in checks if c.rule != "unique"]
     parts = []
     if others:
-        # All row rules in one pass; a row that passes leaves the scan with an empty list.
+        # All row rules in one pass. Rows that pass all of them are dropped by a plain filter, which Spark moves
+        # below the joins a model is made of.
+        some = reduce(lambda a, b: a | b, [F.coalesce(c.failing_rows(), F.lit(False)) for c in others])
         hits = F.filter(F.array(*[F.when(c.failing_rows(), F.struct(*found(c))) for c in others]), lambda x: x.isNotNull())
-        parts.append(df.select(head, *row, F.inline(hits)))
+        parts.append(df.where(some).select(head, *row, F.inline(hits)))
     for check in checks:
         if check.rule == "unique":
             names = [name.strip() for name in check.column.split(",")]
@@ -155,12 +157,26 @@ def failing_rows(
 
     `row` is the whole row as JSON, `value` the checked column, `row_key` the column `keys` names for the table.
     Of 'unique' every row of a repeated value is listed. Row rules share one scan a table without a shuffle.
+
+    Tables with a 'unique' rule are counted first, by one job that runs at once and moves a row per value: only the
+    checks that fail there have their rows looked for, so a table without failures is not computed again. Give tables
+    that do not change between this call and the reading of its result.
     """
     by_table: dict[str, list[Check]] = defaultdict(list)
     for check in checks:
         by_table[check.table].append(check)
-    parts = [_failing(tables[name], name, group, (keys or {}).get(name)) for name, group in by_table.items()]
-    return reduce(DataFrame.unionByName, parts)
+    counted = [c for group in by_table.values() if any(c.rule == "unique" for c in group) for c in group]
+    passed = set()
+    if counted:
+        counts = check_tables(tables, counted).collect()
+        passed = {Check(r["table"], r["column"], r["check"]) for r in counts if not r["failures"]}
+
+    def listed(passed: set[Check]) -> list[DataFrame]:
+        left = {name: [c for c in group if c not in passed] for name, group in by_table.items()}
+        return [_failing(tables[name], name, group, (keys or {}).get(name)) for name, group in left.items() if group]
+
+    parts = listed(passed)
+    return reduce(DataFrame.unionByName, parts) if parts else listed(set())[0].limit(0)
 
 
 def log_failures(

@@ -187,3 +187,33 @@ def test_triage_whose_append_fails_pays_once(spark, databases, tmp_path, monkeyp
         "Triage complete. Processed=0, Skipped=7, Errors=0",
     ]
     assert asked_of(tmp_path) == {f"p{i}": 1 for i in range(7)}
+
+
+def test_tables_without_failures_are_not_read_for_failing_rows(spark):
+    """What the counts cleared is left out of the plan; what they did not look at or found is in it."""
+    good = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int").withColumn("good_mark", F.lit(1))
+    bad = spark.createDataFrame([("a", 1), ("a", None), (None, 7)], "id string, m int")
+    rule = [("id", "unique"), ("id", "not_null")]
+    checks = [Check(t, *r) for t in ("good", "bad") for r in rule] + [Check("good", "n", "> 0"), Check("rows", "m", "not_null")]
+    tables = {"good": good, "bad": bad, "rows": bad}
+    found = failing_rows(tables, checks, {"good": "id", "bad": "id", "rows": "id"})
+    assert "good_mark" not in found._jdf.queryExecution().analyzed().toString()
+    assert rows(found.drop("row")) == rows(
+        spark.createDataFrame(
+            [("bad", "id", "unique", "a", "a")] * 2 + [("bad", "id", "not_null", None, None), ("rows", "m", "not_null", "a", None)],
+            "a string, b string, c string, d string, e string",
+        )
+    )
+    none = failing_rows({"good": good}, [c for c in checks if c.table == "good"])
+    assert none.columns == found.columns and none.count() == 0
+
+
+def test_row_rules_are_looked_for_below_a_model_s_joins(spark, tmp_path):
+    """A rule over one side's column drops that side's rows before they are moved."""
+    spark.range(100).selectExpr("id", "nullif(id % 10, 3) as code").write.parquet(f"{tmp_path}/left")
+    spark.range(100).write.parquet(f"{tmp_path}/right")
+    model = spark.read.parquet(f"{tmp_path}/left").join(spark.read.parquet(f"{tmp_path}/right"), "id")
+    found = failing_rows({"m": model}, [Check("m", "code", "not_null")], {"m": "id"})
+    assert found.count() == 10
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in plan[: plan.index("Join")] and "isnull(code" in plan[plan.index("Join") :]
