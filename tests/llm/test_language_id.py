@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -66,6 +67,19 @@ def test_windows_and_fewer_contexts(monkeypatch):
     assert np.isfinite(small).all() and len(trees_of(TRAIN, cells=200).bits) < len(trees.bits)
 
 
+def test_building_holds_little_more_than_the_tables():
+    rng = np.random.default_rng(1)
+    grams = np.unique(rng.integers(97, 137, (40_000, 4), dtype=np.int64) @ (1 << np.array([24, 16, 8, 0])))
+    counts = [(lang, int(gram), 1 + int(gram) % 3) for lang in ("aa", "bb", "cc") for gram in grams]
+    tracemalloc.start()
+    trees = build_trees(counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert trees.bits.nbytes > 10e6 and peak < 3 * trees.bits.nbytes
+    table = pa.table(dict(zip(("lang", "gram", "n"), map(list, zip(*counts)))))
+    assert (build_trees(table).bits == trees.bits).all()
+
+
 def test_held_out_accuracy(sample, sample_rows):
     got = {r.doc_id: r for r in identify(sample).collect()}
     right = []
