@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,28 @@ class Tokens:
         return np.cumsum(self.length)
 
 
+@dataclass
+class Lists:
+    """Many lists of ids in a row, and the number of ids before each."""
+
+    ids: np.ndarray
+    before: np.ndarray
+
+    def __add__(self, lists: list[list[int]]) -> Lists:
+        more = np.fromiter(chain.from_iterable(lists), dtype=np.int32)
+        return Lists(np.concatenate([self.ids, more]), np.concatenate([self.before, self.before[-1] + before([len(x) for x in lists])[1:]]))
+
+    def first(self, n: int) -> Lists:
+        return Lists(self.ids[: self.before[n]].copy(), self.before[: n + 1].copy())
+
+    def joined(self, numbers: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the lists of these numbers, and how many stand before each of `bounds`."""
+        start = self.before[numbers]
+        count = self.before[numbers + 1] - start
+        upto = before(count)
+        return self.ids[np.repeat(start - upto[:-1], count) + np.arange(upto[-1])].astype(np.int64), upto[bounds]
+
+
 def before(lengths) -> np.ndarray:
     """The sum before each entry, and that of all."""
     return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]).astype(np.int64)
@@ -55,16 +78,16 @@ def _pack(ids: list[int]) -> bytes:
 
 
 class Pair:
-    """Both tokenizers, opened once per worker process."""
+    """Both tokenizers, opened once per worker process, with the ids of at most `cache_entries` words and a slice's."""
 
     def __init__(self, byte_level_json: str, piece_model: bytes, cache_entries: int):
         self.encoder = PretokenEncoder(byte_level_json, cache_entries, _pack, b"".join)
         # Special tokens' strings are plain text here, so no text needs the library for having one.
         self.encoder.special = []
-        self.piece_model, self._live = piece_model, None
+        self.piece_model, self.cache_entries, self._live = piece_model, cache_entries, None
 
     def __getstate__(self):
-        return self.__dict__ | {"_live": None}
+        return {k: v for k, v in self.__dict__.items() if k not in ("words", "lists")} | {"_live": None}
 
     def _ready(self):
         if self._live is None:
@@ -83,21 +106,56 @@ class Pair:
                 plain.append(bytes([int(piece[3:5], 16)]) if pieces.is_byte(i) else piece.replace("▁", " ").encode())
             labels = [(len(spelled), ","), (len(spelled), "|"), (len(plain), ","), (len(plain), ";")]
             labels = [np.array([f"{i}{mark}" for i in range(n)], dtype=object) for n, mark in labels]
+            # But for runs of spaces, a piece holds one in front only: B merges nothing across single spaces.
+            inner = [p for i in range(pieces.get_piece_size()) if "▁" in (p := pieces.id_to_piece(i))[1:]]
+            self.apart = not any(p.strip("▁") for p in inner)
+            # Words are numbered as they come; lists of ids stand under the same numbers.
+            self.words = defaultdict()
+            self.words.default_factory = self.words.__len__
+            self.lists = [Lists(np.zeros(0, np.int32), np.zeros(1, np.int64))] * 2
             self._live = tokenizer, pieces, _Spelling(spelled), _Spelling(plain), labels
         return self._live
 
+    def _words(self, text: str) -> list[str]:
+        """The runs between single spaces, each behind its space, which both sides cut there; none where they may not."""
+        if not self.apart or "  " in text or "▁" in text or text.endswith(" "):
+            return []
+        return self.encoder.chunks(text) or []
+
+    def _ids(self, spaced: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """A's ids of all texts and the number before each text, and B's; B puts the space in front itself."""
+        pieces = self._ready()[1]
+        found = [self._words(text) for text in spaced]
+        held, sizes = len(self.words), np.array([len(words) for words in found], dtype=np.int64)
+        numbers = np.fromiter(map(self.words.__getitem__, chain.from_iterable(found)), dtype=np.int64, count=sizes.sum())
+        new = list(islice(reversed(self.words), len(self.words) - held))[::-1]
+        _, find, _, cache = self.encoder._ready()
+        # A's parts of words, such as marks, come again more often than words do.
+        lists = [np.frombuffer(b"".join(map(cache.__getitem__, find(word))), dtype=ID).tolist() for word in new]
+        cache.trim(self.cache_entries)
+        self.lists = [self.lists[0] + lists, self.lists[1] + pieces.encode([word[1:] for word in new], num_threads=1)]
+        # Any other text is one list behind those of the words, the library's of the whole.
+        odd = np.flatnonzero(sizes == 0)
+        texts = [spaced[k] for k in odd]
+        numbers = np.insert(numbers, before(sizes)[odd], len(self.words) + np.arange(len(odd)))
+        bounds = before(np.maximum(sizes, 1))
+        whole = [[np.frombuffer(x, dtype=ID).tolist() for x in self.encoder.values(texts)], pieces.encode([text[1:] for text in texts], num_threads=1)]
+        out = [(known + more).joined(numbers, bounds) for known, more in zip(self.lists, whole)]
+        if len(self.words) > self.cache_entries:  # those that came first, which are the frequent ones, stay
+            most = self.cache_entries // 2
+            for word in list(islice(reversed(self.words), len(self.words) - most)):
+                del self.words[word]
+            self.lists = [known.first(most) for known in self.lists]
+        return out
+
     def encoded(self, texts: list[str]) -> tuple[Tokens, Tokens]:
         """Tokens of space + text by A, and of text, to which B puts a space itself, by B; none for texts that are
         empty or that either side spells otherwise."""
-        _, pieces, spell_a, spell_b, _ = self._ready()
+        _, _, spell_a, spell_b, _ = self._ready()
         spaced = [" " + text if text else "" for text in texts]
-        packed = self.encoder.values(spaced)
-        lists = pieces.encode(texts, num_threads=1)
         bodies = [text.encode() for text in spaced]
         whole, bounds = np.frombuffer(b"".join(bodies), dtype=np.uint8), before([len(x) for x in bodies])
-        a_ids, a_before = np.frombuffer(b"".join(packed), dtype=ID).astype(np.int64), before([len(x) // ID.itemsize for x in packed])
-        b_before = before([len(x) for x in lists])
-        b_ids = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(b_before[-1]))
+        (a_ids, a_before), (b_ids, b_before) = self._ids(spaced)
         right = spell_a.spells(a_ids, a_before, whole, bounds) & spell_b.spells(b_ids, b_before, whole, bounds)
         return spell_a.tokens(a_ids, a_before, right), spell_b.tokens(b_ids, b_before, right)
 

@@ -119,3 +119,26 @@ def test_empty_tables_and_clashing_columns(nothing, spark, tokens):
     rows = [(1, "one text here"), (2, "one text there")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *[F.lit(0).alias(n) for n in names])
     assert got(docs) == plain(rows, tokens)
+
+
+def test_words_are_encoded_once_and_bounded(awkward_rows, tokens):
+    with open(A_PATH, encoding="utf-8") as spec, open(B_PATH, "rb") as model:
+        pair = ta.Pair(spec.read(), model.read(), 8)
+    texts = [*ODD, "", "one two, one three. two", "one  two one", *[r[1] or "" for r in awkward_rows if len(r[1] or "") < 5_000]]
+    pair._ready()
+    library, seen = pair._live[1], []
+
+    class Counted:
+        def encode(self, some, **more):
+            seen.extend(some)
+            return library.encode(some, **more)
+
+    pair._live = (pair._live[0], Counted(), *pair._live[2:])
+    for some in (texts, texts[::-1], *[[text] for text in texts]):
+        for text, *ids in zip(some, *[np.split(side.ids, side.before[1:-1]) for side in pair.encoded(some)]):
+            assert [x.tolist() for x in ids] == [[i for i, _ in side] for side in tokens(text)]
+        assert len(pair.words) <= 8 and all(len(known.before) == len(pair.words) + 1 for known in pair.lists)
+    pair.cache_entries, seen[:] = 1000, []
+    for _ in range(3):
+        pair.encoded(["nine ten eleven ten", "ten nine eleven"])
+    assert sorted(seen) == ["eleven", "nine", "ten"]
